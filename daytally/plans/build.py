@@ -118,11 +118,15 @@ def build_lake(
     if empty:
         raise ValueError(f"no rows in {[row.source for row in empty]}")
     tables = build_tables(inputs, as_of, since, increment_form(inputs), corrected)
+    many = int(spark.conf.get("spark.sql.shuffle.partitions"))
     for name, table in tables.items():
-        partial = since is not None and name.startswith("fact_")
+        fact = name.startswith("fact_")
         write_table(
-            table, f"{lake.rstrip('/')}/{name}", PARTITIONS[name],
-            mode="dynamic" if partial else "overwrite",
+            table,
+            f"{lake.rstrip('/')}/{name}",
+            PARTITIONS[name],
+            mode="dynamic" if fact and since is not None else "overwrite",
+            tasks=many if fact else None,
         )
     return lake_quality(spark, lake)
 

@@ -1,4 +1,4 @@
-from .lake import read_table, write_table
+from .lake import read_table, with_month, write_table
 from .scratch import scratch_dir
 
-__all__ = ["read_table", "scratch_dir", "write_table"]
+__all__ = ["read_table", "scratch_dir", "with_month", "write_table"]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 
 def write_table(
@@ -10,6 +10,7 @@ def write_table(
     path: str,
     partition_by: list[str],
     mode: str = "overwrite",
+    tasks: int | None = None,
     max_records_per_file: int = 0,
 ) -> None:
     """Write ``df`` under ``path`` in folders by ``partition_by``.
@@ -19,14 +20,16 @@ def write_table(
     leaves one copy and other folders stay.
 
     Rows are first brought together by folder, which keeps the number of files near the number
-    of folders. The rebalance hint lets adaptive execution split a folder that holds far more
-    than the others over several tasks and merge small ones.
+    of folders. By default the rebalance hint leaves the tasks to adaptive execution, which
+    goes by size: a folder far larger than the others is split over several tasks and small ones
+    share a task. Where folders are many and tiny (a fact with a folder per place and day), one
+    task would then open all the files; ``tasks`` deals the folders out to that many.
     """
     if mode not in ("overwrite", "append", "dynamic"):
         raise ValueError(f"mode must be 'overwrite', 'append' or 'dynamic', not {mode!r}")
+    placed = df.repartition(tasks, *partition_by) if tasks else df.hint("rebalance", *partition_by)
     writer = (
-        df.hint("rebalance", *partition_by)
-        .write.mode("overwrite" if mode == "dynamic" else mode)
+        placed.write.mode("overwrite" if mode == "dynamic" else mode)
         .option("partitionOverwriteMode", "dynamic" if mode == "dynamic" else "static")
         .option("maxRecordsPerFile", max_records_per_file)
     )
@@ -40,3 +43,9 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFram
     into the number 5. Filters on folder columns prune folders, others reach the row groups.
     """
     return spark.read.schema(schema).parquet(path).select(*schema.names)
+
+
+def with_month(df: DataFrame, date: str = "date") -> DataFrame:
+    """``df`` with ``month``, the first day of the date's month: a folder column for tables too
+    fine for a folder per day."""
+    return df.withColumn("month", F.trunc(date, "month"))

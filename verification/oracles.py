@@ -288,6 +288,8 @@ _BODIES = {
     "sink_overwrite": """select date, year, week, month, day, week_day, date_key from q_times
         where country_region = 'NATION_19'""",
     "sink_overwrite_3": "select * from q_province_all",
+    "sink_by_month": """select case_type, country_region, combined_key, d as date, cases,
+        cast(date_trunc('month', d) as date) as month from fx_places""",
     "sink_append": "select * from q_country_all",
     "sink_dynamic": "select * from q_country_all",
     "lake_read_pruned": """select * from q_province_all

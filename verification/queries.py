@@ -11,7 +11,7 @@ from daytally.functions import date_parts, date_text, parse_mdy, to_mdy
 from daytally.operators import daily_delta, join_lookup, pair_totals, preview, union_tables
 from daytally.plans import analyses, dims, facts, quality
 from daytally.plans.build import Sources, build_lake, open_lake
-from daytally.sinks import read_table, scratch_dir, write_table
+from daytally.sinks import read_table, scratch_dir, with_month, write_table
 from daytally.sources import (
     input_check, land, read_csv, read_inferred, read_json, repeated_days,
 )
@@ -21,6 +21,7 @@ from .standins import AS_OF, BRAZIL, USA, brazil, provinces, usa, world, world_b
 
 DETAILED = (BRAZIL, USA)
 ALIASES = {schemas.BRAZIL_NAME: BRAZIL, schemas.USA_NAME: USA}
+WRITERS = 8
 FROM_DAY = dt.date(2024, 1, 20)
 QUERIES = {}
 
@@ -106,17 +107,27 @@ def sink_overwrite(spark, sf):
 @query
 def sink_overwrite_3(spark, sf):
     path = scratch_dir(spark, "fact_province")
-    write_table(fact_province_all(spark, sf), path, ["country_name", "province_state", "date"])
+    by = ["country_name", "province_state", "date"]
+    write_table(fact_province_all(spark, sf), path, by, tasks=WRITERS)
     return read_table(spark, path, schemas.FACT_PROVINCE)
 
 
+@query
+def sink_by_month(spark, sf):
+    path = scratch_dir(spark, "places_by_month")
+    rows = facts.world_days(world_by_customer(spark, sf)).withColumnRenamed("day", "date")
+    write_table(with_month(rows), path, ["country_region", "month"])
+    schema = with_month(rows).schema
+    return read_table(spark, path, schema).where(F.col("month") == F.lit(dt.date(2024, 1, 1)))
+
+
 @query
 def sink_append(spark, sf):
     path = scratch_dir(spark, "fact_country")
     by = ["country_name", "date"]
-    write_table(facts.brazil_country(brazil(spark, sf)), path, by)
-    write_table(facts.usa_country(usa(spark, sf)), path, by, "append")
-    write_table(fact_world_country(spark, sf), path, by, "append")
+    write_table(facts.brazil_country(brazil(spark, sf)), path, by, tasks=WRITERS)
+    write_table(facts.usa_country(usa(spark, sf)), path, by, "append", tasks=WRITERS)
+    write_table(fact_world_country(spark, sf), path, by, "append", tasks=WRITERS)
     return read_table(spark, path, schemas.FACT_COUNTRY)
 
 
@@ -125,8 +136,9 @@ def sink_dynamic(spark, sf):
     path = scratch_dir(spark, "fact_country")
     fact = fact_country_all(spark, sf)
     by = ["country_name", "date"]
-    write_table(fact, path, by)
-    write_table(fact.where(F.col("date") >= F.lit(FROM_DAY)), path, by, "dynamic")
+    write_table(fact, path, by, tasks=WRITERS)
+    late = fact.where(F.col("date") >= F.lit(FROM_DAY))
+    write_table(late, path, by, "dynamic", tasks=WRITERS)
     return read_table(spark, path, schemas.FACT_COUNTRY)
 
 
@@ -517,7 +529,7 @@ def quality_lake(spark, sf):
     }
     written = {}
     for name, df in tables.items():
-        write_table(df, f"{path}/{name}", schemas.PARTITIONS[name])
+        write_table(df, f"{path}/{name}", schemas.PARTITIONS[name], tasks=WRITERS)
         written[name] = read_table(spark, f"{path}/{name}", schemas.TABLES[name])
     return quality.lake_report(*written.values(), aliases=ALIASES)
 
