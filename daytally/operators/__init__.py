@@ -1,5 +1,8 @@
-from .delta import daily_delta, pair_totals
+from .delta import Form, daily_delta, distinct_delta, pair_totals
 from .lookup import join_lookup
 from .shape import preview, renamed, union_tables
 
-__all__ = ["daily_delta", "join_lookup", "pair_totals", "preview", "renamed", "union_tables"]
+__all__ = [
+    "Form", "daily_delta", "distinct_delta", "join_lookup", "pair_totals", "preview", "renamed",
+    "union_tables",
+]

@@ -7,10 +7,12 @@ them would meet in one window partition.
 Choosing a form:
 
 * ``daily_delta(how="lag")`` -- one shuffle by key. Needs one row per key and day, which also
-  bounds a window partition to the days of one place. ``sources.checks.repeated_days`` tells.
+  bounds a window partition to the days of one place. ``sources.repeated_days`` tells.
 * ``daily_delta(how="range")`` -- as ``lag``, with a one-day range frame.
 * ``daily_delta(how="join")`` -- right for any input: every row meets every row of the day
   before. It shuffles by key *and* date, so a large place is spread over its days.
+* ``distinct_delta`` -- the distinct increments, for any input, in the cheapest form known to
+  be right for it.
 * ``pair_totals`` -- the sums over those pairs, for any input, without making the pairs.
 """
 
@@ -21,13 +23,19 @@ from operator import and_
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+# The name of a form, or the keys to treat apart (see distinct_delta).
+Form = str | DataFrame
+
 
 def _delta(m: str) -> str:
     return f"{m}_delta"
 
 
 def _matchable(df: DataFrame, keys: list[str], date: str, measures: list[str]) -> DataFrame:
+    # The last term changes nothing, but a join on the next day implies it for one side only;
+    # stated for both, they stay the same plan and Spark computes what lies below once.
     known = reduce(and_, [F.col(c).isNotNull() for c in [*keys, date]])
+    known = known & F.date_add(date, 1).isNotNull()
     return df.select(*keys, date, *measures).where(known)
 
 
@@ -68,6 +76,30 @@ def daily_delta(
     )
 
 
+def distinct_delta(
+    df: DataFrame, keys: list[str], date: str, measures: list[str], how: Form = "join"
+) -> DataFrame:
+    """What ``daily_delta(how="join")`` gives, with equal rows merged where they would multiply
+    (a caller that needs all of them distinct says so after its own projection).
+
+    ``how`` is ``"lag"`` for one row per key and day, ``"join"`` for any input, or a table of
+    the keys that have repeated days, as ``sources.choose_form`` finds them: those are joined
+    and all other places go through the lag form. That table must be small enough to broadcast.
+    """
+    rows = df.select(*keys, date, *measures)
+    if isinstance(how, DataFrame):
+        repeated = F.broadcast(how.select(*keys))
+        steady = rows.join(repeated, keys, "left_anti")
+        others = rows.join(repeated, keys, "left_semi")
+        return distinct_delta(steady, keys, date, measures, "lag").unionByName(
+            distinct_delta(others, keys, date, measures, "join")
+        )
+    if how == "lag":
+        return daily_delta(rows, keys, date, measures, how)
+    # Equal readings of a day give equal rows, times those of the day before.
+    return daily_delta(rows.distinct(), keys, date, measures, how)
+
+
 def pair_totals(df: DataFrame, keys: list[str], date: str, measures: list[str]) -> DataFrame:
     """Per key and day, the sums of ``m_delta`` and ``m`` over all pairs ``daily_delta`` would make.
 

@@ -8,10 +8,10 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .. import schemas
-from ..operators import union_tables
+from ..operators import Form, union_tables
 from ..schemas import BRAZIL_NAME, PARTITIONS, TABLES, USA_NAME, USA_SHORT
 from ..sinks import read_table, write_table
-from ..sources import input_check, land, read_csv, read_json, repeated_days
+from ..sources import choose_form, input_check, land, read_csv, read_json
 from . import dims, facts, quality
 
 
@@ -45,15 +45,17 @@ def check_inputs(inputs: dict[str, DataFrame]) -> DataFrame:
     return union_tables(*reports).select("source", "check_name", "found", "passed")
 
 
-def increment_form(inputs: dict[str, DataFrame]) -> str:
-    """``"lag"`` when every key has at most one row per day in all inputs, else ``"join"``."""
-    series = [
-        (facts.world_days(inputs["world"]), facts.WORLD_KEYS, "day"),
-        (facts.brazil_states(inputs["brazil"]), facts.BRAZIL_KEYS, "date"),
-        (inputs["usa"], facts.USA_KEYS, "date"),
-    ]
-    repeats = union_tables(*[repeated_days(*one) for one in series])
-    return "lag" if repeats.agg(F.sum("repeated_days")).first()[0] == 0 else "join"
+def increment_forms(inputs: dict[str, DataFrame], snapshot: str) -> dict[str, Form]:
+    """The increment form for each source, from the repeated days it has."""
+    series = {
+        "world": (facts.world_days(inputs["world"]), facts.WORLD_KEYS, "day"),
+        "brazil": (facts.brazil_states(inputs["brazil"]), facts.BRAZIL_KEYS, "date"),
+        "usa": (inputs["usa"], facts.USA_KEYS, "date"),
+    }
+    return {
+        name: choose_form(*one, f"{snapshot.rstrip('/')}/repeated_{name}")
+        for name, one in series.items()
+    }
 
 
 def _from_day(inputs: dict[str, DataFrame], since: dt.date | None) -> dict[str, DataFrame]:
@@ -73,7 +75,7 @@ def build_tables(
     inputs: dict[str, DataFrame],
     as_of: dt.date = dims.POPULATION_DAY,
     since: dt.date | None = None,
-    how: str = "join",
+    forms: dict[str, Form] | None = None,
     corrected: bool = False,
 ) -> dict[str, DataFrame]:
     """The five tables. ``since`` limits the facts to days from then on.
@@ -83,6 +85,7 @@ def build_tables(
     """
     world, brazil, provinces = inputs["world"], inputs["brazil"], inputs["provinces"]
     late = _from_day(inputs, since)
+    how = {"world": "join", "brazil": "join", "usa": "join", **(forms or {})}
     world_options = {"places": "each", "no_confirmed": facts.DETAILED} if corrected else {}
     return {
         "dim_country": dims.dim_country(world, as_of),
@@ -91,10 +94,10 @@ def build_tables(
         ),
         "dim_time": dims.dim_time(world, None if corrected else BRAZIL_NAME),
         "fact_covid_country": facts.country_fact(
-            late["world"], late["brazil"], late["usa"], how, **world_options
+            late["world"], late["brazil"], late["usa"], how["world"], **world_options
         ),
         "fact_covid_country_province": facts.province_fact(
-            late["brazil"], provinces, late["usa"], how
+            late["brazil"], provinces, late["usa"], how["brazil"], how["usa"]
         ),
     }
 
@@ -117,7 +120,8 @@ def build_lake(
     empty = check_inputs(inputs).where("check_name = 'rows' and not passed").collect()
     if empty:
         raise ValueError(f"no rows in {[row.source for row in empty]}")
-    tables = build_tables(inputs, as_of, since, increment_form(inputs), corrected)
+    forms = increment_forms(inputs, snapshot)
+    tables = build_tables(inputs, as_of, since, forms, corrected)
     many = int(spark.conf.get("spark.sql.shuffle.partitions"))
     for name, table in tables.items():
         fact = name.startswith("fact_")

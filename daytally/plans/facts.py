@@ -1,8 +1,9 @@
 """Daily facts by country and by province.
 
-Source frames are free of repeated rows. ``how`` names the increment form (see
-``operators.delta``): ``"join"`` is right for any source, ``"lag"`` needs one row per key and
-day and saves a shuffle. Country sums use ``pair_totals``, which needs no such choice.
+Source frames are free of repeated rows. ``how`` is the increment form (see
+``operators.distinct_delta``): ``"join"`` is right for any source, ``sources.choose_form`` finds
+the cheapest one that is right for a given source. Country sums use ``pair_totals``, which
+needs no such choice.
 """
 
 from __future__ import annotations
@@ -10,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import parse_mdy
-from ..operators import daily_delta, join_lookup, pair_totals, union_tables
+from ..operators import Form, distinct_delta, join_lookup, pair_totals, union_tables
 from ..schemas import (
     BRAZIL_NAME, CONFIRMED, DEATHS, FACT_COUNTRY, FACT_PROVINCE, MEASURES, STATE_LEVEL,
     USA_NAME, USA_SHORT,
@@ -26,18 +27,6 @@ USA_COUNTS = ["cases", "deaths"]
 WORLD_KEYS = ["case_type", "country_region", "combined_key"]
 
 
-def _increments(
-    df: DataFrame, keys: list[str], measures: list[str], how: str, date: str = "date"
-) -> DataFrame:
-    """Increments for a table of distinct rows.
-
-    In the join form equal readings of a day are merged first: they would give equal rows,
-    and their number would multiply with that of the day before.
-    """
-    rows = df.select(*keys, date, *measures)
-    return daily_delta(rows.distinct() if how == "join" else rows, keys, date, measures, how)
-
-
 def _measure_sources(confirmed: str, deaths: str) -> list[str]:
     """The columns that hold each of ``MEASURES`` after an increment step."""
     return [f"{confirmed}_delta", f"{deaths}_delta", confirmed, deaths]
@@ -57,9 +46,9 @@ def brazil_states(brazil: DataFrame) -> DataFrame:
     return brazil.where(F.col("place_type") == STATE_LEVEL)
 
 
-def brazil_province(brazil: DataFrame, provinces: DataFrame, how: str = "join") -> DataFrame:
+def brazil_province(brazil: DataFrame, provinces: DataFrame, how: Form = "join") -> DataFrame:
     """By state and day; the lookup's keys may carry blanks."""
-    days = _increments(brazil_states(brazil), BRAZIL_KEYS, BRAZIL_COUNTS, how)
+    days = distinct_delta(brazil_states(brazil), BRAZIL_KEYS, "date", BRAZIL_COUNTS, how)
     return (
         join_lookup(days, provinces, "state", trimmed=True)
         .select(F.lit(BRAZIL_NAME).alias("country_name"), "province_state", "date",
@@ -73,10 +62,10 @@ def brazil_country(brazil: DataFrame) -> DataFrame:
     return _by_day(totals, *BRAZIL_COUNTS, country=BRAZIL_NAME)
 
 
-def usa_province(usa: DataFrame, how: str = "join") -> DataFrame:
+def usa_province(usa: DataFrame, how: Form = "join") -> DataFrame:
     """By state and day. Two states of one name and different codes stay apart until the end."""
     return (
-        _increments(usa, USA_KEYS, USA_COUNTS, how)
+        distinct_delta(usa, USA_KEYS, "date", USA_COUNTS, how)
         .select(F.lit(USA_NAME).alias("country_name"),
                 F.col("state_name").alias("province_state"), "date", *_measures(*USA_COUNTS))
         .distinct()
@@ -128,20 +117,20 @@ def _world_rows(world: DataFrame, no_deaths: tuple, no_confirmed: tuple, how: st
     """
     days = world_days(counted_rows(world, no_deaths, no_confirmed))
     return (
-        _increments(days, WORLD_KEYS, ["cases"], how, date="day")
+        distinct_delta(days, WORLD_KEYS, "day", ["cases"], how)
         .select(F.col("country_region").alias("country_name"), F.col("day").alias("date"),
                 "case_type", "cases_delta", "cases")
         .distinct()
     )
 
 
-def world_confirmed(world: DataFrame, exclude: tuple = (), how: str = "join") -> DataFrame:
+def world_confirmed(world: DataFrame, exclude: tuple = (), how: Form = "join") -> DataFrame:
     only = world.where(F.col("case_type") == CONFIRMED)
     rows = _world_rows(only, (), exclude, how)
     return rows.select("country_name", "date", *_split_by_type())
 
 
-def world_deaths(world: DataFrame, exclude: tuple = DETAILED, how: str = "join") -> DataFrame:
+def world_deaths(world: DataFrame, exclude: tuple = DETAILED, how: Form = "join") -> DataFrame:
     only = world.where(F.col("case_type") == DEATHS)
     rows = _world_rows(only, exclude, (), how)
     return rows.select("country_name", "date", *_split_by_type())
@@ -152,7 +141,7 @@ def world_country(
     no_deaths: tuple = DETAILED,
     no_confirmed: tuple = (),
     places: str = "distinct",
-    how: str = "join",
+    how: Form = "join",
 ) -> DataFrame:
     """Confirmed cases and deaths by country and day.
 
@@ -174,7 +163,7 @@ def world_country(
 
 
 def country_fact(
-    world: DataFrame, brazil: DataFrame, usa: DataFrame, how: str = "join", **world_options
+    world: DataFrame, brazil: DataFrame, usa: DataFrame, how: Form = "join", **world_options
 ) -> DataFrame:
     """All three sources in one table. As in existing tables, a detailed country also has
     its confirmed cases from the world file; pass ``no_confirmed`` to leave those out."""
@@ -184,8 +173,12 @@ def country_fact(
 
 
 def province_fact(
-    brazil: DataFrame, provinces: DataFrame, usa: DataFrame, how: str = "join"
+    brazil: DataFrame,
+    provinces: DataFrame,
+    usa: DataFrame,
+    brazil_how: Form = "join",
+    usa_how: Form = "join",
 ) -> DataFrame:
     return union_tables(
-        brazil_province(brazil, provinces, how), usa_province(usa, how)
+        brazil_province(brazil, provinces, brazil_how), usa_province(usa, usa_how)
     ).select(*FACT_PROVINCE.names)

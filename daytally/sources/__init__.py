@@ -1,8 +1,8 @@
-from .checks import input_check, repeated_days
+from .checks import choose_form, input_check, repeated_days
 from .landing import land, load_snapshot
 from .readers import read_csv, read_inferred, read_json
 
 __all__ = [
-    "input_check", "land", "load_snapshot", "read_csv", "read_inferred", "read_json",
+    "choose_form", "input_check", "land", "load_snapshot", "read_csv", "read_inferred", "read_json",
     "repeated_days",
 ]

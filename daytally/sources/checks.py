@@ -4,15 +4,34 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from ..operators import Form
+
+# Up to this many keys with repeated days are broadcast: some 20 MB.
+SPLIT_KEYS = 100_000
+
+
+def _repeated(df: DataFrame, keys: list[str], date: str) -> DataFrame:
+    per_day = df.dropna(subset=[*keys, date]).groupBy(*keys, date).agg(F.count("*").alias("n"))
+    return per_day.where(F.col("n") > 1)
+
 
 def repeated_days(df: DataFrame, keys: list[str], date: str) -> DataFrame:
     """One row: on how many key-days (``repeated_days``) there is more than one row."""
-    return (
-        df.dropna(subset=[*keys, date])
-        .groupBy(*keys, date)
-        .agg(F.count("*").alias("n"))
-        .agg(F.count_if(F.col("n") > 1).alias("repeated_days"))
-    )
+    return _repeated(df, keys, date).agg(F.count("*").alias("repeated_days"))
+
+
+def choose_form(df: DataFrame, keys: list[str], date: str, path: str) -> Form:
+    """The cheapest increment form that is right for ``df`` (see ``operators.distinct_delta``).
+
+    Writes the keys that have repeated days to ``path`` and counts them: none allow the lag
+    form for all, a few are split off and joined, many mean joining everything.
+    """
+    _repeated(df, keys, date).select(*keys).distinct().write.mode("overwrite").parquet(path)
+    found = df.sparkSession.read.schema(df.select(*keys).schema).parquet(path)
+    n = found.limit(SPLIT_KEYS + 1).count()
+    if n == 0:
+        return "lag"
+    return found if n <= SPLIT_KEYS else "join"
 
 
 def input_check(df: DataFrame, required: list[str], not_null: list[str]) -> DataFrame:

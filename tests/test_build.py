@@ -3,7 +3,7 @@ from conftest import day, rows
 
 from daytally import schemas
 from daytally.plans.build import (
-    Sources, build_lake, check_inputs, increment_form, land_sources, open_lake,
+    Sources, build_lake, check_inputs, increment_forms, land_sources, open_lake,
 )
 
 WORLD_HEAD = ("Country_Region,Province_State,iso2,iso3,Case_Type,Cases,Population_Count,"
@@ -76,9 +76,11 @@ def test_empty_source_stops_the_run(spark, tmp_path):
 
 
 def test_form_follows_the_data(spark, tmp_path):
-    inputs = land_sources(spark, raw(tmp_path / "in", range(1, 3)), str(tmp_path / "s"))
-    assert increment_form(inputs) == "lag"
+    path = str(tmp_path / "s")
+    inputs = land_sources(spark, raw(tmp_path / "in", range(1, 3)), path)
+    assert increment_forms(inputs, path) == {"world": "lag", "brazil": "lag", "usa": "lag"}
     again = inputs["usa"].withColumn("cases", inputs["usa"].cases + 1)
-    assert increment_form({**inputs, "usa": inputs["usa"].unionByName(again)}) == "join"
+    forms = increment_forms({**inputs, "usa": inputs["usa"].unionByName(again)}, path)
+    assert forms["brazil"] == "lag" and rows(forms["usa"]) == [("Ohio", "39")]
     checks = check_inputs(inputs)
     assert checks.where("not passed").select("source", "check_name").collect() == []

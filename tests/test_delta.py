@@ -1,11 +1,12 @@
 import random
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import pytest
 from conftest import day, rows
 from pyspark.sql import functions as F
 
-from daytally.operators import daily_delta, pair_totals
+from daytally.operators import daily_delta, distinct_delta, pair_totals
+from daytally.sources import checks, choose_form
 
 SCHEMA = "k string, g string, date date, m bigint, x bigint"
 FORMS = ["join", "lag", "range"]
@@ -81,6 +82,30 @@ def test_forms_agree_on_unique_days(spark, seed):
     assert answers[0] and answers[0] == answers[1] == answers[2]
 
 
+@pytest.mark.parametrize("seed", range(3))
+def test_splitting_off_repeated_keys_changes_no_row(spark, tmp_path, seed):
+    steady = [r for r in _random_rows(seed, repeated=False) if r[0] != "a"]
+    data = steady + [r for r in _random_rows(seed, repeated=True) if r[0] == "a"]
+    days = Counter(r[:3] for r in data if None not in r[:2])
+    repeated = sorted({key[:2] for key, n in days.items() if n > 1})
+    df = series(spark, data)
+    args = (df, ["k", "g"], "date", ["m", "x"])
+    form = choose_form(df, ["k", "g"], "date", str(tmp_path / "repeated"))
+    assert repeated and rows(form) == repeated
+    whole = rows(daily_delta(*args, "join").distinct())
+    assert whole and rows(distinct_delta(*args, form).distinct()) == whole
+    assert rows(distinct_delta(*args, "join").distinct()) == whole
+
+
+def test_form_goes_by_the_number_of_repeated_keys(spark, tmp_path, monkeypatch):
+    df = series(spark, [(k, "g", day(1), n, 0) for k in "abc" for n in (1, 2)])
+    choose = lambda df: choose_form(df, ["k", "g"], "date", str(tmp_path / "repeated"))
+    assert choose(df).count() == 3
+    monkeypatch.setattr(checks, "SPLIT_KEYS", 2)
+    assert choose(df) == "join"
+    assert choose(df.where("m = 1")) == "lag"
+
+
 def _sum(values):
     known = [v for v in values if v is not None]
     return sum(known) if known else None

@@ -337,6 +337,11 @@ _BODIES = {
     "delta_join_long": "select * from q_long_pairs",
     "delta_lag": "select * from q_long_pairs",
     "delta_range": "select * from q_long_pairs",
+    "delta_split": """
+        select distinct a.user_id, a.case_type, a.day, a.reading - b.reading as reading_delta,
+               a.reading
+        from fx_readings a join fx_readings b
+          on a.user_id = b.user_id and a.case_type = b.case_type and a.day - 1 = b.day""",
     "delta_pair_totals": """
         select a.user_id, a.case_type, a.day,
                cast(sum(a.reading - b.reading) as bigint) as reading_delta,

@@ -8,12 +8,14 @@ from pyspark.sql import functions as F
 
 from daytally import schemas
 from daytally.functions import date_parts, date_text, parse_mdy, to_mdy
-from daytally.operators import daily_delta, join_lookup, pair_totals, preview, union_tables
+from daytally.operators import (
+    daily_delta, distinct_delta, join_lookup, pair_totals, preview, union_tables,
+)
 from daytally.plans import analyses, dims, facts, quality
 from daytally.plans.build import Sources, build_lake, open_lake
 from daytally.sinks import read_table, scratch_dir, with_month, write_table
 from daytally.sources import (
-    input_check, land, read_csv, read_inferred, read_json, repeated_days,
+    choose_form, input_check, land, read_csv, read_inferred, read_json, repeated_days,
 )
 
 from . import standins
@@ -295,6 +297,14 @@ QUERIES["delta_lag"] = _long_delta("lag")
 QUERIES["delta_range"] = _long_delta("range")
 
 
+@query
+def delta_split(spark, sf):
+    rows = standins.readings(spark, sf)
+    keys = ["user_id", "case_type"]
+    form = choose_form(rows, keys, "day", scratch_dir(spark, "repeated"))
+    return distinct_delta(rows, keys, "day", ["reading"], form).distinct()
+
+
 @query
 def delta_pair_totals(spark, sf):
     rows = standins.readings(spark, sf)
@@ -506,7 +516,7 @@ def fact_country_corrected(spark, sf):
 @query
 def fact_province_all(spark, sf):
     return facts.province_fact(
-        brazil(spark, sf), provinces(spark, sf), usa(spark, sf), how="lag"
+        brazil(spark, sf), provinces(spark, sf), usa(spark, sf), "lag", "lag"
     )
 
 
