@@ -1,4 +1,4 @@
-"""One query per operator, table and analysis; each takes (spark, sf_dir)."""
+"""One query per operator, table and analysis, over the stand-in sources."""
 
 from __future__ import annotations
 
@@ -18,8 +18,7 @@ from daytally.sources import (
     choose_form, input_check, land, read_csv, read_inferred, read_json, repeated_days,
 )
 
-from . import standins
-from .standins import AS_OF, BRAZIL, USA, brazil, provinces, usa, world, world_by_customer
+from .standins import AS_OF, BRAZIL, USA, StandIns
 
 DETAILED = (BRAZIL, USA)
 ALIASES = {schemas.BRAZIL_NAME: BRAZIL, schemas.USA_NAME: USA}
@@ -28,8 +27,12 @@ FROM_DAY = dt.date(2024, 1, 20)
 QUERIES = {}
 
 
+def _registered(fn):
+    return lambda spark, sf_dir: fn(StandIns(spark, sf_dir))
+
+
 def query(fn):
-    QUERIES[fn.__name__.rstrip("_")] = fn
+    QUERIES[fn.__name__.rstrip("_")] = _registered(fn)
     return fn
 
 
@@ -37,219 +40,219 @@ def query(fn):
 
 
 @query
-def scan_csv(spark, sf):
-    path = scratch_dir(spark, "scan_csv")
-    world_by_customer(spark, sf).write.option("header", True).csv(path)
-    return read_csv(spark, path, schemas.WORLD)
+def scan_csv(s):
+    path = scratch_dir(s.spark, "scan_csv")
+    s.world_by_customer.write.option("header", True).csv(path)
+    return read_csv(s.spark, path, schemas.WORLD)
 
 
 @query
-def scan_csv_gz(spark, sf):
-    path = scratch_dir(spark, "scan_csv_gz")
-    brazil(spark, sf).write.options(header=True, compression="gzip").csv(path)
-    return read_csv(spark, path, schemas.BRAZIL, spread=8)
+def scan_csv_gz(s):
+    path = scratch_dir(s.spark, "scan_csv_gz")
+    s.brazil.write.options(header=True, compression="gzip").csv(path)
+    return read_csv(s.spark, path, schemas.BRAZIL, spread=8)
 
 
 @query
-def scan_json(spark, sf):
-    path = scratch_dir(spark, "scan_json")
-    usa(spark, sf).write.json(path)
-    return read_json(spark, path, schemas.USA)
+def scan_json(s):
+    path = scratch_dir(s.spark, "scan_json")
+    s.usa.write.json(path)
+    return read_json(s.spark, path, schemas.USA)
 
 
 @query
-def scan_infer(spark, sf):
-    path = scratch_dir(spark, "scan_infer")
-    world_by_customer(spark, sf).write.option("header", True).csv(path)
-    found = read_inferred(spark, path)
+def scan_infer(s):
+    path = scratch_dir(s.spark, "scan_infer")
+    s.world_by_customer.write.option("header", True).csv(path)
+    found = read_inferred(s.spark, path)
     return found.select("date", "combined_key", "case_type", F.col("cases").cast("bigint"))
 
 
 @query
-def snapshot_raw(spark, sf):
-    path = scratch_dir(spark, "raw")
-    rows = world_by_customer(spark, sf)
+def snapshot_raw(s):
+    path = scratch_dir(s.spark, "raw")
+    rows = s.world_by_customer
     rows.write.option("header", True).csv(path)
     rows.where(F.col("case_type") == "Deaths").write.mode("append").option("header", True).csv(path)
-    raw = read_csv(spark, path + "/*.csv", schemas.WORLD)
-    return land(raw, scratch_dir(spark, "snapshot"))
+    raw = read_csv(s.spark, path + "/*.csv", schemas.WORLD)
+    return land(raw, scratch_dir(s.spark, "snapshot"))
 
 
 @query
-def input_check_(spark, sf):
+def input_check_(s):
     return input_check(
-        world_by_customer(spark, sf),
+        s.world_by_customer,
         required=["date", "combined_key", "uid"],
         not_null=["date", "country_region", "combined_key", "cases"],
     )
 
 
 @query
-def input_repeated_days(spark, sf):
-    return repeated_days(standins.readings(spark, sf), ["user_id", "case_type"], "day")
+def input_repeated_days(s):
+    return repeated_days(s.readings, ["user_id", "case_type"], "day")
 
 
 # --- sinks -----------------------------------------------------------------------------------
 
 
 @query
-def sink_overwrite_1(spark, sf):
-    path = scratch_dir(spark, "dim_country")
-    write_table(dims.dim_country(world(spark, sf), AS_OF), path, ["country_region"])
-    return read_table(spark, path, schemas.DIM_COUNTRY)
+def sink_overwrite_1(s):
+    path = scratch_dir(s.spark, "dim_country")
+    write_table(dims.dim_country(s.world, AS_OF), path, ["country_region"])
+    return read_table(s.spark, path, schemas.DIM_COUNTRY)
 
 
 @query
-def sink_overwrite(spark, sf):
-    path = scratch_dir(spark, "dim_time")
-    write_table(dims.dim_time(world(spark, sf), BRAZIL), path, ["year", "month"])
-    return read_table(spark, path, schemas.DIM_TIME)
+def sink_overwrite(s):
+    path = scratch_dir(s.spark, "dim_time")
+    write_table(dims.dim_time(s.world, BRAZIL), path, ["year", "month"])
+    return read_table(s.spark, path, schemas.DIM_TIME)
 
 
 @query
-def sink_overwrite_3(spark, sf):
-    path = scratch_dir(spark, "fact_province")
+def sink_overwrite_3(s):
+    path = scratch_dir(s.spark, "fact_province")
     by = ["country_name", "province_state", "date"]
-    write_table(fact_province_all(spark, sf), path, by, tasks=WRITERS)
-    return read_table(spark, path, schemas.FACT_PROVINCE)
+    write_table(fact_province_all(s), path, by, tasks=WRITERS)
+    return read_table(s.spark, path, schemas.FACT_PROVINCE)
 
 
 @query
-def sink_by_month(spark, sf):
-    path = scratch_dir(spark, "places_by_month")
-    rows = facts.world_days(world_by_customer(spark, sf)).withColumnRenamed("day", "date")
+def sink_by_month(s):
+    path = scratch_dir(s.spark, "places_by_month")
+    rows = facts.world_days(s.world_by_customer).withColumnRenamed("day", "date")
     write_table(with_month(rows), path, ["country_region", "month"])
     schema = with_month(rows).schema
-    return read_table(spark, path, schema).where(F.col("month") == F.lit(dt.date(2024, 1, 1)))
+    return read_table(s.spark, path, schema).where(F.col("month") == F.lit(dt.date(2024, 1, 1)))
 
 
 @query
-def sink_append(spark, sf):
-    path = scratch_dir(spark, "fact_country")
+def sink_append(s):
+    path = scratch_dir(s.spark, "fact_country")
     by = ["country_name", "date"]
-    write_table(facts.brazil_country(brazil(spark, sf)), path, by, tasks=WRITERS)
-    write_table(facts.usa_country(usa(spark, sf)), path, by, "append", tasks=WRITERS)
-    write_table(fact_world_country(spark, sf), path, by, "append", tasks=WRITERS)
-    return read_table(spark, path, schemas.FACT_COUNTRY)
+    write_table(facts.brazil_country(s.brazil), path, by, tasks=WRITERS)
+    write_table(facts.usa_country(s.usa), path, by, "append", tasks=WRITERS)
+    write_table(fact_world_country(s), path, by, "append", tasks=WRITERS)
+    return read_table(s.spark, path, schemas.FACT_COUNTRY)
 
 
 @query
-def sink_dynamic(spark, sf):
-    path = scratch_dir(spark, "fact_country")
-    fact = fact_country_all(spark, sf)
+def sink_dynamic(s):
+    path = scratch_dir(s.spark, "fact_country")
+    fact = fact_country_all(s)
     by = ["country_name", "date"]
     write_table(fact, path, by, tasks=WRITERS)
     late = fact.where(F.col("date") >= F.lit(FROM_DAY))
     write_table(late, path, by, "dynamic", tasks=WRITERS)
-    return read_table(spark, path, schemas.FACT_COUNTRY)
+    return read_table(s.spark, path, schemas.FACT_COUNTRY)
 
 
 @query
-def lake_read_pruned(spark, sf):
-    written = sink_overwrite_3(spark, sf)
+def lake_read_pruned(s):
+    written = sink_overwrite_3(s)
     return written.where(
         (F.col("country_name") == schemas.BRAZIL_NAME) & (F.col("date") >= F.lit(FROM_DAY))
     )
 
 
 @query
-def preview_n(spark, sf):
+def preview_n(s):
     order = ["country_region", "combined_key", "case_type", "cases"]
-    return preview(world_by_customer(spark, sf).select(*order, "date"), 10, order)
+    return preview(s.world_by_customer.select(*order, "date"), 10, order)
 
 
 # --- projections, filters, duplicates, unions --------------------------------------------------
 
 
 @query
-def project_select(spark, sf):
-    return world_by_customer(spark, sf).select(
+def project_select(s):
+    return s.world_by_customer.select(
         F.col("country_region").alias("country_name"), "combined_key", "case_type", "date", "cases"
     )
 
 
 @query
-def project_add(spark, sf):
+def project_add(s):
     day = parse_mdy(F.col("date"))
     return (
-        world_by_customer(spark, sf)
+        s.world_by_customer
         .select("combined_key", "case_type", "date")
         .withColumns({"day": day, "day_before": F.date_sub(day, 1)})
     )
 
 
 @query
-def project_literal(spark, sf):
-    return usa(spark, sf).select(
+def project_literal(s):
+    return s.usa.select(
         F.lit(schemas.USA_NAME).alias("country_name"), F.col("state_name").alias("province_state"),
         "date", "cases", "deaths",
     )
 
 
 @query
-def filter_eq(spark, sf):
-    rows = world_by_customer(spark, sf).where(F.col("country_region") == BRAZIL)
+def filter_eq(s):
+    rows = s.world_by_customer.where(F.col("country_region") == BRAZIL)
     return rows.select("combined_key", "case_type", "date", "cases")
 
 
 @query
-def filter_and(spark, sf):
-    rows = world_by_customer(spark, sf).where(
+def filter_and(s):
+    rows = s.world_by_customer.where(
         (F.col("country_region") == BRAZIL) & (F.col("case_type") == "Deaths")
     )
     return rows.select("combined_key", "date", "cases")
 
 
 @query
-def filter_not_in(spark, sf):
-    rows = world_by_customer(spark, sf).where(~F.col("country_region").isin(*DETAILED))
+def filter_not_in(s):
+    rows = s.world_by_customer.where(~F.col("country_region").isin(*DETAILED))
     return rows.select("country_region", "combined_key", "case_type", "date", "cases")
 
 
 @query
-def filter_as_of(spark, sf):
-    rows = world_by_customer(spark, sf).where(F.col("date") == to_mdy(AS_OF))
+def filter_as_of(s):
+    rows = s.world_by_customer.where(F.col("date") == to_mdy(AS_OF))
     return rows.select("country_region", "combined_key", "case_type", "cases")
 
 
 @query
-def filter_as_of_date(spark, sf):
-    rows = brazil(spark, sf).where(F.col("date") == F.lit(AS_OF))
+def filter_as_of_date(s):
+    rows = s.brazil.where(F.col("date") == F.lit(AS_OF))
     return rows.select("state", "place_type", "last_available_confirmed")
 
 
 @query
-def filter_level(spark, sf):
-    return facts.brazil_states(brazil(spark, sf))
+def filter_level(s):
+    return facts.brazil_states(s.brazil)
 
 
 @query
-def dedup_rows(spark, sf):
-    return brazil(spark, sf).dropDuplicates()
+def dedup_rows(s):
+    return s.brazil.dropDuplicates()
 
 
 @query
-def dedup_column(spark, sf):
-    return world_by_customer(spark, sf).select("date").distinct()
+def dedup_column(s):
+    return s.world_by_customer.select("date").distinct()
 
 
 @query
-def dedup_by_key(spark, sf):
+def dedup_by_key(s):
     keys = ["country_region", "province_state", "population_count"]
-    return world_by_customer(spark, sf).select(*keys).dropDuplicates(keys[:2])
+    return s.world_by_customer.select(*keys).dropDuplicates(keys[:2])
 
 
 @query
-def distinct_join(spark, sf):
-    rows = facts.world_days(world_by_customer(spark, sf))
+def distinct_join(s):
+    rows = facts.world_days(s.world_by_customer)
     increments = daily_delta(rows, facts.WORLD_KEYS, "day", ["cases"])
     return increments.select("case_type", "country_region", "day", "cases_delta").distinct()
 
 
 @query
-def union_by_name(spark, sf):
-    first = usa(spark, sf).select("date", F.col("state_name").alias("place"), "cases", "deaths")
-    second = facts.brazil_states(brazil(spark, sf)).select(
+def union_by_name(s):
+    first = s.usa.select("date", F.col("state_name").alias("place"), "cases", "deaths")
+    second = facts.brazil_states(s.brazil).select(
         F.col("last_available_deaths").alias("deaths"),
         F.col("last_available_confirmed").alias("cases"),
         F.col("state").alias("place"),
@@ -262,52 +265,52 @@ def union_by_name(spark, sf):
 
 
 @query
-def join_lookup_raw(spark, sf):
-    rows = brazil(spark, sf).select("date", "state", "place_type", "last_available_confirmed")
-    return join_lookup(rows, provinces(spark, sf), "state")
+def join_lookup_raw(s):
+    rows = s.brazil.select("date", "state", "place_type", "last_available_confirmed")
+    return join_lookup(rows, s.provinces, "state")
 
 
 @query
-def join_lookup_trim(spark, sf):
-    rows = brazil(spark, sf).select("date", "state", "place_type", "last_available_confirmed")
-    return join_lookup(rows, provinces(spark, sf), "state", trimmed=True)
+def join_lookup_trim(s):
+    rows = s.brazil.select("date", "state", "place_type", "last_available_confirmed")
+    return join_lookup(rows, s.provinces, "state", trimmed=True)
 
 
 @query
-def delta_join_1key(spark, sf):
-    states = facts.brazil_states(brazil(spark, sf))
+def delta_join_1key(s):
+    states = facts.brazil_states(s.brazil)
     return daily_delta(states, facts.BRAZIL_KEYS, "date", facts.BRAZIL_COUNTS)
 
 
 @query
-def delta_join_2key(spark, sf):
-    return daily_delta(usa(spark, sf), facts.USA_KEYS, "date", facts.USA_COUNTS)
+def delta_join_2key(s):
+    return daily_delta(s.usa, facts.USA_KEYS, "date", facts.USA_COUNTS)
 
 
 def _long_delta(how):
-    def run(spark, sf):
-        rows = facts.world_days(world_by_customer(spark, sf))
+    def run(s):
+        rows = facts.world_days(s.world_by_customer)
         return daily_delta(rows, facts.WORLD_KEYS, "day", ["cases"], how)
 
     return run
 
 
-QUERIES["delta_join_long"] = _long_delta("join")
-QUERIES["delta_lag"] = _long_delta("lag")
-QUERIES["delta_range"] = _long_delta("range")
+QUERIES["delta_join_long"] = _registered(_long_delta("join"))
+QUERIES["delta_lag"] = _registered(_long_delta("lag"))
+QUERIES["delta_range"] = _registered(_long_delta("range"))
 
 
 @query
-def delta_split(spark, sf):
-    rows = standins.readings(spark, sf)
+def delta_split(s):
+    rows = s.readings
     keys = ["user_id", "case_type"]
-    form = choose_form(rows, keys, "day", scratch_dir(spark, "repeated"))
+    form = choose_form(rows, keys, "day", scratch_dir(s.spark, "repeated"))
     return distinct_delta(rows, keys, "day", ["reading"], form).distinct()
 
 
 @query
-def delta_pair_totals(spark, sf):
-    rows = standins.readings(spark, sf)
+def delta_pair_totals(s):
+    rows = s.readings
     return pair_totals(rows, ["user_id", "case_type"], "day", ["reading"])
 
 
@@ -315,19 +318,19 @@ def delta_pair_totals(spark, sf):
 
 
 @query
-def agg_max(spark, sf):
+def agg_max(s):
     return (
-        world_by_customer(spark, sf)
+        s.world_by_customer
         .groupBy("country_region", "province_state")
         .agg(F.max("cases").alias("max_cases"))
     )
 
 
 @query
-def agg_join_sum(spark, sf):
-    rows = brazil(spark, sf).groupBy("state").agg(F.sum("last_available_confirmed").alias("n"))
+def agg_join_sum(s):
+    rows = s.brazil.groupBy("state").agg(F.sum("last_available_confirmed").alias("n"))
     return (
-        join_lookup(rows, provinces(spark, sf), "state")
+        join_lookup(rows, s.provinces, "state")
         .groupBy("province_state")
         .agg(F.sum("n").alias("confirmed"))
         .select(F.lit(schemas.BRAZIL_NAME).alias("country_region"), "province_state", "confirmed")
@@ -335,20 +338,20 @@ def agg_join_sum(spark, sf):
 
 
 @query
-def agg_conditional(spark, sf):
+def agg_conditional(s):
     def total(kind):
         return F.sum(F.when(F.col("case_type") == kind, F.col("cases")))
 
     return (
-        world_by_customer(spark, sf)
+        s.world_by_customer
         .groupBy("country_region", "province_state", "date")
         .agg(total("Confirmed").alias("confirmed"), total("Deaths").alias("deaths"))
     )
 
 
 @query
-def count_distinct(spark, sf):
-    return world_by_customer(spark, sf).agg(
+def count_distinct(s):
+    return s.world_by_customer.agg(
         F.count_distinct("country_region").alias("countries"),
         F.count_distinct("date").alias("dates"),
         F.count_distinct("combined_key").alias("places"),
@@ -359,26 +362,26 @@ def count_distinct(spark, sf):
 
 
 @query
-def date_parts_(spark, sf):
+def date_parts_(s):
     parts = date_parts(F.col("date"))
     padded = F.concat_ws("-", parts["month"], parts["day"], parts["year"])
-    return world_by_customer(spark, sf).select(
+    return s.world_by_customer.select(
         "combined_key", "case_type", "date",
         *[c.alias(name) for name, c in parts.items()], padded.alias("padded"),
     )
 
 
 @query
-def parse_date(spark, sf):
-    return world_by_customer(spark, sf).select(
+def parse_date(s):
+    return s.world_by_customer.select(
         "combined_key", "case_type", "date", parse_mdy(F.col("date")).alias("day")
     )
 
 
 @query
-def format_date(spark, sf):
+def format_date(s):
     day = parse_mdy(F.col("date"))
-    return world_by_customer(spark, sf).select(
+    return s.world_by_customer.select(
         "combined_key", "case_type", date_text(day).alias("iso"),
         date_text(day, "MM/dd/yyyy").alias("us"),
     )
@@ -388,40 +391,40 @@ def format_date(spark, sf):
 
 
 @query
-def dim_country(spark, sf):
-    return dims.dim_country(world(spark, sf), AS_OF)
+def dim_country(s):
+    return dims.dim_country(s.world, AS_OF)
 
 
 @query
-def dim_province_usa(spark, sf):
-    return dims.dim_province_usa(world(spark, sf), AS_OF, USA)
+def dim_province_usa(s):
+    return dims.dim_province_usa(s.world, AS_OF, USA)
 
 
 @query
-def dim_province_usa_sum(spark, sf):
-    return dims.dim_province_usa(world_by_customer(spark, sf), AS_OF, USA, population="sum")
+def dim_province_usa_sum(s):
+    return dims.dim_province_usa(s.world_by_customer, AS_OF, USA, population="sum")
 
 
 @query
-def dim_province_brazil(spark, sf):
-    return dims.dim_province_brazil(brazil(spark, sf), provinces(spark, sf), AS_OF)
+def dim_province_brazil(s):
+    return dims.dim_province_brazil(s.brazil, s.provinces, AS_OF)
 
 
 @query
-def dim_province(spark, sf):
+def dim_province(s):
     return dims.dim_province(
-        world(spark, sf), brazil(spark, sf), provinces(spark, sf), AS_OF, USA
+        s.world, s.brazil, s.provinces, AS_OF, USA
     )
 
 
 @query
-def dim_time(spark, sf):
-    return dims.dim_time(world(spark, sf), BRAZIL)
+def dim_time(s):
+    return dims.dim_time(s.world, BRAZIL)
 
 
 @query
-def dim_time_all(spark, sf):
-    return dims.dim_time(world(spark, sf), country=None)
+def dim_time_all(s):
+    return dims.dim_time(s.world, country=None)
 
 
 # The stand-ins have one row per key and day, so the named facts use the lag form; the same
@@ -429,94 +432,94 @@ def dim_time_all(spark, sf):
 
 
 @query
-def fact_brazil_province(spark, sf):
-    return facts.brazil_province(brazil(spark, sf), provinces(spark, sf), how="lag")
+def fact_brazil_province(s):
+    return facts.brazil_province(s.brazil, s.provinces, how="lag")
 
 
 @query
-def fact_brazil_province_join(spark, sf):
-    return facts.brazil_province(brazil(spark, sf), provinces(spark, sf))
+def fact_brazil_province_join(s):
+    return facts.brazil_province(s.brazil, s.provinces)
 
 
 @query
-def fact_brazil_country(spark, sf):
-    return facts.brazil_country(brazil(spark, sf))
+def fact_brazil_country(s):
+    return facts.brazil_country(s.brazil)
 
 
 @query
-def fact_usa_province(spark, sf):
-    return facts.usa_province(usa(spark, sf), how="lag")
+def fact_usa_province(s):
+    return facts.usa_province(s.usa, how="lag")
 
 
 @query
-def fact_usa_province_join(spark, sf):
-    return facts.usa_province(usa(spark, sf))
+def fact_usa_province_join(s):
+    return facts.usa_province(s.usa)
 
 
 @query
-def fact_usa_country(spark, sf):
-    return facts.usa_country(usa(spark, sf))
+def fact_usa_country(s):
+    return facts.usa_country(s.usa)
 
 
 @query
-def world_confirmed(spark, sf):
-    return facts.world_confirmed(world(spark, sf), how="lag")
+def world_confirmed(s):
+    return facts.world_confirmed(s.world, how="lag")
 
 
 @query
-def world_deaths(spark, sf):
-    return facts.world_deaths(world(spark, sf), DETAILED, how="lag")
+def world_deaths(s):
+    return facts.world_deaths(s.world, DETAILED, how="lag")
 
 
 @query
-def fact_world_country(spark, sf):
-    return facts.world_country(world(spark, sf), DETAILED, how="lag")
+def fact_world_country(s):
+    return facts.world_country(s.world, DETAILED, how="lag")
 
 
 @query
-def fact_world_country_join(spark, sf):
-    return facts.world_country(world(spark, sf), DETAILED)
+def fact_world_country_join(s):
+    return facts.world_country(s.world, DETAILED)
 
 
 @query
-def fact_world_country_bykey(spark, sf):
-    return facts.world_country(world(spark, sf), DETAILED, places="each")
+def fact_world_country_bykey(s):
+    return facts.world_country(s.world, DETAILED, places="each")
 
 
 @query
-def fact_world_customers(spark, sf):
-    return facts.world_country(world_by_customer(spark, sf), DETAILED, how="lag")
+def fact_world_customers(s):
+    return facts.world_country(s.world_by_customer, DETAILED, how="lag")
 
 
 @query
-def fact_world_customers_join(spark, sf):
-    return facts.world_country(world_by_customer(spark, sf), DETAILED)
+def fact_world_customers_join(s):
+    return facts.world_country(s.world_by_customer, DETAILED)
 
 
 @query
-def fact_world_customers_bykey(spark, sf):
-    return facts.world_country(world_by_customer(spark, sf), DETAILED, places="each")
+def fact_world_customers_bykey(s):
+    return facts.world_country(s.world_by_customer, DETAILED, places="each")
 
 
 @query
-def fact_country_all(spark, sf):
+def fact_country_all(s):
     return facts.country_fact(
-        world(spark, sf), brazil(spark, sf), usa(spark, sf), "lag", no_deaths=DETAILED
+        s.world, s.brazil, s.usa, "lag", no_deaths=DETAILED
     )
 
 
 @query
-def fact_country_corrected(spark, sf):
+def fact_country_corrected(s):
     return facts.country_fact(
-        world(spark, sf), brazil(spark, sf), usa(spark, sf),
+        s.world, s.brazil, s.usa,
         no_deaths=DETAILED, no_confirmed=DETAILED, places="each",
     )
 
 
 @query
-def fact_province_all(spark, sf):
+def fact_province_all(s):
     return facts.province_fact(
-        brazil(spark, sf), provinces(spark, sf), usa(spark, sf), "lag", "lag"
+        s.brazil, s.provinces, s.usa, "lag", "lag"
     )
 
 
@@ -524,80 +527,80 @@ def fact_province_all(spark, sf):
 
 
 @query
-def quality_counts(spark, sf):
-    return quality.source_report(world(spark, sf), DETAILED)
+def quality_counts(s):
+    return quality.source_report(s.world, DETAILED)
 
 
 @query
-def quality_lake(spark, sf):
-    path = scratch_dir(spark, "lake")
-    rows = world(spark, sf)
+def quality_lake(s):
+    path = scratch_dir(s.spark, "lake")
+    rows = s.world
     tables = {
         "dim_country": dims.dim_country(rows, AS_OF),
         "dim_time": dims.dim_time(rows, None),
-        "fact_covid_country": fact_country_corrected(spark, sf),
+        "fact_covid_country": fact_country_corrected(s),
     }
     written = {}
     for name, df in tables.items():
         write_table(df, f"{path}/{name}", schemas.PARTITIONS[name], tasks=WRITERS)
-        written[name] = read_table(spark, f"{path}/{name}", schemas.TABLES[name])
+        written[name] = read_table(s.spark, f"{path}/{name}", schemas.TABLES[name])
     return quality.lake_report(*written.values(), aliases=ALIASES)
 
 
 @query
-def compare_countries(spark, sf):
+def compare_countries(s):
     return analyses.compare_countries(
-        fact_country_corrected(spark, sf), dim_country(spark, sf), aliases=ALIASES
+        fact_country_corrected(s), dim_country(s), aliases=ALIASES
     )
 
 
 @query
-def compare_countries_on_day(spark, sf):
+def compare_countries_on_day(s):
     return analyses.compare_countries(
-        fact_country_corrected(spark, sf), dim_country(spark, sf), AS_OF, ALIASES
+        fact_country_corrected(s), dim_country(s), AS_OF, ALIASES
     )
 
 
 @query
-def spread(spark, sf):
-    return analyses.spread(fact_country_corrected(spark, sf))
+def spread(s):
+    return analyses.spread(fact_country_corrected(s))
 
 
 @query
-def countries_reached(spark, sf):
-    return analyses.countries_reached(fact_country_corrected(spark, sf))
+def countries_reached(s):
+    return analyses.countries_reached(fact_country_corrected(s))
 
 
 @query
-def mortality_rate(spark, sf):
-    return analyses.mortality_rate(fact_country_corrected(spark, sf))
+def mortality_rate(s):
+    return analyses.mortality_rate(fact_country_corrected(s))
 
 
 @query
-def mortality_rate_province(spark, sf):
-    return analyses.mortality_rate(fact_province_all(spark, sf))
+def mortality_rate_province(s):
+    return analyses.mortality_rate(fact_province_all(s))
 
 
 @query
-def percent_increase(spark, sf):
-    return analyses.percent_increase(fact_country_corrected(spark, sf))
+def percent_increase(s):
+    return analyses.percent_increase(fact_country_corrected(s))
 
 
 @query
-def trace_province(spark, sf):
-    written = sink_overwrite_3(spark, sf)
+def trace_province(s):
+    written = sink_overwrite_3(s)
     return analyses.trace(written, schemas.USA_NAME, "MACHINERY", since=AS_OF)
 
 
 @query
-def trace_country(spark, sf):
-    return analyses.trace(fact_country_all(spark, sf), schemas.BRAZIL_NAME, until=AS_OF)
+def trace_country(s):
+    return analyses.trace(fact_country_all(s), schemas.BRAZIL_NAME, until=AS_OF)
 
 
 # --- the whole run -----------------------------------------------------------------------------
 
 
-def _raw_files(spark, sf):
+def _raw_files(s):
     """The stand-ins as raw files, the two detailed countries under the names a run expects."""
     name = F.col("country_region")
     named = (
@@ -605,46 +608,46 @@ def _raw_files(spark, sf):
         .when(name == USA, schemas.USA_SHORT)
         .otherwise(name)
     )
-    root = scratch_dir(spark, "files")
+    root = scratch_dir(s.spark, "files")
     sources = Sources(*[f"{root}/{n}" for n in ("world", "brazil", "provinces", "usa")])
     with_header = {"header": True}
-    world(spark, sf).withColumn("country_region", named).write.options(**with_header).csv(
+    s.world.withColumn("country_region", named).write.options(**with_header).csv(
         sources.world
     )
-    brazil(spark, sf).write.options(**with_header, compression="gzip").csv(sources.brazil)
+    s.brazil.write.options(**with_header, compression="gzip").csv(sources.brazil)
     # Blanks around a key are data here and must survive the writer.
-    provinces(spark, sf).write.options(
+    s.provinces.write.options(
         **with_header, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
     ).csv(sources.provinces)
-    usa(spark, sf).write.json(sources.usa)
+    s.usa.write.json(sources.usa)
     return sources
 
 
-def _built(spark, sf, corrected=False, since=None):
-    sources = _raw_files(spark, sf)
-    root = scratch_dir(spark, "run")
+def _built(s, corrected=False, since=None):
+    sources = _raw_files(s)
+    root = scratch_dir(s.spark, "run")
     snapshot, lake = f"{root}/snapshot", f"{root}/lake"
-    build_lake(spark, sources, snapshot, lake, AS_OF, corrected=corrected)
+    build_lake(s.spark, sources, snapshot, lake, AS_OF, corrected=corrected)
     if since:
-        build_lake(spark, sources, snapshot, lake, AS_OF, since, corrected)
-    return open_lake(spark, lake)
+        build_lake(s.spark, sources, snapshot, lake, AS_OF, since, corrected)
+    return open_lake(s.spark, lake)
 
 
 @query
-def lake_build_country(spark, sf):
-    return _built(spark, sf)["fact_covid_country"]
+def lake_build_country(s):
+    return _built(s)["fact_covid_country"]
 
 
 @query
-def lake_build_province(spark, sf):
-    return _built(spark, sf)["fact_covid_country_province"]
+def lake_build_province(s):
+    return _built(s)["fact_covid_country_province"]
 
 
 @query
-def lake_build_corrected(spark, sf):
-    return _built(spark, sf, corrected=True)["fact_covid_country"]
+def lake_build_corrected(s):
+    return _built(s, corrected=True)["fact_covid_country"]
 
 
 @query
-def lake_reload_since(spark, sf):
-    return _built(spark, sf, since=FROM_DAY)["fact_covid_country"]
+def lake_reload_since(s):
+    return _built(s, since=FROM_DAY)["fact_covid_country"]
