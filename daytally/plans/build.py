@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .. import schemas
+from ..functions import to_mdy
 from ..operators import Form, union_tables
 from ..schemas import BRAZIL_NAME, PARTITIONS, TABLES, USA_NAME, USA_SHORT
 from ..sinks import read_table, write_table
@@ -25,14 +26,38 @@ class Sources:
     usa: str
 
 
-def land_sources(spark: SparkSession, sources: Sources, snapshot: str) -> dict[str, DataFrame]:
-    """Typed copies of the inputs, without repeated rows, under ``snapshot``."""
-    raw = {
-        "world": facts.with_day(read_csv(spark, sources.world, schemas.WORLD)),
-        "brazil": read_csv(spark, sources.brazil, schemas.BRAZIL),
-        "provinces": read_csv(spark, sources.provinces, schemas.PROVINCES),
-        "usa": read_json(spark, sources.usa, schemas.USA),
-    }
+def _first_fact_day(since: dt.date) -> dt.date:
+    """The day before ``since``: its counts are what the first increments start from."""
+    return since - dt.timedelta(days=1)
+
+
+def _first_landed_day(since: dt.date) -> dt.date:
+    """The start of that day's month, so that the time dimension's folders are whole."""
+    return _first_fact_day(since).replace(day=1)
+
+
+def land_sources(
+    spark: SparkSession,
+    sources: Sources,
+    snapshot: str,
+    since: dt.date | None = None,
+    as_of: dt.date = dims.POPULATION_DAY,
+) -> dict[str, DataFrame]:
+    """Typed copies of the inputs, without repeated rows, under ``snapshot``.
+
+    With ``since``, only the rows a load from that day on needs are kept, before the shuffle
+    that drops repeated rows: the days concerned and the day of the population figures.
+    """
+    world = facts.with_day(read_csv(spark, sources.world, schemas.WORLD))
+    brazil = read_csv(spark, sources.brazil, schemas.BRAZIL)
+    usa = read_json(spark, sources.usa, schemas.USA)
+    if since is not None:
+        first = F.lit(_first_landed_day(since))
+        world = world.where((F.col("day") >= first) | (F.col("date") == to_mdy(as_of)))
+        brazil = brazil.where((F.col("date") >= first) | (F.col("date") == F.lit(as_of)))
+        usa = usa.where(F.col("date") >= first)
+    provinces = read_csv(spark, sources.provinces, schemas.PROVINCES)
+    raw = {"world": world, "brazil": brazil, "provinces": provinces, "usa": usa}
     return {name: land(df, f"{snapshot.rstrip('/')}/{name}") for name, df in raw.items()}
 
 
@@ -58,16 +83,11 @@ def increment_forms(inputs: dict[str, DataFrame], snapshot: str) -> dict[str, Fo
     }
 
 
-def _from_day(inputs: dict[str, DataFrame], since: dt.date | None) -> dict[str, DataFrame]:
-    """Only what facts from ``since`` on need: those days and the one before them."""
-    if since is None:
-        return inputs
-    first = F.lit(since - dt.timedelta(days=1))
+def _from_day(inputs: dict[str, DataFrame], first: dt.date) -> dict[str, DataFrame]:
     return {
-        **inputs,
-        "world": facts.with_day(inputs["world"]).where(F.col("day") >= first),
-        "brazil": inputs["brazil"].where(F.col("date") >= first),
-        "usa": inputs["usa"].where(F.col("date") >= first),
+        "world": facts.with_day(inputs["world"]).where(F.col("day") >= F.lit(first)),
+        "brazil": inputs["brazil"].where(F.col("date") >= F.lit(first)),
+        "usa": inputs["usa"].where(F.col("date") >= F.lit(first)),
     }
 
 
@@ -78,13 +98,17 @@ def build_tables(
     forms: dict[str, Form] | None = None,
     corrected: bool = False,
 ) -> dict[str, DataFrame]:
-    """The five tables. ``since`` limits the facts to days from then on.
+    """The five tables. ``since`` limits the facts to days from then on, and the time dimension
+    to whole months that cover them.
 
     ``corrected=True`` counts every place and takes the detailed countries from their own
     sources only; the default gives what existing tables hold.
     """
     world, brazil, provinces = inputs["world"], inputs["brazil"], inputs["provinces"]
-    late = _from_day(inputs, since)
+    late, times = inputs, world
+    if since is not None:
+        late = _from_day(inputs, _first_fact_day(since))
+        times = _from_day(inputs, _first_landed_day(since))["world"]
     how = {"world": "join", "brazil": "join", "usa": "join", **(forms or {})}
     world_options = {"places": "each", "no_confirmed": facts.DETAILED} if corrected else {}
     return {
@@ -92,7 +116,7 @@ def build_tables(
         "dim_province": dims.dim_province(
             world, brazil, provinces, as_of, usa_population="sum" if corrected else "max"
         ),
-        "dim_time": dims.dim_time(world, None if corrected else BRAZIL_NAME),
+        "dim_time": dims.dim_time(times, None if corrected else BRAZIL_NAME),
         "fact_covid_country": facts.country_fact(
             late["world"], late["brazil"], late["usa"], how["world"], **world_options
         ),
@@ -113,10 +137,12 @@ def build_lake(
 ) -> DataFrame:
     """Run everything and return the quality report of the written tables.
 
-    Both paths must be reachable by all executors. Running it again, or again for the days
-    from ``since`` on, leaves one copy of every row. Raises when a source has no rows.
+    Both paths must be reachable by all executors. Running it again leaves one copy of every
+    row. With ``since``, folders of earlier days stay as they are, and the work is that of the
+    later days (a source that is one full file is still read whole). Raises when a source has
+    no rows.
     """
-    inputs = land_sources(spark, sources, snapshot)
+    inputs = land_sources(spark, sources, snapshot, since, as_of)
     empty = check_inputs(inputs).where("check_name = 'rows' and not passed").collect()
     if empty:
         raise ValueError(f"no rows in {[row.source for row in empty]}")
@@ -125,11 +151,12 @@ def build_lake(
     many = int(spark.conf.get("spark.sql.shuffle.partitions"))
     for name, table in tables.items():
         fact = name.startswith("fact_")
+        partial = since is not None and (fact or name == "dim_time")
         write_table(
             table,
             f"{lake.rstrip('/')}/{name}",
             PARTITIONS[name],
-            mode="dynamic" if fact and since is not None else "overwrite",
+            mode="dynamic" if partial else "overwrite",
             tasks=many if fact else None,
         )
     return lake_quality(spark, lake)

@@ -1,7 +1,12 @@
+import glob
+import os
+
 import pytest
 from conftest import day, rows
+from pyspark.errors import AnalysisException
 
 from daytally import schemas
+from daytally.functions import to_mdy
 from daytally.plans.build import (
     Sources, build_lake, check_inputs, increment_forms, land_sources, open_lake,
 )
@@ -13,7 +18,7 @@ WORLD_HEAD = ("Country_Region,Province_State,iso2,iso3,Case_Type,Cases,Populatio
 def raw(folder, days, header_only=False):
     folder.mkdir()
     world = [
-        f"{c},P,{c}2,{c}3,{t},{n * step},100,\"P, {c}\",1/{n}/2024,0\n"
+        f"{c},P,{c}2,{c}3,{t},{n * step},100,\"P, {c}\",{to_mdy(day(n))},0\n"
         for c, step in (("Brazil", 3), ("US", 4), ("Chile", 5))
         for t in ("Confirmed", "Deaths") for n in days
     ]
@@ -21,10 +26,10 @@ def raw(folder, days, header_only=False):
     (folder / "brazil.csv").write_text(
         "city,date,state,place_type,last_available_confirmed,last_available_deaths,"
         "estimated_population_2019\n"
-        + "".join(f",2024-01-{n:02d},SP,state,{n * 2},{n},45\n" for n in days))
+        + "".join(f",{day(n)},SP,state,{n * 2},{n},45\n" for n in days))
     (folder / "provinces.csv").write_text("state,province_state\nSP,Sao Paulo\n")
     (folder / "usa.json").write_text("".join(
-        f'{{"date": "2024-01-{n:02d}", "state_name": "Ohio", "state_fips": "39", "cases": {n * 7}, '
+        f'{{"date": "{day(n)}", "state_name": "Ohio", "state_fips": "39", "cases": {n * 7}, '
         f'"deaths": {n}}}\n' for n in days))
     return Sources(*[str(folder / f) for f in
                      ("world.csv", "brazil.csv", "provinces.csv", "usa.json")])
@@ -60,6 +65,22 @@ def test_run_twice_then_from_a_day_on(spark, tmp_path):
         assert rows(open_lake(spark, lake)[name]) == rows(open_lake(spark, whole)[name]), name
 
 
+def test_load_from_a_later_month_on(spark, tmp_path):
+    """Months before are not touched; the figures of the population day stay."""
+    lake, snapshot = str(tmp_path / "lake"), str(tmp_path / "snapshot")
+    build_lake(spark, raw(tmp_path / "in1", range(20, 63)), snapshot, lake, as_of=day(22))
+    old = {f: os.path.getmtime(f) for f in glob.glob(f"{lake}/*/*/*/*.parquet") if "date=2024-01" in f
+           or "year=2024/month=01" in f}
+    more = raw(tmp_path / "in2", range(20, 70))
+    build_lake(spark, more, snapshot, lake, as_of=day(22), since=day(63))
+    assert old and all(os.path.getmtime(f) == t for f, t in old.items())
+    assert spark.read.parquet(f"{snapshot}/usa").agg({"date": "min"}).first()[0] == day(61)
+    whole = str(tmp_path / "whole")
+    build_lake(spark, more, snapshot, whole, as_of=day(22))
+    for name in schemas.TABLES:
+        assert rows(open_lake(spark, lake)[name]) == rows(open_lake(spark, whole)[name]), name
+
+
 def test_corrected_run_has_one_row_per_country_and_day(spark, tmp_path):
     lake = str(tmp_path / "lake")
     build_lake(spark, raw(tmp_path / "in", range(1, 4)), str(tmp_path / "s"), lake, day(2),
@@ -84,3 +105,11 @@ def test_form_follows_the_data(spark, tmp_path):
     assert forms["brazil"] == "lag" and rows(forms["usa"]) == [("Ohio", "39")]
     checks = check_inputs(inputs)
     assert checks.where("not passed").select("source", "check_name").collect() == []
+
+
+def test_missing_file_stops_the_run(spark, tmp_path):
+    sources = raw(tmp_path / "in", range(1, 3))
+    gone = Sources(sources.world, sources.brazil, sources.provinces, str(tmp_path / "none.json"))
+    with pytest.raises(AnalysisException, match="PATH_NOT_FOUND"):
+        build_lake(spark, gone, str(tmp_path / "s"), str(tmp_path / "lake"))
+    assert not (tmp_path / "lake").exists()
