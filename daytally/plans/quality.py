@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..operators import daily_delta, renamed
+from ..operators import pair_totals, renamed
 from .facts import DETAILED, WORLD_KEYS, counted_rows, with_day
 
 
@@ -35,11 +35,11 @@ def source_report(world: DataFrame, no_deaths: tuple = DETAILED) -> DataFrame:
     """Distinct countries and dates in the world file against those that got an increment.
 
     The first date never has one, so ``dates`` fails on sound data; ``lake_report`` is the
-    check to act on. Only which key-days occur matters: made distinct, they allow the one-shuffle
-    increment form, and no counts are carried along.
+    check to act on. Only which key-days have a day before matters, for any source: one
+    shuffle, without the counts.
     """
-    counted = with_day(counted_rows(world, no_deaths, ())).select(*WORLD_KEYS, "day").distinct()
-    increments = daily_delta(counted, WORLD_KEYS, "day", [], how="lag")
+    counted = with_day(counted_rows(world, no_deaths, ()))
+    increments = pair_totals(counted, WORLD_KEYS, "day", [])
     return _report(
         _counts(world, F.col("country_region"), F.col("date"), "dimension"),
         _counts(increments, F.col("country_region"), F.col("day"), "fact"),

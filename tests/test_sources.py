@@ -1,3 +1,4 @@
+import datetime as dt
 import gzip
 
 import pytest
@@ -20,7 +21,6 @@ def test_csv_by_header_name_in_any_order(spark, tmp_path):
     )
     df = read_csv(spark, str(file), schemas.BRAZIL)
     assert df.schema == schemas.BRAZIL
-    import datetime as dt
     assert [tuple(r) for r in df.collect()] == [
         (dt.date(2020, 5, 19), "SP", "city", 12, 1, 9),
         (dt.date(2020, 5, 20), "RJ", "state", None, None, 8),
@@ -34,6 +34,13 @@ def test_csv_without_a_declared_column_is_refused(spark, tmp_path):
         read_csv(spark, str(tmp_path / "p.csv"), schemas.PROVINCES)
 
 
+def test_csv_folder_with_two_column_orders_is_refused(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("state,province_state\nSP,Sao Paulo\n")
+    (tmp_path / "b.csv").write_text("province_state,state\nRio,RJ\n")
+    with pytest.raises(Exception, match="header"):
+        read_csv(spark, str(tmp_path), schemas.PROVINCES).collect()
+
+
 def test_gzip_keeps_blanks_and_spreads(spark, tmp_path):
     path = tmp_path / "p.csv.gz"
     with gzip.open(path, "wt") as f:
