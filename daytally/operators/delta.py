@@ -96,6 +96,8 @@ def distinct_delta(
         )
     if how == "lag":
         return daily_delta(rows, keys, date, measures, how)
+    if how != "join":
+        raise ValueError(f"how must be 'join', 'lag' or a table of keys, not {how!r}")
     # Equal readings of a day give equal rows, times those of the day before.
     return daily_delta(rows.distinct(), keys, date, measures, how)
 

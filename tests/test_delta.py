@@ -60,6 +60,8 @@ def test_join_form_pairs_repeated_days(spark):
 def test_unknown_form_is_refused(spark):
     with pytest.raises(ValueError, match="how must be"):
         daily_delta(series(spark, []), ["k"], "date", ["m"], "merge")
+    with pytest.raises(ValueError, match="how must be"):
+        distinct_delta(series(spark, []), ["k"], "date", ["m"], "range")
 
 
 def _random_rows(seed, repeated):
