@@ -90,6 +90,13 @@ SUMS = """cast(sum(confirmed_cases) as bigint) as confirmed_cases,
        cast(sum(sum_confirmed_cases) as bigint) as sum_confirmed_cases,
        cast(sum(sum_death_cases) as bigint) as sum_death_cases"""
 
+DAY = """date, dc as confirmed_cases, dx as death_cases,
+               c as sum_confirmed_cases, x as sum_death_cases"""
+DAY_SUMS = """date, cast(sum(dc) as bigint) as confirmed_cases,
+               cast(sum(dx) as bigint) as death_cases,
+               cast(sum(c) as bigint) as sum_confirmed_cases,
+               cast(sum(x) as bigint) as sum_death_cases"""
+
 PAIRS = """
     {source} a join {source} b
       on a.d - 1 = b.d and a.case_type = b.case_type
@@ -139,46 +146,31 @@ def _world_each(source: str, where: str) -> str:
 NOT_DETAILED = "a.country_region not in ('NATION_19', 'NATION_10')"
 
 FIXTURES |= {
-    "q_brazil_province": """
-        select distinct 'Brazil' as country_name, pr.province_state as province_state,
-               bd.date as date,
-               bd.last_available_confirmed - bp.last_available_confirmed as confirmed_cases,
-               bd.last_available_deaths - bp.last_available_deaths as death_cases,
-               bd.last_available_confirmed as sum_confirmed_cases,
-               bd.last_available_deaths as sum_death_cases
-        from fx_brazil bd
-        join fx_brazil bp on bd.date - 1 = bp.date and bd.state = bp.state
-        join fx_provinces pr on trim(bd.state) = trim(pr.state)
-        where bd.place_type = 'state' and bp.place_type = 'state'""",
-    "q_brazil_country": """
-        select 'Brazil' as country_name, bd.date as date,
-               cast(sum(bd.last_available_confirmed - bp.last_available_confirmed) as bigint)
-                   as confirmed_cases,
-               cast(sum(bd.last_available_deaths - bp.last_available_deaths) as bigint)
-                   as death_cases,
-               cast(sum(bd.last_available_confirmed) as bigint) as sum_confirmed_cases,
-               cast(sum(bd.last_available_deaths) as bigint) as sum_death_cases
-        from fx_brazil bd join fx_brazil bp on bd.date - 1 = bp.date and bd.state = bp.state
-        where bd.place_type = 'state' and bp.place_type = 'state'
-        group by bd.date""",
-    "q_usa_province": """
-        select distinct 'United States' as country_name, a.state_name as province_state,
-               a.date as date, a.cases - b.cases as confirmed_cases,
-               a.deaths - b.deaths as death_cases,
-               a.cases as sum_confirmed_cases, a.deaths as sum_death_cases
-        from fx_usa a join fx_usa b
-          on a.date - 1 = b.date and a.state_name = b.state_name
-         and a.state_fips = b.state_fips""",
-    "q_usa_country": """
-        select 'United States' as country_name, a.date as date,
-               cast(sum(a.cases - b.cases) as bigint) as confirmed_cases,
-               cast(sum(a.deaths - b.deaths) as bigint) as death_cases,
-               cast(sum(a.cases) as bigint) as sum_confirmed_cases,
-               cast(sum(a.deaths) as bigint) as sum_death_cases
-        from fx_usa a join fx_usa b
-          on a.date - 1 = b.date and a.state_name = b.state_name
-         and a.state_fips = b.state_fips
-        group by a.date""",
+    "q_states": """
+        select date, state, last_available_confirmed as c, last_available_deaths as x
+        from fx_brazil where place_type = 'state'""",
+    "q_state_days": """
+        select today.state, today.date, today.c - day_before.c as dc, today.x - day_before.x as dx,
+               today.c, today.x
+        from q_states today join q_states day_before
+          on day_before.state = today.state and day_before.date = today.date - 1""",
+    "q_usa_days": """
+        select today.state_name, today.state_fips, today.date,
+               today.cases - day_before.cases as dc, today.deaths - day_before.deaths as dx,
+               today.cases as c, today.deaths as x
+        from fx_usa today join fx_usa day_before
+          on day_before.state_name = today.state_name
+         and day_before.state_fips = today.state_fips and day_before.date = today.date - 1""",
+    "q_brazil_province": f"""
+        select distinct 'Brazil' as country_name, l.province_state, {DAY}
+        from q_state_days s join fx_provinces l on trim(l.state) = trim(s.state)""",
+    "q_brazil_country": f"""
+        select 'Brazil' as country_name, {DAY_SUMS} from q_state_days group by date""",
+    "q_usa_province": f"""
+        select distinct 'United States' as country_name, state_name as province_state, {DAY}
+        from q_usa_days""",
+    "q_usa_country": f"""
+        select 'United States' as country_name, {DAY_SUMS} from q_usa_days group by date""",
     "q_world_country": _world_country("fx_cases"),
     "q_world_corrected": _world_each("fx_cases", NOT_DETAILED),
     "q_country_all": """
@@ -200,11 +192,11 @@ FIXTURES |= {
         where case_type = 'Deaths' and country_region = 'NATION_10' and date_str = '1/19/2024'
         group by country_region, province_state""",
     "q_province_brazil": """
-        select 'Brazil' as country_region, bp.province_state,
-               cast(sum(estimated_population_2019) as bigint) as population_count
-        from fx_brazil bd join fx_provinces bp on bd.state = bp.state
-        where place_type = 'state' and bd.date = date '2024-01-19'
-        group by bp.province_state""",
+        select 'Brazil' as country_region, l.province_state,
+               cast(sum(b.estimated_population_2019) as bigint) as population_count
+        from fx_brazil b join fx_provinces l on l.state = b.state
+        where b.place_type = 'state' and b.date = date '2024-01-19'
+        group by l.province_state""",
     "q_times": """
         select distinct country_region, date_str as date, split_part(date_str, '/', 3) as year,
                cast(weekofyear(d) as integer) as week,
@@ -251,17 +243,8 @@ def _percent(new: str, total: str, name: str) -> str:
         then cast({new} * 100 as double) / cast({total} - {new} as double) end as {name}"""
 
 
-LOOKUP = """select bd.date, bd.state, bd.place_type, bd.last_available_confirmed,
-    pr.province_state from fx_brazil bd join fx_provinces pr on """
-INCREMENT_1KEY = """
-    select a.state, a.date,
-           a.last_available_confirmed - b.last_available_confirmed
-               as last_available_confirmed_delta,
-           a.last_available_deaths - b.last_available_deaths as last_available_deaths_delta,
-           a.last_available_confirmed, a.last_available_deaths
-    from fx_brazil a join fx_brazil b on a.date - 1 = b.date and a.state = b.state
-    where a.place_type = 'state' and b.place_type = 'state'"""
-
+LOOKUP = """select b.date, b.state, b.place_type, b.last_available_confirmed, l.province_state
+    from fx_brazil b join fx_provinces l on """
 _BODIES = {
     "scan_csv": f"select {WORLD_COLUMNS} from fx_places",
     "scan_csv_gz": "select * from fx_brazil",
@@ -325,15 +308,15 @@ _BODIES = {
         union all
         select date, state, last_available_confirmed, last_available_deaths from fx_brazil
         where place_type = 'state'""",
-    "join_lookup_raw": LOOKUP + "bd.state = pr.state",
-    "join_lookup_trim": LOOKUP + "trim(bd.state) = trim(pr.state)",
-    "delta_join_1key": INCREMENT_1KEY,
+    "join_lookup_raw": LOOKUP + "l.state = b.state",
+    "join_lookup_trim": LOOKUP + "trim(l.state) = trim(b.state)",
+    "delta_join_1key": """
+        select state, date, dc as last_available_confirmed_delta,
+               dx as last_available_deaths_delta, c as last_available_confirmed,
+               x as last_available_deaths from q_state_days""",
     "delta_join_2key": """
-        select a.state_name, a.state_fips, a.date, a.cases - b.cases as cases_delta,
-               a.deaths - b.deaths as deaths_delta, a.cases, a.deaths
-        from fx_usa a join fx_usa b
-          on a.date - 1 = b.date and a.state_name = b.state_name
-         and a.state_fips = b.state_fips""",
+        select state_name, state_fips, date, dc as cases_delta, dx as deaths_delta, c as cases,
+               x as deaths from q_usa_days""",
     "delta_join_long": "select * from q_long_pairs",
     "delta_lag": "select * from q_long_pairs",
     "delta_range": "select * from q_long_pairs",
@@ -351,9 +334,9 @@ _BODIES = {
         group by a.user_id, a.case_type, a.day""",
     "agg_max": """select country_region, province_state, max(cases) as max_cases from fx_places
         group by country_region, province_state""",
-    "agg_join_sum": """select 'Brazil' as country_region, pr.province_state,
-        cast(sum(bd.last_available_confirmed) as bigint) as confirmed
-        from fx_brazil bd join fx_provinces pr on bd.state = pr.state group by pr.province_state""",
+    "agg_join_sum": """select 'Brazil' as country_region, l.province_state,
+        cast(sum(b.last_available_confirmed) as bigint) as confirmed
+        from fx_brazil b join fx_provinces l on l.state = b.state group by l.province_state""",
     "agg_conditional": """select country_region, province_state, date_str as date,
         cast(sum(case when case_type = 'Confirmed' then cases end) as bigint) as confirmed,
         cast(sum(case when case_type = 'Deaths' then cases end) as bigint) as deaths
