@@ -13,7 +13,7 @@ Choosing a form:
   before. It shuffles by key *and* date, so a large place is spread over its days.
 * ``distinct_delta`` -- the distinct increments, for any input, in the cheapest form known to
   be right for it.
-* ``pair_totals`` -- the sums over those pairs, for any input, without making the pairs.
+* ``pair_totals`` -- the sums over those pairs, likewise, without making the pairs.
 """
 
 from __future__ import annotations
@@ -76,6 +76,12 @@ def daily_delta(
     )
 
 
+def _apart(rows: DataFrame, keys: list[str], repeated: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The rows of all other places, and those of the places in ``repeated``."""
+    named = F.broadcast(repeated.select(*keys))
+    return rows.join(named, keys, "left_anti"), rows.join(named, keys, "left_semi")
+
+
 def distinct_delta(
     df: DataFrame, keys: list[str], date: str, measures: list[str], how: Form = "join"
 ) -> DataFrame:
@@ -88,9 +94,7 @@ def distinct_delta(
     """
     rows = df.select(*keys, date, *measures)
     if isinstance(how, DataFrame):
-        repeated = F.broadcast(how.select(*keys))
-        steady = rows.join(repeated, keys, "left_anti")
-        others = rows.join(repeated, keys, "left_semi")
+        steady, others = _apart(rows, keys, how)
         return distinct_delta(steady, keys, date, measures, "lag").unionByName(
             distinct_delta(others, keys, date, measures, "join")
         )
@@ -102,7 +106,9 @@ def distinct_delta(
     return daily_delta(rows.distinct(), keys, date, measures, how)
 
 
-def pair_totals(df: DataFrame, keys: list[str], date: str, measures: list[str]) -> DataFrame:
+def pair_totals(
+    df: DataFrame, keys: list[str], date: str, measures: list[str], how: Form = "join"
+) -> DataFrame:
     """Per key and day, the sums of ``m_delta`` and ``m`` over all pairs ``daily_delta`` would make.
 
     With n rows on a day and p rows on the day before there are n*p pairs, yet their sums need
@@ -111,7 +117,19 @@ def pair_totals(df: DataFrame, keys: list[str], date: str, measures: list[str])
     marked once for its own day and once for the next, and one grouping by key and day does
     the rest. Copies and repeated days collapse before the shuffle, and a large place is
     spread over its days.
+
+    ``how`` is as for ``distinct_delta``: where a key has one row a day there is one pair at
+    most, and the lag form already gives the sums.
     """
+    if isinstance(how, DataFrame):
+        steady, others = _apart(df.select(*keys, date, *measures), keys, how)
+        return pair_totals(steady, keys, date, measures, "lag").unionByName(
+            pair_totals(others, keys, date, measures, "join")
+        )
+    if how == "lag":
+        return daily_delta(df, keys, date, measures, how)
+    if how != "join":
+        raise ValueError(f"how must be 'join', 'lag' or a table of keys, not {how!r}")
     rows = _matchable(df, keys, date, measures)
     own, following = "_own", "_following"
     marked = rows.select(

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .. import schemas
 from ..functions import to_mdy
-from ..operators import Form, union_tables
+from ..operators import union_tables
 from ..schemas import BRAZIL_NAME, PARTITIONS, TABLES, USA_NAME, USA_SHORT
 from ..sinks import read_table, write_table
 from ..sources import choose_form, input_check, land, read_csv, read_json
@@ -70,7 +70,7 @@ def check_inputs(inputs: dict[str, DataFrame]) -> DataFrame:
     return union_tables(*reports).select("source", "check_name", "found", "passed")
 
 
-def increment_forms(inputs: dict[str, DataFrame], snapshot: str) -> dict[str, Form]:
+def increment_forms(inputs: dict[str, DataFrame], snapshot: str) -> facts.Forms:
     """The increment form for each source, from the repeated days it has."""
     series = {
         "world": (facts.world_days(inputs["world"]), facts.WORLD_KEYS, "day"),
@@ -95,7 +95,7 @@ def build_tables(
     inputs: dict[str, DataFrame],
     as_of: dt.date = dims.POPULATION_DAY,
     since: dt.date | None = None,
-    forms: dict[str, Form] | None = None,
+    forms: facts.Forms = facts.ANY_SOURCE,
     corrected: bool = False,
 ) -> dict[str, DataFrame]:
     """The five tables. ``since`` limits the facts to days from then on, and the time dimension
@@ -109,7 +109,6 @@ def build_tables(
     if since is not None:
         late = _from_day(inputs, _first_fact_day(since))
         times = _from_day(inputs, _first_landed_day(since))["world"]
-    how = {"world": "join", "brazil": "join", "usa": "join", **(forms or {})}
     world_options = {"places": "each", "no_confirmed": facts.DETAILED} if corrected else {}
     return {
         "dim_country": dims.dim_country(world, as_of),
@@ -118,10 +117,10 @@ def build_tables(
         ),
         "dim_time": dims.dim_time(times, None if corrected else BRAZIL_NAME),
         "fact_covid_country": facts.country_fact(
-            late["world"], late["brazil"], late["usa"], how["world"], **world_options
+            late["world"], late["brazil"], late["usa"], forms, **world_options
         ),
         "fact_covid_country_province": facts.province_fact(
-            late["brazil"], provinces, late["usa"], how["brazil"], how["usa"]
+            late["brazil"], provinces, late["usa"], forms
         ),
     }
 

@@ -2,12 +2,14 @@
 
 Source frames are free of repeated rows. ``how`` is the increment form (see
 ``operators.distinct_delta``): ``"join"`` is right for any source, ``sources.choose_form`` finds
-the cheapest one that is right for a given source. Country sums use ``pair_totals``, which
-needs no such choice.
+the cheapest one that is right for a given source. Tables made of several sources take a form
+for each.
 """
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import parse_mdy
@@ -20,6 +22,9 @@ from ..schemas import (
 # Fixed value: countries whose deaths come from their own, more detailed source.
 DETAILED = (BRAZIL_NAME, USA_SHORT)
 
+Forms = Mapping[str, Form]
+ANY_SOURCE: Forms = {"world": "join", "brazil": "join", "usa": "join"}
+
 BRAZIL_KEYS = ["state"]
 BRAZIL_COUNTS = ["last_available_confirmed", "last_available_deaths"]
 USA_KEYS = ["state_name", "state_fips"]
@@ -57,8 +62,8 @@ def brazil_province(brazil: DataFrame, provinces: DataFrame, how: Form = "join")
     )
 
 
-def brazil_country(brazil: DataFrame) -> DataFrame:
-    totals = pair_totals(brazil_states(brazil), BRAZIL_KEYS, "date", BRAZIL_COUNTS)
+def brazil_country(brazil: DataFrame, how: Form = "join") -> DataFrame:
+    totals = pair_totals(brazil_states(brazil), BRAZIL_KEYS, "date", BRAZIL_COUNTS, how)
     return _by_day(totals, *BRAZIL_COUNTS, country=BRAZIL_NAME)
 
 
@@ -72,8 +77,8 @@ def usa_province(usa: DataFrame, how: Form = "join") -> DataFrame:
     )
 
 
-def usa_country(usa: DataFrame) -> DataFrame:
-    totals = pair_totals(usa, USA_KEYS, "date", USA_COUNTS)
+def usa_country(usa: DataFrame, how: Form = "join") -> DataFrame:
+    totals = pair_totals(usa, USA_KEYS, "date", USA_COUNTS, how)
     return _by_day(totals, *USA_COUNTS, country=USA_NAME)
 
 
@@ -152,7 +157,7 @@ def world_country(
         rows = _world_rows(world, no_deaths, no_confirmed, how)
     elif places == "each":
         days = world_days(counted_rows(world, no_deaths, no_confirmed))
-        rows = pair_totals(days, WORLD_KEYS, "day", ["cases"]).select(
+        rows = pair_totals(days, WORLD_KEYS, "day", ["cases"], how).select(
             F.col("country_region").alias("country_name"), F.col("day").alias("date"),
             "case_type", "cases_delta", "cases",
         )
@@ -163,22 +168,20 @@ def world_country(
 
 
 def country_fact(
-    world: DataFrame, brazil: DataFrame, usa: DataFrame, how: Form = "join", **world_options
+    world: DataFrame, brazil: DataFrame, usa: DataFrame, forms: Forms = ANY_SOURCE, **world_options
 ) -> DataFrame:
     """All three sources in one table. As in existing tables, a detailed country also has
     its confirmed cases from the world file; pass ``no_confirmed`` to leave those out."""
     return union_tables(
-        brazil_country(brazil), usa_country(usa), world_country(world, how=how, **world_options)
+        brazil_country(brazil, forms["brazil"]),
+        usa_country(usa, forms["usa"]),
+        world_country(world, how=forms["world"], **world_options),
     ).select(*FACT_COUNTRY.names)
 
 
 def province_fact(
-    brazil: DataFrame,
-    provinces: DataFrame,
-    usa: DataFrame,
-    brazil_how: Form = "join",
-    usa_how: Form = "join",
+    brazil: DataFrame, provinces: DataFrame, usa: DataFrame, forms: Forms = ANY_SOURCE
 ) -> DataFrame:
     return union_tables(
-        brazil_province(brazil, provinces, brazil_how), usa_province(usa, usa_how)
+        brazil_province(brazil, provinces, forms["brazil"]), usa_province(usa, forms["usa"])
     ).select(*FACT_PROVINCE.names)

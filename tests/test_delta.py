@@ -113,6 +113,18 @@ def _sum(values):
     return sum(known) if known else None
 
 
+def test_totals_in_a_form_for_the_source(spark, tmp_path):
+    steady = [r for r in _random_rows(5, repeated=False) if r[0] != "a"]
+    df = series(spark, steady + [r for r in _random_rows(5, repeated=True) if r[0] == "a"])
+    form = choose_form(df, ["k", "g"], "date", str(tmp_path / "repeated"))
+    args = (["k", "g"], "date", ["m", "x"])
+    assert rows(pair_totals(df, *args, form)) == rows(pair_totals(df, *args))
+    alone = series(spark, steady)
+    assert rows(pair_totals(alone, *args, "lag")) == rows(pair_totals(alone, *args))
+    with pytest.raises(ValueError, match="how must be"):
+        pair_totals(df, *args, "range")
+
+
 @pytest.mark.parametrize("seed", range(3))
 def test_pair_totals_are_the_sums_over_all_pairs(spark, seed):
     data = _random_rows(seed, repeated=True)

@@ -23,6 +23,8 @@ from .standins import AS_OF, BRAZIL, USA, StandIns
 DETAILED = (BRAZIL, USA)
 ALIASES = {schemas.BRAZIL_NAME: BRAZIL, schemas.USA_NAME: USA}
 WRITERS = 8
+# The stand-ins have one row per key and day.
+STEADY = {"world": "lag", "brazil": "lag", "usa": "lag"}
 FROM_DAY = dt.date(2024, 1, 20)
 QUERIES = {}
 
@@ -427,8 +429,8 @@ def dim_time_all(s):
     return dims.dim_time(s.world, country=None)
 
 
-# The stand-ins have one row per key and day, so the named facts use the lag form; the same
-# facts in the form for any source are the "_join" queries.
+# The province and world facts use the lag form, which the stand-ins allow; the same facts in
+# the form for any source are the "_join" queries. The country sums are in the form for any source.
 
 
 @query
@@ -504,14 +506,14 @@ def fact_world_customers_bykey(s):
 @query
 def fact_country_all(s):
     return facts.country_fact(
-        s.world, s.brazil, s.usa, "lag", no_deaths=DETAILED
+        s.world, s.brazil, s.usa, STEADY, no_deaths=DETAILED
     )
 
 
 @query
 def fact_country_corrected(s):
     return facts.country_fact(
-        s.world, s.brazil, s.usa,
+        s.world, s.brazil, s.usa, STEADY,
         no_deaths=DETAILED, no_confirmed=DETAILED, places="each",
     )
 
@@ -519,7 +521,7 @@ def fact_country_corrected(s):
 @query
 def fact_province_all(s):
     return facts.province_fact(
-        s.brazil, s.provinces, s.usa, "lag", "lag"
+        s.brazil, s.provinces, s.usa, STEADY
     )
 
 
