@@ -76,6 +76,17 @@ def test_copies_differing_elsewhere_do_not_multiply(spark):
     assert rows(facts.world_country(df.unionByName(other))) == [("A", day(2), 1, None, 2, None)]
 
 
+def test_a_third_of_all_rows_on_one_place_and_day(spark):
+    """Copies of a reading that differ elsewhere meet as one row, not as 10 billion pairs."""
+    hot = spark.range(100_000).select(
+        facts.F.explode(facts.F.array(*[facts.F.lit(to_mdy(day(n))) for n in (1, 2)])).alias("date"),
+        facts.F.lit("A").alias("country_region"), facts.F.lit("p").alias("combined_key"),
+        facts.F.lit("Deaths").alias("case_type"), facts.F.lit(3).cast("bigint").alias("cases"),
+        facts.F.col("id").alias("population_count"))
+    assert rows(facts.world_country(hot)) == [("A", day(2), None, 0, None, 3)]
+    assert rows(facts.world_country(hot, places="each")) == [("A", day(2), None, 0, None, 3 * 10**10)]
+
+
 def test_malformed_date_text_has_no_increment(spark):
     df = world(spark, [("A", "p", "Confirmed", "1/1/2024", 1), ("A", "p", "Confirmed", "1-2-2024", 2),
                        ("A", "p", "Confirmed", "01/02/2024", 5)])
