@@ -22,3 +22,13 @@ def test_text_of_a_date(spark):
     row = df.select(date_text(F.col("d")), date_text(F.col("d"), "MM/dd/yyyy")).first()
     assert tuple(row) == ("2024-01-02", "01/02/2024")
     assert to_mdy(dt.date(2020, 5, 9)) == "5/9/2020"
+
+
+def test_a_day_without_a_midnight_is_still_that_day(spark):
+    """Clocks in this zone skipped from 23:59 to 01:00 on the night before."""
+    spark.conf.set("spark.sql.session.timeZone", "America/Sao_Paulo")
+    try:
+        df = spark.createDataFrame([("10/16/2011",)], "t string").select(parse_mdy(F.col("t")))
+        assert df.first()[0] == dt.date(2011, 10, 16)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
