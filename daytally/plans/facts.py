@@ -115,7 +115,7 @@ def _split_by_type() -> list[Column]:
     return [c.alias(m) for c, m in zip(columns, MEASURES)]
 
 
-def _world_rows(world: DataFrame, no_deaths: tuple, no_confirmed: tuple, how: str) -> DataFrame:
+def _world_rows(world: DataFrame, no_deaths: tuple, no_confirmed: tuple, how: Form) -> DataFrame:
     """Distinct (country, day, type, increment, count): places of a country that agree are one.
 
     Both case types go through one pass, the type being part of the key.

@@ -99,11 +99,11 @@ def test_splitting_off_repeated_keys_changes_no_row(spark, tmp_path, seed):
     assert rows(distinct_delta(*args, "join").distinct()) == whole
 
 
-def test_form_goes_by_the_number_of_repeated_keys(spark, tmp_path, monkeypatch):
+def test_form_goes_by_the_size_of_the_repeated_keys(spark, tmp_path, monkeypatch):
     df = series(spark, [(k, "g", day(1), n, 0) for k in "abc" for n in (1, 2)])
     choose = lambda df: choose_form(df, ["k", "g"], "date", str(tmp_path / "repeated"))
     assert choose(df).count() == 3
-    monkeypatch.setattr(checks, "SPLIT_KEYS", 2)
+    monkeypatch.setattr(checks, "SPLIT_BYTES", 3 * 66 - 1)
     assert choose(df) == "join"
     assert choose(df.where("m = 1")) == "lag"
 
