@@ -4,6 +4,8 @@ import pytest
 
 import __spark_entry__ as contract
 from verification.compare import compare, connect
+from verification.oracles import ORACLES
+from verification.queries import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -14,10 +16,11 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(contract.queries()) and set(ORACLES) <= set(contract.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, con, name):
     count, difference = compare(
         spark, con, SF_DIR, contract.queries()[name], contract.oracle_sql()[name])
