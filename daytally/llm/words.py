@@ -52,11 +52,11 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def word_spans(data: np.ndarray, offsets: np.ndarray, between: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """First byte, end and, for each text, the number of its first word; ``offsets`` are the texts'
-    bounds in ``data``."""
+    bounds in ``data`` and ``between`` tells the bytes that words don't hold."""
     n = len(data)
-    space = SPACE[data]
+    space = between[data]
     first, last = np.empty(n, bool), np.empty(n, bool)
     if n:
         first[0] = last[-1] = True
