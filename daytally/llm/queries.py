@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from . import minhash, mixing, secrets, sharding
+from . import archives, decontamination, embeddings, html_text, lines, minhash, mixing, secrets, sharding, toxicity
 
 QUERIES = {
     f.__name__: f for f in (
-        secrets.op2_secrets, minhash.op3_minhash, sharding.op4_sharding, mixing.op9_mixing,
+        html_text.op1_html_text, secrets.op2_secrets, minhash.op3_minhash, sharding.op4_sharding,
+        embeddings.op5_embeddings, toxicity.op6_toxicity, archives.op7_archives, lines.op8_lines,
+        mixing.op9_mixing, decontamination.op10_decontamination,
     )
 }
-ORACLES = {"op2_secrets": secrets.OP2_SQL, "op9_mixing": mixing.OP9_SQL}
+ORACLES = {"op2_secrets": secrets.OP2_SQL, "op7_archives": archives.OP7_SQL, "op9_mixing": mixing.OP9_SQL}
