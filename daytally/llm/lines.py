@@ -10,7 +10,10 @@ these links; of a class the line at the first place stays, by doc_id and then by
    for each length up to ``EDITS`` shorter than its own and each segment of such a line, the few starts at
    which that segment can lie if the edits left and right of it are to suffice. Segments and probes meet by
    a hash of length, segment number and characters.
-3. Pairs that meet are verified by bit-parallel edit distance in a band: a column of the distance
+3. Lines that meet no other one are set aside without pairing any. Pairs of the others must also agree in
+   how often they hold each letter, but for what ``EDITS`` edits can change; this is part of the join's
+   condition, so many variants of one line make few pairs.
+4. Pairs that are left are verified by bit-parallel edit distance in a band: a column of the distance
    matrix is held as the signs of its steps, in 2 * ``EDITS`` + 1 bits that move along the diagonal.
 
 All of it is DataFrame functions.
@@ -22,6 +25,8 @@ gives an empty result; very long lines are compared whole.
 
 from __future__ import annotations
 
+import string
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from .common import Store, table
@@ -126,16 +131,38 @@ def distinct_lines(docs: DataFrame) -> DataFrame:
     return first.withColumn("length", F.length("line"))
 
 
+def _index(lines: DataFrame, *more: Column, edits: int = EDITS) -> DataFrame:
+    return lines.select(F.col("id").alias("b"), *more, F.explode(segment_keys(F.col("line"), F.col("length"), edits)).alias("key"))
+
+
+def _probes(lines: DataFrame, *more: Column, edits: int = EDITS) -> DataFrame:
+    keys = F.explode(probe_keys(F.col("line"), F.col("length"), edits)).alias("p")
+    return lines.select(F.col("id").alias("a"), *more, keys).select("*", "p.*").drop("p")
+
+
+def letters(line: str) -> Column:
+    """How often each small letter occurs in a line, and how many other characters there are. An
+    edit changes two of the numbers by one at most."""
+    counts = [(c, F.length(line) - F.length(F.replace(F.col(line), F.lit(c), F.lit("")))) for c in string.ascii_lowercase]
+    rest = F.length(line) - sum(n for _, n in counts)
+    return F.struct(*[n.alias(c) for c, n in counts], rest.alias("rest"))
+
+
 def near_lines(lines: DataFrame, store: Store, edits: int = EDITS, shortest: int = SHORTEST) -> DataFrame:
     """Links (a, b) between nodes of ``lines`` (line, node, length): pairs within ``edits`` edits."""
     long = lines.where(F.col("length") >= shortest).withColumn("id", F.xxhash64("line"))
-    index = long.select(F.col("id").alias("b"), F.explode(segment_keys(F.col("line"), F.col("length"), edits)).alias("key"))
-    probes = long.select(F.col("id").alias("a"), F.explode(probe_keys(F.col("line"), F.col("length"), edits)).alias("p")).select("a", "p.*")
-    meet = probes.join(index, "key").where((F.col("a") != F.col("b")) & ((F.col("shorter") > 0) | (F.col("a") < F.col("b"))))
-    pairs = store.put(meet.select("a", "b").distinct(), "pairs")
-    ids = store.put(pairs.select(F.explode(F.array("a", "b")).alias("wanted")).distinct(), "ids")
+    # Lines that meet another one; a key's smallest and largest line stand for all, so nothing is paired.
+    index, probes = _index(long, edits=edits), _probes(long, edits=edits)
+    known = index.groupBy("key").agg(F.min("b").alias("low"), F.max("b").alias("high"))
+    hits = probes.join(known, "key").where((F.col("a") != F.col("low")) | (F.col("a") != F.col("high")))
+    ids = store.put(hits.select(F.explode(F.array("a", "low", "high")).alias("wanted")).distinct(), "ids")
     wanted = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
-    texts = store.put(long.join(wanted, F.col("id") == F.col("wanted"), "left_semi").select("id", "node", "line", "length"), "texts")
+    texts = store.put(long.join(wanted, F.col("id") == F.col("wanted"), "left_semi").withColumn("bag", letters("line")), "texts")
+    apart = sum(F.abs(F.col(f"a_bag.{c}") - F.col(f"b_bag.{c}")) for c in texts.schema["bag"].dataType.names)
+    left, right = _probes(texts, F.col("bag").alias("a_bag"), edits=edits), _index(texts, F.col("bag").alias("b_bag"), edits=edits)
+    meet = left.join(right, (left["key"] == right["key"]) & (F.col("a") != F.col("b"))
+                     & ((F.col("shorter") > 0) | (F.col("a") < F.col("b"))) & (apart <= 2 * edits))
+    pairs = store.put(meet.select("a", "b").distinct(), "pairs")
 
     def side(x: str) -> DataFrame:
         return texts.select(F.col("id").alias(x), F.col("node").alias(f"{x}_node"), F.col("line").alias(f"{x}_line"), F.col("length").alias(f"{x}_length"))
