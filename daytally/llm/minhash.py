@@ -9,9 +9,10 @@ well as long ones. Four registers make a band key.
 1. Documents with one set form a class; its smallest doc_id stands for it.
 2. Classes that share a band key are in a bucket. Each bucket has a centre, the class that
    shares most buckets with others, and each member is compared with the centre only.
-3. Links make components. Where a bucket still has members of several components, those outside
-   its largest component are compared with the members of other components, so no link that a
-   bucket shows is lost, and a large group of near copies costs a comparison per member.
+3. Links make components, and most buckets then hold one. The members of the others are joined by
+   their rare shingles (a prefix join) and pairs of different components are compared, so no link that a
+   bucket shows is lost, a large group of near copies costs a comparison per member, and documents that
+   share a common passage only are not paired.
 4. A comparison estimates the similarity from the registers, corrected for registers that agree by
    chance, drops the pair only when it lies ``SIGMAS`` deviations below the threshold, and else counts
    both full sets.
@@ -43,6 +44,8 @@ REGISTERS = 128
 PER_BAND = 4
 MANTISSA = 10
 SIGMAS = 5
+#: Numbers of 64 bits that tell for each of so many buckets whether a set has an odd number of hashes in it.
+ODDS = 8
 #: Registers of two unrelated hashes agree if leading zeros (a third) and mantissa do.
 BY_CHANCE = 1 / 3 / 2 ** MANTISSA
 
@@ -119,13 +122,75 @@ def _confirm(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return both.select(*columns).mapInArrow(_confirmed, "a long, b long")
 
 
+def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        sets, odds = [], []
+        for hashes in text_shingles(batch.column("text"), WIDTH):
+            sets.append(hashes.view(np.int64))
+            counts = np.bincount((hashes % np.uint64(64 * ODDS)).astype(np.int64), minlength=64 * ODDS)
+            odds.append(np.packbits((counts & 1).astype(np.uint8)).view(np.int64))
+        columns = ["doc_id", "version", "n", "component"]
+        yield pa.RecordBatch.from_arrays(
+            [*(batch.column(c) for c in columns), *(pa.array(x, pa.list_(pa.int64())) for x in (odds, sets))], [*columns, "odds", "shingles"])
+
+
+def _possible(members: DataFrame, texts: DataFrame, store: Store) -> DataFrame:
+    """Pairs (a, a_version, b, b_version) of different components among ``members`` that may be linked; none
+    that is linked is left out.
+
+    Two linked sets share one of the first shingles of both, in an order from rare to common: of n
+    shingles, as many as a link may lack, and one more. Shingles that no other member has count as
+    lacking, so documents that share just a common passage are never paired. Of a shingle's holders
+    those outside its main component are paired with the others, unless the sizes or the buckets with an
+    odd number of hashes tell that too few shingles are shared.
+    """
+    sets = store.put(members.join(texts.select("doc_id", "version", "text"), ["doc_id", "version"]).select(
+        "doc_id", "version", "n", "component", "text").mapInArrow(
+        _sets, "doc_id long, version long, n long, component long, odds array<long>, shingles array<long>"), "sets")
+    who = ["doc_id", "version", "n", "component", "odds"]
+    each = sets.select("doc_id", "version", F.explode("shingles").alias("shingle"))
+    common = each.groupBy("shingle").agg(F.count("*").alias("holders")).where("holders > 1")
+    held = each.join(common, "shingle").groupBy("doc_id", "version").agg(
+        F.array_sort(F.collect_list(F.struct("holders", "shingle"))).alias("shared"))
+    held = held.join(sets.drop("shingles"), ["doc_id", "version"]).withColumn("m", F.size("shared").cast("long")).where(F.col("m") * 100 >= F.col("n") * LEAST)
+    # The n - m shingles without other holder would come first.
+    first = F.floor(F.col("n") - F.col("n") * LEAST / 100).cast("int") + 1 - (F.col("n") - F.col("m")).cast("int")
+    ordered = held.select(*who, "m", F.posexplode(F.slice("shared", F.lit(1), F.greatest(first, F.lit(0)))).alias("at", "x"))
+    ordered = store.put(ordered.select(*who, "m", F.col("at").cast("long").alias("at"), F.col("x.shingle").alias("shingle")), "ordered")
+    store.drop("sets")
+    sizes = ordered.groupBy("shingle", "component").agg(F.count("*").alias("size"))
+    mixed = sizes.groupBy("shingle").agg(
+        F.count("*").alias("parts"), F.max_by("component", F.struct("size", "component")).alias("main")).where("parts > 1")
+    rows = ordered.join(mixed.drop("parts"), "shingle")
+
+    def side(x: str) -> DataFrame:
+        names = {"doc_id": x, **{c: f"{x}_{c}" for c in ("version", "n", "m", "at", "component", "odds")}}
+        return rows.select("shingle", "main", *[F.col(c).alias(n) for c, n in names.items()])
+
+    left, right = side("a").where(F.col("a_component") != F.col("main")), side("b").drop("main").withColumnRenamed("shingle", "of")
+    # Each bucket that is odd on one side only holds a shingle that the other side lacks.
+    differ = sum(F.bit_count(F.get("a_odds", F.lit(i)).bitwiseXOR(F.get("b_odds", F.lit(i)))) for i in range(ODDS))
+    both_n = F.col("a_n") + F.col("b_n")
+    most = F.least("a_at", "b_at") + F.least(F.col("a_m") - F.col("a_at"), F.col("b_m") - F.col("b_at"))
+    return left.join(right, (left["shingle"] == right["of"]) & (F.col("a_component") != F.col("b_component"))
+                     & ((F.col("b_component") == F.col("main")) | (F.col("a") < F.col("b")))
+                     & (most * (100 + LEAST) >= both_n * LEAST) & (differ * (100 + LEAST) <= both_n * (100 - LEAST)))
+
+
+def _open(shared: DataFrame, groups: DataFrame, store: Store) -> DataFrame:
+    """The rows of buckets that hold several components."""
+    placed = store.put(shared.join(groups, shared["doc_id"] == groups["id"], "left").select(
+        "band", "key", "doc_id", "version", "n", F.coalesce("component", "doc_id").alias("component")), "placed")
+    parts = placed.groupBy("band", "key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+    return placed.join(parts.where("low <> high").select("band", "key"), ["band", "key"])
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): doc_id, n_shingles, component_id, kept."""
     store = Store(docs.sparkSession, "minhash")
     versions = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("version"))
     sketches = store.put(versions.select("doc_id", "version", "text").mapInArrow(
         _sketches, "doc_id long, version long, n long, content binary, bands array<long>"), "sketches")
-    first = F.min(F.struct("doc_id", "version", "n", "bands"))
     known = sketches.where("content is not null and doc_id is not null")
     classes = store.put(known.groupBy("content").agg(
         F.min_by(F.struct("doc_id", "version", "n", "bands"), F.struct("doc_id", "version")).alias("c")).select("content", "c.*"), "classes")
@@ -149,27 +214,17 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         .join(classes.drop("content"), ["doc_id", "version"]), "texts")
     links = store.put(_confirm(stars, texts), "links")
 
-    # Buckets that hold several components still.
     groups = components(links, store, "first")
-    placed = shared.join(groups, shared["doc_id"] == groups["id"], "left").select(
-        "band", "key", "doc_id", "version", "n", F.coalesce("component", "doc_id").alias("component"))
-    placed = store.put(placed, "placed")
-    sizes = placed.groupBy("band", "key", "component").agg(F.count("*").alias("size"))
-    mixed = sizes.groupBy("band", "key").agg(
-        F.count("*").alias("parts"), F.max_by("component", F.struct("size", "component")).alias("main")).where("parts > 1")
-    open_ = store.put(placed.join(mixed.drop("parts"), ["band", "key"]), "open")
-    left = open_.where("component <> main").select(
-        "band", "key", *a_side, F.col("component").alias("a_component"))
-    right = open_.select(
-        "band", "key", "main", F.col("doc_id").alias("b"), F.col("version").alias("b_version"), F.col("n").alias("b_n"),
-        F.col("component").alias("b_component"))
-    rest = left.join(right, (left["band"] == right["band"]) & (left["key"] == right["key"])
-                     & (F.col("a_component") != F.col("b_component"))
-                     & ((F.col("b_component") == F.col("main")) | (F.col("a") < F.col("b"))) & able)
+    members = _open(shared, groups, store)
+    members = members.select("doc_id", "version", "n", "component").distinct()
+    rest = _possible(store.put(members, "members"), texts, store)
     rest = rest.select("a", "a_version", "b", "b_version").distinct()
     rest = rest.join(stars, ["a", "a_version", "b", "b_version"], "left_anti")
     more = store.put(_confirm(store.put(rest, "rest"), texts), "more")
-    groups = components(links.unionByName(more), store, "last")
+    if not more.isEmpty():
+        # What is known already goes in as stars, which need no further round.
+        stars_now = groups.select(F.col("id").alias("a"), F.col("component").alias("b"))
+        groups = components(stars_now.unionByName(more), store, "last")
 
     of_class = classes.select("content", F.col("doc_id").alias("head")).join(
         groups, F.col("head") == groups["id"], "left").select("content", F.coalesce("component", "head").alias("component"))
@@ -177,7 +232,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     component = F.coalesce("component", "doc_id")
     out = found.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"),
                        F.col("doc_id").eqNullSafe(component).alias("kept"))
-    store.drop("shared", "texts", "open", "placed", "stars", "rest")
+    store.drop("shared", "texts", "members", "placed", "stars", "rest", "ordered")
     return out
 
 
