@@ -106,7 +106,7 @@ def training_rows(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, float]
 def _toxic_stems(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         seen = Counter(s for text in batch["text"] for s in stems(text))
-        yield pd.DataFrame({"stem": list(seen), "n": list(seen.values())})
+        yield pd.DataFrame({"stem": pd.Series(list(seen), dtype=object), "n": pd.Series(list(seen.values()), dtype="int64")})
 
 
 def choose_stems(rows: DataFrame) -> list[str]:
