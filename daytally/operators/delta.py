@@ -77,8 +77,9 @@ def daily_delta(
 
 
 def _apart(rows: DataFrame, keys: list[str], repeated: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The rows of all other places, and those of the places in ``repeated``."""
-    named = F.broadcast(repeated.select(*keys))
+    """The rows of all other places, and those of the places in ``repeated``; by its size Spark
+    broadcasts that table or shuffles."""
+    named = repeated.select(*keys)
     return rows.join(named, keys, "left_anti"), rows.join(named, keys, "left_semi")
 
 
@@ -90,7 +91,7 @@ def distinct_delta(
 
     ``how`` is ``"lag"`` for one row per key and day, ``"join"`` for any input, or a table of
     the keys that have repeated days, as ``sources.choose_form`` finds them: those are joined
-    and all other places go through the lag form. That table must be small enough to broadcast.
+    and all other places go through the lag form.
     """
     rows = df.select(*keys, date, *measures)
     if isinstance(how, DataFrame):

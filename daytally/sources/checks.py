@@ -2,16 +2,10 @@
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import add
-
 from pyspark.sql import DataFrame, functions as F
 
 from ..operators import Form
 
-# Keys with repeated days are broadcast up to this size, counting 64 bytes a row besides the text.
-SPLIT_BYTES = 32 * 1024 * 1024
-
 
 def _repeated(df: DataFrame, keys: list[str], date: str) -> DataFrame:
     per_day = df.dropna(subset=[*keys, date]).groupBy(*keys, date).agg(F.count("*").alias("n"))
@@ -26,16 +20,12 @@ def repeated_days(df: DataFrame, keys: list[str], date: str) -> DataFrame:
 def choose_form(df: DataFrame, keys: list[str], date: str, path: str) -> Form:
     """The cheapest increment form that is right for ``df`` (see ``operators.distinct_delta``).
 
-    Writes the keys that have repeated days to ``path`` and measures them: none allow the lag
-    form for all, a few are split off and joined, many mean joining everything.
+    Writes the keys that have repeated days to ``path``: none allow the lag form for all, else
+    those keys are split off and joined, whatever their number.
     """
     _repeated(df, keys, date).select(*keys).distinct().write.mode("overwrite").parquet(path)
     found = df.sparkSession.read.schema(df.select(*keys).schema).parquet(path)
-    text = reduce(add, [F.octet_length(F.col(k).cast("string")) for k in keys])
-    size = found.agg(F.sum(text + 64)).first()[0]
-    if size is None:
-        return "lag"
-    return found if size <= SPLIT_BYTES else "join"
+    return "lag" if found.isEmpty() else found
 
 
 def input_check(df: DataFrame, required: list[str], not_null: list[str]) -> DataFrame:

@@ -8,8 +8,11 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 def _typed(name: str, dtype: T.DataType) -> Column:
     text = F.col(f"`{name}`")
     if isinstance(dtype, T.LongType):
-        # Counts are sometimes written as "12.0"; both spellings are the same number.
-        return F.coalesce(text.try_cast("bigint"), text.try_cast("double").try_cast("bigint"))
+        # Counts are sometimes written as "12.0"; both spellings are the same number. A count with
+        # a fraction is none: it becomes null, which the input check counts.
+        exact = text.try_cast("decimal(38,9)")
+        whole = F.when(exact == F.floor(exact), exact).try_cast("bigint")
+        return F.coalesce(text.try_cast("bigint"), whole)
     return text.try_cast(dtype)
 
 
@@ -41,9 +44,13 @@ def read_csv(
 
 
 def read_json(spark: SparkSession, path, schema: T.StructType) -> DataFrame:
-    """JSON lines. Read as text by field name in one pass, then typed as for CSV."""
-    names = T.StructType([T.StructField(f.name, T.StringType()) for f in schema])
-    return _declared(spark.read.schema(names).json(path), schema, path)
+    """JSON lines. Fields are found by name whatever their case, as in CSV: one pass finds the
+    names in the files, another reads the values as text, which are then typed as for CSV. A missing field
+    is an error; a source without any row has none and is empty."""
+    found = spark.read.option("primitivesAsString", True).json(path)
+    if not found.columns:
+        return spark.createDataFrame([], schema)
+    return _declared(found, schema, path)
 
 
 def read_inferred(spark: SparkSession, path, format: str = "csv", **options) -> DataFrame:

@@ -6,7 +6,7 @@ from conftest import day, rows
 from pyspark.sql import functions as F
 
 from daytally.operators import daily_delta, distinct_delta, pair_totals
-from daytally.sources import checks, choose_form
+from daytally.sources import choose_form
 
 SCHEMA = "k string, g string, date date, m bigint, x bigint"
 FORMS = ["join", "lag", "range"]
@@ -99,12 +99,10 @@ def test_splitting_off_repeated_keys_changes_no_row(spark, tmp_path, seed):
     assert rows(distinct_delta(*args, "join").distinct()) == whole
 
 
-def test_form_goes_by_the_size_of_the_repeated_keys(spark, tmp_path, monkeypatch):
+def test_repeated_keys_are_split_off_whatever_their_number(spark, tmp_path):
     df = series(spark, [(k, "g", day(1), n, 0) for k in "abc" for n in (1, 2)])
     choose = lambda df: choose_form(df, ["k", "g"], "date", str(tmp_path / "repeated"))
     assert choose(df).count() == 3
-    monkeypatch.setattr(checks, "SPLIT_BYTES", 3 * 66 - 1)
-    assert choose(df) == "join"
     assert choose(df.where("m = 1")) == "lag"
 
 

@@ -91,3 +91,13 @@ def test_checks(spark):
     assert rows(input_check(df.limit(0), [], ["k"])) == [("nulls:k", 0, True), ("rows", 0, False)]
     assert repeated_days(df, ["k"], "date").first()[0] == 1
     assert repeated_days(df.limit(0), ["k"], "date").first()[0] == 0
+
+
+def test_json_fields_by_name_whatever_their_case(spark, tmp_path):
+    (tmp_path / "c.json").write_text(
+        '{"Date": "2024-01-01", "State_Name": "X", "STATE_FIPS": "7", "Cases": 9007199254740993, "deaths": "12.7"}\n')
+    row = read_json(spark, str(tmp_path / "c.json"), schemas.USA).first()
+    assert (row.state_name, row.cases, row.deaths) == ("X", 2 ** 53 + 1, None)
+    (tmp_path / "d.json").write_text('{"date": "2024-01-01", "state_name": "X", "state_fips": "7", "count": 3}\n')
+    with pytest.raises(ValueError, match="lacks the columns"):
+        read_json(spark, str(tmp_path / "d.json"), schemas.USA)
