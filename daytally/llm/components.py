@@ -1,6 +1,6 @@
 """Connected components of a graph too large for one machine.
 
-Two steps take turns until nothing changes. Each node's larger neighbours are linked to
+Two steps take turns until only stars are left. Each node's larger neighbours are linked to
 its smallest neighbour (large star), then each node's smaller neighbours and the node itself are
 (small star). The number of rounds grows with the logarithm of the longest chain. Minima
 are combined before they are shuffled and then joined, so a node with very many neighbours
@@ -17,13 +17,7 @@ from .common import Store
 
 
 def _smallest(edges: DataFrame) -> DataFrame:
-    return edges.groupBy("u").agg(F.min("v").alias("m"))
-
-
-def _fingerprint(edges: DataFrame) -> tuple:
-    """Equal for equal sets of edges: their number and two sums of hashes, made without a shuffle of rows."""
-    sums = [F.sum(F.xxhash64(F.lit(i), "u", "v").cast("decimal(20,0)")) for i in range(2)]
-    return tuple(edges.agg(F.count("*"), *sums).first())
+    return edges.groupBy("u").agg(F.min("v").alias("m"), F.max("v").alias("top"))
 
 
 def components(edges: DataFrame, store: Store, label: str) -> DataFrame:
@@ -31,11 +25,15 @@ def components(edges: DataFrame, store: Store, label: str) -> DataFrame:
     smallest node it can reach."""
     now = store.put(
         edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct(), f"{label}0")
-    before, turn = _fingerprint(now), 0
+    turn = 0
     while True:
-        # Large star: u's neighbours on both sides; those above u go to the smallest, u included.
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = _smallest(both).select("u", F.least("u", "m").alias("m"))
+        ends = _smallest(both)
+        # Where each node with a smaller neighbour has no other one, all are stars round their smallest node.
+        if not ends.where("m < u and m <> top").agg(F.count("*")).first()[0]:
+            break
+        # Large star: u's neighbours on both sides; those above u go to the smallest, u included.
+        low = ends.select("u", F.least("u", "m").alias("m"))
         up = now.select(F.col("v").alias("u"), F.col("u").alias("w"))
         large = up.join(low, "u").select(F.col("w").alias("u"), F.col("m").alias("v"))
         large = store.put(large.where("u <> v"), f"{label}l{turn}")
@@ -44,11 +42,7 @@ def components(edges: DataFrame, store: Store, label: str) -> DataFrame:
         linked = small.select(F.explode(F.array(
             F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct("u", F.col("m").alias("v")))).alias("e")).select("e.*")
         after = store.put(linked.where("u <> v").distinct(), f"{label}{turn + 1}")
-        print_ = _fingerprint(after)
         store.drop(f"{label}{turn}", f"{label}l{turn}")
         now, turn = after, turn + 1
-        if print_ == before:
-            break
-        before = print_
     roots = now.select(F.col("v").alias("id")).distinct().select("id", F.col("id").alias("component"))
     return now.select(F.col("u").alias("id"), F.col("v").alias("component")).unionByName(roots)
