@@ -2,6 +2,7 @@
 
 import argparse
 import datetime as dt
+import sys
 
 from pyspark.sql import SparkSession
 
@@ -23,6 +24,8 @@ def main() -> None:
         spark, sources, got.snapshot, got.lake, got.as_of, got.since, got.corrected
     )
     report.show(truncate=False)
+    if report.where("not passed").count():
+        sys.exit("the report has failed checks")
 
 
 if __name__ == "__main__":

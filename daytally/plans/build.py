@@ -3,15 +3,16 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .. import schemas
-from ..functions import to_mdy
 from ..operators import union_tables
-from ..schemas import BRAZIL_NAME, PARTITIONS, TABLES, USA_NAME, USA_SHORT
-from ..sinks import read_table, write_table
+from ..schemas import ALIASES, BRAZIL_NAME, PARTITIONS, TABLES
+from ..sinks import drop_table, read_table, replace_range, switch_table, write_table
 from ..sources import choose_form, input_check, land, read_csv, read_json
 from . import dims, facts, quality
 
@@ -53,7 +54,7 @@ def land_sources(
     usa = read_json(spark, sources.usa, schemas.USA)
     if since is not None:
         first = F.lit(_first_landed_day(since))
-        world = world.where((F.col("day") >= first) | (F.col("date") == to_mdy(as_of)))
+        world = world.where((F.col("day") >= first) | (F.col("day") == F.lit(as_of)))
         brazil = brazil.where((F.col("date") >= first) | (F.col("date") == F.lit(as_of)))
         usa = usa.where(F.col("date") >= first)
     provinces = read_csv(spark, sources.provinces, schemas.PROVINCES)
@@ -92,6 +93,21 @@ def increment_forms(inputs: dict[str, DataFrame], snapshot: str) -> facts.Forms:
     }
 
 
+def lost_inputs(checks: DataFrame) -> list[str]:
+    """What no run can do without: sources without rows, and needed columns that are wholly null.
+
+    ``checks`` is the table ``check_inputs`` makes, a few rows for each source.
+    """
+    found = checks.collect()
+    rows = {row.source: row.found for row in found if row.check_name == "rows"}
+    lost = [f"{source}: no rows" for source, n in rows.items() if not n]
+    return lost + sorted(
+        f"{row.source}: no value in {row.check_name.removeprefix('nulls:')}"
+        for row in found
+        if row.check_name.startswith("nulls:") and row.found == rows[row.source] > 0
+    )
+
+
 def _from_day(inputs: dict[str, DataFrame], first: dt.date) -> dict[str, DataFrame]:
     return {
         "world": facts.with_day(inputs["world"]).where(F.col("day") >= F.lit(first)),
@@ -110,14 +126,17 @@ def build_tables(
     """The five tables. ``since`` limits the facts to days from then on, and the time dimension
     to whole months that cover them.
 
-    ``corrected=True`` counts every place and takes the detailed countries from their own
-    sources only; the default gives what existing tables hold.
+    ``corrected=True`` counts every place once a day, with the largest of its readings, and takes
+    the detailed countries from their own sources only; the default gives what existing tables hold.
     """
     world, brazil, provinces = inputs["world"], inputs["brazil"], inputs["provinces"]
     late, times = inputs, world
     if since is not None:
         late = _from_day(inputs, _first_fact_day(since))
         times = _from_day(inputs, _first_landed_day(since))["world"]
+    if corrected:
+        late = facts.one_reading(late["world"], late["brazil"], late["usa"])
+        forms = facts.ONE_READING
     world_options = {"places": "each", "no_confirmed": facts.DETAILED} if corrected else {}
     return {
         "dim_country": dims.dim_country(world, as_of),
@@ -146,30 +165,50 @@ def build_lake(
     """Run everything and return the quality report of the written tables.
 
     Both paths must be reachable by all executors. Running it again leaves one copy of every
-    row. With ``since``, folders of earlier days stay as they are, and the work is that of the
-    later days (a source that is one full file is still read whole). The checks of the sources
-    are written to ``checks`` beside their copies; a source without rows stops the run.
+    row. Each run lands its copies and ``checks``, the report on them, in a folder of its own below
+    ``snapshot``, so earlier copies stay. A source without rows, or with nothing in a column that
+    is needed, stops the run before the lake is touched. Tables that are replaced whole are
+    written beside the present ones, which they replace once all are complete.
+
+    With ``since``, folders of earlier days stay as they are, those from then on become what a
+    full run would make of them, and the work is that of the later days (a source that is one full
+    file is still read whole).
     """
-    inputs = land_sources(spark, sources, snapshot, since, as_of)
-    checks = f"{snapshot.rstrip('/')}/checks"
-    check_inputs(inputs).write.mode("overwrite").parquet(checks)
-    found = spark.read.parquet(checks)
-    empty = found.where("check_name = 'rows' and not passed").collect()
-    if empty:
-        raise ValueError(f"no rows in {[row.source for row in empty]}")
-    forms = increment_forms(inputs, snapshot)
+    lake = lake.rstrip("/")
+    kind = "full" if since is None else f"since-{since}"
+    now = dt.datetime.now(dt.timezone.utc)
+    run = f"{snapshot.rstrip('/')}/{kind}-{now:%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:8]}"
+    inputs = land_sources(spark, sources, run, since, as_of)
+    check_inputs(inputs).write.parquet(f"{run}/checks")
+    lost = lost_inputs(spark.read.parquet(f"{run}/checks"))
+    if lost:
+        raise ValueError(f"{'; '.join(lost)} (see {run}/checks)")
+    forms = facts.ONE_READING if corrected else increment_forms(inputs, run)
     tables = build_tables(inputs, as_of, since, forms, corrected)
-    many = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    for name, table in tables.items():
-        fact = name.startswith("fact_")
-        partial = since is not None and (fact or name == "dim_time")
-        write_table(
-            table,
-            f"{lake.rstrip('/')}/{name}",
-            PARTITIONS[name],
-            mode="dynamic" if partial else "overwrite",
-            tasks=many if fact else None,
-        )
+    covered = {}
+    if since is not None:
+        late = F.col("date") >= F.lit(since)
+        covered = {
+            "dim_time": F.col("date_key") >= F.lit(_first_landed_day(since)),
+            "fact_covid_country": late,
+            "fact_covid_country_province": late,
+        }
+    beside = f"{lake}/_next-{uuid.uuid4().hex}"
+    whole = [name for name in tables if name not in covered]
+    # Independent writes run together, so that each fills what the others leave idle.
+    with ThreadPoolExecutor(len(tables)) as together:
+        list(together.map(
+            lambda name: write_table(tables[name], f"{beside}/{name}", PARTITIONS[name]), whole
+        ))
+        for name in whole:
+            switch_table(spark, f"{beside}/{name}", f"{lake}/{name}")
+        drop_table(spark, beside)
+        list(together.map(
+            lambda name: replace_range(
+                tables[name], f"{lake}/{name}", PARTITIONS[name], covered[name]
+            ),
+            covered,
+        ))
     return lake_quality(spark, lake)
 
 
@@ -184,5 +223,5 @@ def lake_quality(spark: SparkSession, lake: str) -> DataFrame:
     tables = open_lake(spark, lake)
     return quality.lake_report(
         tables["dim_country"], tables["dim_time"], tables["fact_covid_country"],
-        aliases={USA_NAME: USA_SHORT},
+        aliases=ALIASES,
     )

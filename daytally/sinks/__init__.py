@@ -1,4 +1,7 @@
-from .lake import read_table, with_month, write_table
+from .lake import drop_table, read_table, replace_range, switch_table, with_month, write_table
 from .scratch import scratch_dir
 
-__all__ = ["read_table", "scratch_dir", "with_month", "write_table"]
+__all__ = [
+    "drop_table", "read_table", "replace_range", "scratch_dir", "switch_table", "with_month",
+    "write_table",
+]

@@ -74,7 +74,10 @@ def test_load_from_a_later_month_on(spark, tmp_path):
     more = raw(tmp_path / "in2", range(20, 70))
     build_lake(spark, more, snapshot, lake, as_of=day(22), since=day(63))
     assert old and all(os.path.getmtime(f) == t for f, t in old.items())
-    assert spark.read.parquet(f"{snapshot}/usa").agg({"date": "min"}).first()[0] == day(61)
+    late, = glob.glob(f"{snapshot}/since-*/usa")
+    whole_copy, = glob.glob(f"{snapshot}/full-*/usa")
+    first = [spark.read.parquet(f).agg({"date": "min"}).first()[0] for f in (late, whole_copy)]
+    assert first == [day(61), day(20)]
     whole = str(tmp_path / "whole")
     build_lake(spark, more, snapshot, whole, as_of=day(22))
     for name in schemas.TABLES:
@@ -112,7 +115,7 @@ def test_unreadable_values_are_counted_beside_the_copies(spark, tmp_path):
     with open(sources.world, "a") as f:
         f.write("Chile,P,a,b,Deaths,many,100,x,2024/1/2,0\n")
     build_lake(spark, sources, str(tmp_path / "s"), str(tmp_path / "lake"), day(2))
-    failed = spark.read.parquet(str(tmp_path / "s" / "checks")).where("not passed")
+    failed = spark.read.parquet(*glob.glob(f"{tmp_path}/s/*/checks")).where("not passed")
     assert rows(failed, "source", "check_name", "found") == [
         ("world", "nulls:cases", 1), ("world", "nulls:day", 1)]
 
@@ -123,3 +126,56 @@ def test_missing_file_stops_the_run(spark, tmp_path):
     with pytest.raises(AnalysisException, match="PATH_NOT_FOUND"):
         build_lake(spark, gone, str(tmp_path / "s"), str(tmp_path / "lake"))
     assert not (tmp_path / "lake").exists()
+
+
+def test_withdrawn_days_leave_the_lake(spark, tmp_path):
+    """After a reload the folders from that day on are those of a full build."""
+    lake, snapshot = str(tmp_path / "lake"), str(tmp_path / "snapshot")
+    build_lake(spark, raw(tmp_path / "in1", range(1, 8)), snapshot, lake, as_of=day(2))
+    old = {f: os.path.getmtime(f) for n in range(2, 5)
+           for f in glob.glob(f"{lake}/fact*/**/date={day(n)}/*.parquet", recursive=True)}
+    fewer = raw(tmp_path / "in2", range(1, 6))
+    build_lake(spark, fewer, snapshot, lake, as_of=day(2), since=day(5))
+    whole = str(tmp_path / "whole")
+    build_lake(spark, fewer, snapshot, whole, as_of=day(2))
+    for name in schemas.TABLES:
+        assert rows(open_lake(spark, lake)[name]) == rows(open_lake(spark, whole)[name]), name
+    assert len(old) == 3 * (4 + 2) and all(os.path.getmtime(f) == t for f, t in old.items())
+
+
+def test_refused_run_leaves_copies_and_lake(spark, tmp_path):
+    lake, snapshot = str(tmp_path / "lake"), str(tmp_path / "snapshot")
+    build_lake(spark, raw(tmp_path / "in1", range(1, 4)), snapshot, lake, as_of=day(2))
+    copy, = glob.glob(f"{snapshot}/full-*/world")
+    before = rows(spark.read.parquet(copy)), rows(open_lake(spark, lake)["fact_covid_country"])
+    empty = raw(tmp_path / "in2", range(1, 4), header_only=True)
+    with pytest.raises(ValueError, match="world: no rows"):
+        build_lake(spark, empty, snapshot, lake, as_of=day(2))
+    assert before == (
+        rows(spark.read.parquet(copy)), rows(open_lake(spark, lake)["fact_covid_country"]))
+    assert sorted(os.listdir(lake)) == sorted([*schemas.TABLES])
+
+
+def test_source_without_a_value_stops_the_run(spark, tmp_path):
+    sources = raw(tmp_path / "in", range(1, 4))
+    with open(sources.usa) as f:
+        text = f.read()
+    with open(sources.usa, "w") as f:
+        f.write(text.replace('"cases": ', '"cases": "x", "was": '))
+    with pytest.raises(ValueError, match="usa: no value in cases"):
+        build_lake(spark, sources, str(tmp_path / "s"), str(tmp_path / "lake"), day(2))
+    with open(sources.usa, "w") as f:
+        f.write(text.replace('"cases"', '"caseload"'))
+    with pytest.raises(ValueError, match="lacks the columns .*cases"):
+        build_lake(spark, sources, str(tmp_path / "s"), str(tmp_path / "lake"), day(2))
+
+
+def test_corrected_run_takes_a_revised_day_once(spark, tmp_path):
+    """Readings 5, then 10 and 11, then 12."""
+    lake, sources = str(tmp_path / "lake"), raw(tmp_path / "in", range(1, 4))
+    with open(sources.world, "a") as f:
+        for n, cases in ((1, 5), (2, 10), (2, 11), (3, 12)):
+            f.write(f"Peru,P,P2,P3,Confirmed,{cases},100,\"P, Peru\",{to_mdy(day(n))},0\n")
+    build_lake(spark, sources, str(tmp_path / "s"), lake, day(2), corrected=True)
+    peru = open_lake(spark, lake)["fact_covid_country"].where("country_name = 'Peru'")
+    assert rows(peru) == [("Peru", day(2), 6, None, 11, None), ("Peru", day(3), 1, None, 12, None)]
