@@ -11,6 +11,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..operators import renamed
+from ..schemas import ALIASES
 
 
 def _ratio(top: Column, bottom: Column) -> Column:
@@ -21,12 +22,14 @@ def compare_countries(
     fact_country: DataFrame,
     dim_country: DataFrame,
     day: dt.date | None = None,
-    aliases: dict[str, str] | None = None,
+    aliases: dict[str, str] | None = ALIASES,
 ) -> DataFrame:
     """Counts, counts per 100,000 people, and rank by confirmed cases among the day's countries.
 
     ``day=None`` compares on every day. Ranking is per day, so no task holds more than one
-    day's countries. A country without a dimension row keeps its counts, without rates.
+    day's countries. A country without a dimension row keeps its counts, without rates. Rows
+    that are one country after ``aliases`` (a lake built by default has several for the detailed
+    ones) are one row, with the largest of each count.
     """
     facts = fact_country if day is None else fact_country.where(F.col("date") == F.lit(day))
     people = dim_country.groupBy("country_region").agg(F.sum("population_count").alias("people"))
@@ -35,8 +38,11 @@ def compare_countries(
             F.col("sum_confirmed_cases").desc_nulls_last(), "country_name"
         )
     )
+    counts = ["sum_confirmed_cases", "sum_death_cases"]
     return (
         facts.withColumn("country_region", renamed(F.col("country_name"), aliases))
+        .groupBy("date", "country_region")
+        .agg(*[F.max(c).alias(c) for c in ("country_name", *counts)])
         .join(people, "country_region", "left")
         .select(
             "date",
@@ -60,13 +66,24 @@ def _first_days(fact_country: DataFrame) -> DataFrame:
 
 
 def spread(fact_country: DataFrame) -> DataFrame:
-    """Per country and day: the first day with confirmed cases and the days since."""
-    return fact_country.join(_first_days(fact_country), "country_name").select(
-        "country_name",
-        "date",
-        "first_date",
-        F.date_diff("date", "first_date").alias("days_since_first"),
-        "sum_confirmed_cases",
+    """Per country and day: the first day with confirmed cases and the days since.
+
+    One pass: a window partition holds the days of one country. Countries without a confirmed
+    case, and rows without a country, have no first day and are left out.
+    """
+    reached = F.when(F.col("sum_confirmed_cases") > 0, F.col("date"))
+    first = F.min(reached).over(Window.partitionBy("country_name"))
+    return (
+        fact_country.where(F.col("country_name").isNotNull())
+        .withColumn("first_date", first)
+        .where(F.col("first_date").isNotNull())
+        .select(
+            "country_name",
+            "date",
+            "first_date",
+            F.date_diff("date", "first_date").alias("days_since_first"),
+            "sum_confirmed_cases",
+        )
     )
 
 

@@ -9,17 +9,18 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..functions import date_parts, parse_mdy, to_mdy
+from ..functions import date_parts, parse_mdy
 from ..operators import join_lookup, union_tables
 from ..schemas import BRAZIL_NAME, DEATHS, STATE_LEVEL, USA_SHORT
+from .facts import with_day
 
 # Fixed value: the day whose population figures fill the dimensions.
 POPULATION_DAY = dt.date(2020, 5, 19)
 
 
 def _population_slice(world: DataFrame, as_of: dt.date) -> DataFrame:
-    # Comparing the text as it stands lets the predicate reach the scan.
-    return world.where((F.col("case_type") == DEATHS) & (F.col("date") == to_mdy(as_of)))
+    # By the date itself, since its text may be padded; a landed copy has it as a column.
+    return with_day(world).where((F.col("case_type") == DEATHS) & (F.col("day") == F.lit(as_of)))
 
 
 def dim_country(world: DataFrame, as_of: dt.date = POPULATION_DAY) -> DataFrame:

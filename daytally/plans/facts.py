@@ -24,6 +24,7 @@ DETAILED = (BRAZIL_NAME, USA_SHORT)
 
 Forms = Mapping[str, Form]
 ANY_SOURCE: Forms = {"world": "join", "brazil": "join", "usa": "join"}
+ONE_READING: Forms = {"world": "lag", "brazil": "lag", "usa": "lag"}
 
 BRAZIL_KEYS = ["state"]
 BRAZIL_COUNTS = ["last_available_confirmed", "last_available_deaths"]
@@ -94,6 +95,22 @@ def world_days(world: DataFrame) -> DataFrame:
     return with_day(world).select(*WORLD_KEYS, "day", "cases")
 
 
+def _largest(df: DataFrame, keys: list[str], date: str, counts: list[str]) -> DataFrame:
+    return df.groupBy(*keys, date).agg(*[F.max(c).alias(c) for c in counts])
+
+
+def one_reading(world: DataFrame, brazil: DataFrame, usa: DataFrame) -> dict[str, DataFrame]:
+    """The three sources with one row per place and day, as ``ONE_READING`` needs: of a day that was
+    revised, the largest of each count."""
+    return {
+        "world": _largest(world_days(world), WORLD_KEYS, "day", ["cases"]),
+        "brazil": _largest(
+            brazil_states(brazil), [*BRAZIL_KEYS, "place_type"], "date", BRAZIL_COUNTS
+        ),
+        "usa": _largest(usa, USA_KEYS, "date", USA_COUNTS),
+    }
+
+
 def counted_rows(world: DataFrame, no_deaths: tuple, no_confirmed: tuple) -> DataFrame:
     """Confirmed and death rows, less those of the countries named for either type."""
     kind, country = F.col("case_type"), F.col("country_region")

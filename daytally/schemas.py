@@ -60,6 +60,8 @@ TABLES = {
 }
 CONFIRMED, DEATHS = "Confirmed", "Deaths"
 BRAZIL_NAME, USA_NAME, USA_SHORT = "Brazil", "United States", "US"
+# A fact's country name, where the dimension has another.
+ALIASES = {USA_NAME: USA_SHORT}
 STATE_LEVEL = "state"
 
 MEASURES = ["confirmed_cases", "death_cases", "sum_confirmed_cases", "sum_death_cases"]

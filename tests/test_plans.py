@@ -63,7 +63,7 @@ def test_world_fact_reads_five_columns_once_and_filters_in_the_scan(landed):
 
 def test_as_of_slice_reaches_the_scan(landed):
     text = plan(dims.dim_country(landed, day(3)))
-    assert "EqualTo(date,1/3/2024)" in text and "EqualTo(case_type,Deaths)" in text
+    assert "EqualTo(day,2024-01-03)" in text and "EqualTo(case_type,Deaths)" in text
 
 
 def test_written_tables_prune_folders(spark, tmp_path):

@@ -45,6 +45,14 @@ FIXTURES = {
                      count(*) as n
               from fx_events
               group by country_region, iso2, iso3, province_state, user_id, case_type, d) g""",
+    "fx_revised": """
+        select * from fx_cases union all
+        select country_region, iso2, iso3, province_state, combined_key, case_type, d, date_str,
+               cases + 1 as cases, population_count
+        from fx_cases where day(d) % 3 = 0""",
+    "fx_latest": """
+        select country_region, combined_key, case_type, d, max(cases) as cases
+        from fx_revised group by country_region, combined_key, case_type, d""",
     "fx_wide": """
         select country_region, province_state, d,
                cast(sum(c) over (partition by country_region, province_state order by d
@@ -172,6 +180,8 @@ FIXTURES |= {
     "q_usa_country": f"""
         select 'United States' as country_name, {DAY_SUMS} from q_usa_days group by date""",
     "q_world_country": _world_country("fx_cases"),
+    "q_world_revised": _world_country("fx_revised"),
+    "q_revised_corrected": _world_each("fx_latest", NOT_DETAILED),
     "q_world_corrected": _world_each("fx_cases", NOT_DETAILED),
     "q_country_all": """
         select * from q_brazil_country union all select * from q_usa_country
@@ -249,6 +259,8 @@ _BODIES = {
     "scan_csv": f"select {WORLD_COLUMNS} from fx_places",
     "scan_csv_gz": "select * from fx_brazil",
     "scan_json": "select * from fx_usa",
+    "scan_json_case": "select * from fx_usa",
+    "scan_json_infer": "select state_name, cases, deaths from fx_usa",
     "scan_infer": "select date_str as date, combined_key, case_type, cases from fx_places",
     "snapshot_raw": f"select {WORLD_COLUMNS} from fx_places",
     "input_check": """
@@ -353,6 +365,7 @@ _BODIES = {
     "format_date": """select combined_key, case_type, strftime(d, '%Y-%m-%d') as iso,
         strftime(d, '%m/%d/%Y') as us from fx_places""",
     "dim_country": "select * from q_dim_country",
+    "dim_country_padded": "select * from q_dim_country",
     "dim_province_usa": "select * from q_province_usa",
     "dim_province_usa_sum": """select country_region, province_state,
         cast(sum(population_count) as bigint) as population_count from fx_places
@@ -372,6 +385,8 @@ _BODIES = {
     "fact_usa_country": "select * from q_usa_country",
     "world_confirmed": _confirmed("fx_cases"),
     "world_deaths": _deaths("fx_cases"),
+    "fact_world_revised": "select * from q_world_revised",
+    "fact_world_corrected_revised": "select * from q_revised_corrected",
     "fact_world_country": "select * from q_world_country",
     "fact_world_country_join": "select * from q_world_country",
     "fact_world_country_bykey": _world_each(
@@ -419,7 +434,7 @@ _BODIES = {
         + _percent("death_cases", "sum_death_cases", "pct_deaths")
         + " from q_country_corrected",
     "trace_province": """select * from q_province_all where country_name = 'United States'
-        and province_state = 'MACHINERY' and date >= date '2024-01-19'""",
+        and province_state = 'BUILDING' and date >= date '2024-01-19'""",
     "trace_country": """select * from q_country_all where country_name = 'Brazil'
         and date <= date '2024-01-19'""",
     # A run finds the two detailed countries under the names Brazil and US in the world file.
@@ -432,6 +447,9 @@ _BODIES = {
     "lake_build_corrected": "select * from q_country_corrected",
 }
 _BODIES["lake_reload_since"] = _BODIES["lake_build_country"]
+_BODIES["lake_reload_withdrawn"] = f"""
+    select * from ({_BODIES["lake_build_country"]}) f
+    where not (country_name = 'US' and date >= date '2024-01-20')"""
 
 
 def _needed(text: str, found: dict[str, None]) -> dict[str, None]:

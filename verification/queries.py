@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from dataclasses import replace
 
 from pyspark.sql import functions as F
 
@@ -22,7 +23,6 @@ from .standins import AS_OF, BRAZIL, USA, StandIns
 
 DETAILED = (BRAZIL, USA)
 ALIASES = {schemas.BRAZIL_NAME: BRAZIL, schemas.USA_NAME: USA}
-WRITERS = 8
 # The stand-ins have one row per key and day.
 STEADY = {"world": "lag", "brazil": "lag", "usa": "lag"}
 FROM_DAY = dt.date(2024, 1, 20)
@@ -52,7 +52,7 @@ def scan_csv(s):
 def scan_csv_gz(s):
     path = scratch_dir(s.spark, "scan_csv_gz")
     s.brazil.write.options(header=True, compression="gzip").csv(path)
-    return read_csv(s.spark, path, schemas.BRAZIL, spread=8)
+    return read_csv(s.spark, path, schemas.BRAZIL)
 
 
 @query
@@ -62,6 +62,24 @@ def scan_json(s):
     return read_json(s.spark, path, schemas.USA)
 
 
+@query
+def scan_json_case(s):
+    """Fields in other cases than the declared ones, and in another order."""
+    path = scratch_dir(s.spark, "scan_json_case")
+    s.usa.select(
+        F.col("cases").alias("Cases"), F.col("state_name").alias("State_Name"), "date",
+        F.col("deaths").alias("DEATHS"), F.col("state_fips").alias("state_FIPS"),
+    ).write.json(path)
+    return read_json(s.spark, path, schemas.USA)
+
+
+@query
+def scan_json_infer(s):
+    path = scratch_dir(s.spark, "scan_json_infer")
+    s.usa.write.json(path)
+    return read_inferred(s.spark, path, "json").select("state_name", "cases", "deaths")
+
+
 @query
 def scan_infer(s):
     path = scratch_dir(s.spark, "scan_infer")
@@ -115,7 +133,7 @@ def sink_overwrite(s):
 def sink_overwrite_3(s):
     path = scratch_dir(s.spark, "fact_province")
     by = ["country_name", "province_state", "date"]
-    write_table(fact_province_all(s), path, by, tasks=WRITERS)
+    write_table(fact_province_all(s), path, by)
     return read_table(s.spark, path, schemas.FACT_PROVINCE)
 
 
@@ -132,9 +150,9 @@ def sink_by_month(s):
 def sink_append(s):
     path = scratch_dir(s.spark, "fact_country")
     by = ["country_name", "date"]
-    write_table(facts.brazil_country(s.brazil), path, by, tasks=WRITERS)
-    write_table(facts.usa_country(s.usa), path, by, "append", tasks=WRITERS)
-    write_table(fact_world_country(s), path, by, "append", tasks=WRITERS)
+    write_table(facts.brazil_country(s.brazil), path, by)
+    write_table(facts.usa_country(s.usa), path, by, "append")
+    write_table(fact_world_country(s), path, by, "append")
     return read_table(s.spark, path, schemas.FACT_COUNTRY)
 
 
@@ -143,9 +161,9 @@ def sink_dynamic(s):
     path = scratch_dir(s.spark, "fact_country")
     fact = fact_country_all(s)
     by = ["country_name", "date"]
-    write_table(fact, path, by, tasks=WRITERS)
+    write_table(fact, path, by)
     late = fact.where(F.col("date") >= F.lit(FROM_DAY))
-    write_table(late, path, by, "dynamic", tasks=WRITERS)
+    write_table(late, path, by, "dynamic")
     return read_table(s.spark, path, schemas.FACT_COUNTRY)
 
 
@@ -397,6 +415,13 @@ def dim_country(s):
     return dims.dim_country(s.world, AS_OF)
 
 
+@query
+def dim_country_padded(s):
+    """Dates written with leading zeros."""
+    padded = F.date_format(parse_mdy(F.col("date")), "MM/dd/yyyy")
+    return dims.dim_country(s.world.withColumn("date", padded), AS_OF)
+
+
 @query
 def dim_province_usa(s):
     return dims.dim_province_usa(s.world, AS_OF, USA)
@@ -518,6 +543,22 @@ def fact_country_corrected(s):
     )
 
 
+@query
+def fact_world_corrected_revised(s):
+    revised = facts.one_reading(s.world_revised, s.brazil, s.usa)
+    return facts.world_country(
+        revised["world"], DETAILED, no_confirmed=DETAILED, places="each", how="lag"
+    )
+
+
+@query
+def fact_world_revised(s):
+    """Revised days as they stand: every pair counts, in the form that the source calls for."""
+    days = facts.world_days(s.world_revised)
+    how = choose_form(days, facts.WORLD_KEYS, "day", scratch_dir(s.spark, "revised"))
+    return facts.world_country(s.world_revised, DETAILED, how=how)
+
+
 @query
 def fact_province_all(s):
     return facts.province_fact(
@@ -544,7 +585,7 @@ def quality_lake(s):
     }
     written = {}
     for name, df in tables.items():
-        write_table(df, f"{path}/{name}", schemas.PARTITIONS[name], tasks=WRITERS)
+        write_table(df, f"{path}/{name}", schemas.PARTITIONS[name])
         written[name] = read_table(s.spark, f"{path}/{name}", schemas.TABLES[name])
     return quality.lake_report(*written.values(), aliases=ALIASES)
 
@@ -591,7 +632,7 @@ def percent_increase(s):
 @query
 def trace_province(s):
     written = sink_overwrite_3(s)
-    return analyses.trace(written, schemas.USA_NAME, "MACHINERY", since=AS_OF)
+    return analyses.trace(written, schemas.USA_NAME, "BUILDING", since=AS_OF)
 
 
 @query
@@ -625,11 +666,19 @@ def _raw_files(s):
     return sources
 
 
-def _built(s, corrected=False, since=None):
+def _built(s, corrected=False, since=None, withdrawn=None):
+    """The lake of one run, or of two with ``since``; the second no longer finds the rows of the
+    country ``withdrawn`` from then on."""
     sources = _raw_files(s)
     root = scratch_dir(s.spark, "run")
     snapshot, lake = f"{root}/snapshot", f"{root}/lake"
     build_lake(s.spark, sources, snapshot, lake, AS_OF, corrected=corrected)
+    if withdrawn:
+        world = f"{scratch_dir(s.spark, 'withdrawn')}/world"
+        rows = read_csv(s.spark, sources.world, schemas.WORLD)
+        late = (F.col("country_region") == withdrawn) & (parse_mdy(F.col("date")) >= F.lit(since))
+        rows.where(~late).write.option("header", True).csv(world)
+        sources = replace(sources, world=world)
     if since:
         build_lake(s.spark, sources, snapshot, lake, AS_OF, since, corrected)
     return open_lake(s.spark, lake)
@@ -653,3 +702,8 @@ def lake_build_corrected(s):
 @query
 def lake_reload_since(s):
     return _built(s, since=FROM_DAY)["fact_covid_country"]
+
+
+@query
+def lake_reload_withdrawn(s):
+    return _built(s, since=FROM_DAY, withdrawn=schemas.USA_SHORT)["fact_covid_country"]
