@@ -8,6 +8,7 @@ from pyspark.sql import SparkSession
 
 from .plans.build import Sources, build_lake
 from .plans.dims import POPULATION_DAY
+from .schemas import LAYOUTS
 
 
 def main() -> None:
@@ -16,12 +17,14 @@ def main() -> None:
         args.add_argument(f"--{name}", required=True)
     args.add_argument("--as-of", type=dt.date.fromisoformat, default=POPULATION_DAY)
     args.add_argument("--since", type=dt.date.fromisoformat)
+    args.add_argument("--layout", choices=sorted(LAYOUTS), default="day")
     args.add_argument("--corrected", action="store_true")
     got = args.parse_args()
     spark = SparkSession.builder.appName("daytally").getOrCreate()
     sources = Sources(got.world, got.brazil, got.provinces, got.usa)
     report = build_lake(
-        spark, sources, got.snapshot, got.lake, got.as_of, got.since, got.corrected
+        spark, sources, got.snapshot, got.lake, got.as_of, got.since, got.corrected,
+        got.layout,
     )
     report.show(truncate=False)
     if report.where("not passed").count():

@@ -11,8 +11,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .. import schemas
 from ..operators import union_tables
-from ..schemas import ALIASES, BRAZIL_NAME, PARTITIONS, TABLES
-from ..sinks import drop_table, read_table, replace_range, switch_table, write_table
+from ..schemas import ALIASES, BRAZIL_NAME, LAYOUTS, TABLES
+from ..sinks import (
+    drop_table, read_table, replace_range, switch_table, with_month, write_table,
+)
 from ..sources import choose_form, input_check, land, read_csv, read_json
 from . import dims, facts, quality
 
@@ -161,6 +163,7 @@ def build_lake(
     as_of: dt.date = dims.POPULATION_DAY,
     since: dt.date | None = None,
     corrected: bool = False,
+    layout: str = "day",
 ) -> DataFrame:
     """Run everything and return the quality report of the written tables.
 
@@ -173,8 +176,13 @@ def build_lake(
     With ``since``, folders of earlier days stay as they are, those from then on become what a
     full run would make of them, and the work is that of the later days (a source that is one full
     file is still read whole).
+
+    ``layout="month"`` keeps the facts in a folder per country and month instead of one per place and
+    day; with ``since`` the whole of its month is then loaded again. A lake keeps its layout.
     """
-    lake = lake.rstrip("/")
+    lake, folders = lake.rstrip("/"), LAYOUTS[layout]
+    if since is not None and layout == "month":
+        since = since.replace(day=1)
     kind = "full" if since is None else f"since-{since}"
     now = dt.datetime.now(dt.timezone.utc)
     run = f"{snapshot.rstrip('/')}/{kind}-{now:%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:8]}"
@@ -185,9 +193,13 @@ def build_lake(
         raise ValueError(f"{'; '.join(lost)} (see {run}/checks)")
     forms = facts.ONE_READING if corrected else increment_forms(inputs, run)
     tables = build_tables(inputs, as_of, since, forms, corrected)
+    if layout == "month":
+        for name in tables:
+            if name.startswith("fact_"):
+                tables[name] = with_month(tables[name])
     covered = {}
     if since is not None:
-        late = F.col("date") >= F.lit(since)
+        late = F.col("date" if layout == "day" else "month") >= F.lit(since)
         covered = {
             "dim_time": F.col("date_key") >= F.lit(_first_landed_day(since)),
             "fact_covid_country": late,
@@ -198,14 +210,14 @@ def build_lake(
     # Independent writes run together, so that each fills what the others leave idle.
     with ThreadPoolExecutor(len(tables)) as together:
         list(together.map(
-            lambda name: write_table(tables[name], f"{beside}/{name}", PARTITIONS[name]), whole
+            lambda name: write_table(tables[name], f"{beside}/{name}", folders[name]), whole
         ))
         for name in whole:
             switch_table(spark, f"{beside}/{name}", f"{lake}/{name}")
         drop_table(spark, beside)
         list(together.map(
             lambda name: replace_range(
-                tables[name], f"{lake}/{name}", PARTITIONS[name], covered[name]
+                tables[name], f"{lake}/{name}", folders[name], covered[name]
             ),
             covered,
         ))

@@ -51,6 +51,12 @@ PARTITIONS = {
     "fact_covid_country": ["country_name", "date"],
     "fact_covid_country_province": ["country_name", "province_state", "date"],
 }
+# The facts in coarser folders, for places whose days are a few rows each.
+BY_MONTH = PARTITIONS | {
+    "fact_covid_country": ["country_name", "month"],
+    "fact_covid_country_province": ["country_name", "month"],
+}
+LAYOUTS = {"day": PARTITIONS, "month": BY_MONTH}
 TABLES = {
     "dim_country": DIM_COUNTRY,
     "dim_province": DIM_PROVINCE,

@@ -447,6 +447,7 @@ _BODIES = {
     "lake_build_corrected": "select * from q_country_corrected",
 }
 _BODIES["lake_reload_since"] = _BODIES["lake_build_country"]
+_BODIES["lake_build_month"] = _BODIES["lake_build_country"]
 _BODIES["lake_reload_withdrawn"] = f"""
     select * from ({_BODIES["lake_build_country"]}) f
     where not (country_name = 'US' and date >= date '2024-01-20')"""

@@ -666,13 +666,13 @@ def _raw_files(s):
     return sources
 
 
-def _built(s, corrected=False, since=None, withdrawn=None):
+def _built(s, corrected=False, since=None, withdrawn=None, layout="day"):
     """The lake of one run, or of two with ``since``; the second no longer finds the rows of the
     country ``withdrawn`` from then on."""
     sources = _raw_files(s)
     root = scratch_dir(s.spark, "run")
     snapshot, lake = f"{root}/snapshot", f"{root}/lake"
-    build_lake(s.spark, sources, snapshot, lake, AS_OF, corrected=corrected)
+    build_lake(s.spark, sources, snapshot, lake, AS_OF, corrected=corrected, layout=layout)
     if withdrawn:
         world = f"{scratch_dir(s.spark, 'withdrawn')}/world"
         rows = read_csv(s.spark, sources.world, schemas.WORLD)
@@ -680,7 +680,7 @@ def _built(s, corrected=False, since=None, withdrawn=None):
         rows.where(~late).write.option("header", True).csv(world)
         sources = replace(sources, world=world)
     if since:
-        build_lake(s.spark, sources, snapshot, lake, AS_OF, since, corrected)
+        build_lake(s.spark, sources, snapshot, lake, AS_OF, since, corrected, layout)
     return open_lake(s.spark, lake)
 
 
@@ -707,3 +707,8 @@ def lake_reload_since(s):
 @query
 def lake_reload_withdrawn(s):
     return _built(s, since=FROM_DAY, withdrawn=schemas.USA_SHORT)["fact_covid_country"]
+
+
+@query
+def lake_build_month(s):
+    return _built(s, layout="month")["fact_covid_country"]
