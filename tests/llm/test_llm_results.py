@@ -211,3 +211,11 @@ def test_pipeline_stage_by_stage(spark):
     assert all(len(s) == 1 for s in shards.values())
     for name in ("toxicity", "near_dedup", "decontamination", "mixing"):
         assert seen[name].columns == before.columns
+
+
+def test_html_values_end_at_their_closing_quote():
+    for mark in "\"'":
+        value = f"<b>{'z' * 2000}</b></div>"
+        page = f"<article><p>One.</p><div class=\"ad\" data-x={mark}{value}{mark}>BUY</div><p>Two.</p></article>"
+        assert html_text.main_text(page, "article") == "One.\nTwo."
+    assert html_text.main_text('<article><p title="open>One.</p><p>3 <4 and more.</p></article>', "article") == "One.\n3 <4 and more."
