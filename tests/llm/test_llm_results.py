@@ -219,3 +219,17 @@ def test_html_values_end_at_their_closing_quote():
         page = f"<article><p>One.</p><div class=\"ad\" data-x={mark}{value}{mark}>BUY</div><p>Two.</p></article>"
         assert html_text.main_text(page, "article") == "One.\nTwo."
     assert html_text.main_text('<article><p title="open>One.</p><p>3 <4 and more.</p></article>', "article") == "One.\n3 <4 and more."
+
+
+def test_html_pages_are_measured_whole():
+    index = "".join(f"<p><a>Entry number {i} of the index</a></p><h2>{'x' * (i % 7)}</h2>" for i in range(1500))
+    body = "".join(f"<p>Sentence {i} of the long main text, which is much longer than an entry.</p>" for i in range(3000))
+    pages = [f'<body><div class="toc">{index}</div><div class="long"><h3>Main</h3>{body.replace("long main", word)}</div></body>' for word in ("long main", "main", "whole")]
+    whole = [html_text.main_text(page, "") for page in pages]
+    assert all(text.startswith("Main\nSentence 0 ") and text.count("\n") == 3000 for text in whole)
+    found = html_text.region(html_text.wrapper(pages), 3)
+    assert found == "body>div.long" and [html_text.main_text(page, found) for page in pages] == whole
+    # Long pages that don't fold and have nothing but common tokens are aligned in bounded time.
+    rng = np.random.default_rng(4)
+    mixed = ["<body>" + "".join(f"<{t}>text {i}</{t}>" for i, t in enumerate(rng.choice(["p", "h2", "h3", "ul"], 20_000))) + "</body>" for _ in range(3)]
+    assert html_text.region(html_text.wrapper(mixed), 3) == "body"
