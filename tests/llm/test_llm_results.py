@@ -233,3 +233,10 @@ def test_html_pages_are_measured_whole():
     rng = np.random.default_rng(4)
     mixed = ["<body>" + "".join(f"<{t}>text {i}</{t}>" for i, t in enumerate(rng.choice(["p", "h2", "h3", "ul"], 20_000))) + "</body>" for _ in range(3)]
     assert html_text.region(html_text.wrapper(mixed), 3) == "body"
+
+
+def test_html_all_articles_of_a_page():
+    parts = ["One is short.", "Two is a good deal longer than one.", "Three."]
+    page = "<body>" + "<div>between</div>".join(f"<article><p>{part}</p></article>" for part in parts) + '<article class="comment"><p>I like it</p></article></body>'
+    for path in ("body>article", ""):
+        assert html_text.main_text(page, path) == "\n".join(parts)
