@@ -22,7 +22,7 @@ a chance of 6 in a million.
 
 Defined cases: null or empty texts have an empty set and no link; repeated rows and rows that
 share a doc_id count as one document; a row without doc_id has component null unless another copy has
-an id; an empty table gives an empty result.
+an id; an empty table gives an empty result. ``kept_rows`` decides by row instead, see there.
 """
 
 from __future__ import annotations
@@ -34,7 +34,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from .common import Store, table
+from .common import SPACE_CLASS, Store, fresh, table
 from .components import components
 from .words import text_shingles
 
@@ -237,9 +237,22 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def kept_rows(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns: one document of each group."""
-    gone = near_duplicates(docs).where("not kept").select(F.col("doc_id").alias("gone"))
-    return docs.join(gone, docs["doc_id"].eqNullSafe(gone["gone"]), "left_anti")
+    """The rows of ``docs`` that stay, with all their columns: one row of each group.
+
+    Each row is numbered and takes part by its number, so rows without doc_id, and different texts of one doc_id, are
+    rows like others. The row with the smallest doc_id stays; one without comes last. Rows without shingles
+    are one group if doc_id and text are equal."""
+    store, row = Store(docs.sparkSession, "kept"), fresh(docs, "row")
+    rows = store.put(docs.withColumn(row, F.monotonically_increasing_id()), "rows")
+    found = near_duplicates(rows.select(F.col(row).alias("doc_id"), "text")).select(F.col("doc_id").alias("number"), "n_shingles", "component_id")
+    rest = F.xxhash64(*[c for c, kind in docs.dtypes if "map<" not in kind])
+    ranks = rows.select(F.col(row).alias("number"), F.struct(F.col("doc_id").isNull().alias("without"), "doc_id", rest.alias("rest"), F.col(row).alias("at")).alias("rank"),
+                        F.when(~F.col("text").rlike(rf"[^{SPACE_CLASS}]"), F.col("text")).alias("blank"))
+    empty = F.col("n_shingles") == 0
+    groups = found.join(ranks, "number").groupBy(
+        F.when(~empty, F.col("component_id")).alias("of"), F.when(empty, F.col("rank.doc_id")).alias("id"), F.when(empty, F.col("blank")).alias("blank"))
+    stay = groups.agg(F.min("rank").alias("first")).select(F.col("first.at").alias(row))
+    return rows.join(stay, row, "left_semi").select(*docs.columns)
 
 
 def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:

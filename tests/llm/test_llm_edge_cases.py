@@ -137,3 +137,18 @@ def test_pages_defined_cases(spark):
     empty = Store(spark, "archives")
     captures, files = archives.archive(pages.limit(0), empty)
     assert archives.lookup(captures, empty.root, files, whole_key=False).count() == 0
+
+
+def test_kept_rows_is_one_row_of_each_group(spark):
+    def words(name, n=60):
+        return " ".join(f"{name}{i}" for i in range(n))
+    rows = [(None, words("a")), (5, words("a")), (None, words("b")), (None, words("c")), (None, words("c")), (None, f"{words('c')} more"),
+            (1, words("d")), (2, None), (None, None), (None, ""), (3, " \n"), (7, words("e")), (7, words("f")), (8, words("e")), (6, f"{words('f')} more")]
+    docs = spark.createDataFrame([(*r, "?") for r in rows], "doc_id long, text string, row string")
+    once = sorted(((r.doc_id, r.text) for r in minhash.kept_rows(docs).collect()), key=str)
+    c = [r for r in once if r[1] and r[1].startswith("c0 ")]
+    assert len(c) == 1 and c[0] in rows
+    assert once == sorted([*c, (5, words("a")), (None, words("b")), (1, words("d")), (2, None), (None, None), (None, ""), (3, " \n"),
+                           (7, words("e")), (6, f"{words('f')} more")], key=str)
+    twice = sorted(((r.doc_id, r.text) for r in minhash.kept_rows(docs.unionByName(docs)).collect()), key=str)
+    assert twice == once
