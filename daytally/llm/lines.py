@@ -1,20 +1,21 @@
 """Line dedup by a segment-partition edit join.
 
-Lines that are equal, or at least ``SHORTEST`` code points long and within ``EDITS`` insertions,
-deletions or substitutions of each other, are near copies. Classes are the connected components of
-these links; of a class the line at the first place stays, by doc_id and then by place in the text.
+Lines that are equal, or within ``threshold`` insertions, deletions or substitutions of each other, are near
+copies. The threshold grows with the length of the shorter line: none under 10 code points, 1 under 20, 2
+under 45, then one for every ``PER_EDIT``. Classes are the connected components of these links; of a class
+the line at the first place stays, by doc_id and then by place in the text.
 
 1. Equal lines are brought together first, with their first place.
-2. A line of n code points is cut into ``EDITS`` + 1 segments. A line within the threshold must
-   hold one of them unchanged, at a start that the difference in length bounds; so each line probes,
-   for each length up to ``EDITS`` shorter than its own and each segment of such a line, the few starts at
-   which that segment can lie if the edits left and right of it are to suffice. Segments and probes meet by
-   a hash of length, segment number and characters.
-3. Lines that meet no other one are set aside without pairing any. Pairs of the others must also agree in
-   how often they hold each letter, but for what ``EDITS`` edits can change; this is part of the join's
-   condition, so many variants of one line make few pairs.
-4. Pairs that are left are verified by bit-parallel edit distance in a band: a column of the distance
-   matrix is held as the signs of its steps, in 2 * ``EDITS`` + 1 bits that move along the diagonal.
+2. Shorter lines of up to 44 code points: a line is cut into as many segments as the threshold and one more. A line
+   within the threshold must hold one of them unchanged, at a start that the difference in length bounds; so
+   each line probes, for each length and each segment of such a line, the few starts at which that segment
+   can lie if the edits left and right of it are to suffice. Lines that meet no other one are set
+   aside without pairing any. Pairs of the others must also agree in how often they hold each letter, but for
+   what the edits can change; this is part of the join's condition. Pairs that are left are verified by
+   bit-parallel edit distance in a band, 2 * ``EDITS`` + 1 bits that move along the diagonal.
+3. Longer ones: the segments have the fixed size of a class of lengths (``SIZES``), so a line probes each of its
+   starts once, whatever the lengths of the others. The join's condition holds shifts and lengths to what the
+   edits left and right of the segment allow; letters and a banded distance (``levenshtein``) follow.
 
 All of it is DataFrame functions.
 
@@ -25,6 +26,7 @@ gives an empty result; very long lines are compared whole.
 
 from __future__ import annotations
 
+import math
 import string
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -34,6 +36,14 @@ from .components import components
 
 EDITS = 2
 SHORTEST = 20
+#: (edits, first, last length) of the shorter line, for lines of few edits.
+SHORT = [(1, 10, 19), (2, 20, 44)]
+#: Code points to an edit of longer lines; size of a segment, first and last length of the shorter line. A line of n has
+#: n // PER_EDIT + 1 such segments at least.
+PER_EDIT = 15
+SIZES = [(11, 45, 59), (12, 60, 104), (13, 105, 209), (14, 210, (1 << 31) - 1)]
+#: Segments of a long line that are cut from one piece of it.
+PIECE = 32
 #: Places of a text are numbered below this.
 PLACES = 1 << 31
 NO_ID = -(2 ** 63)
@@ -148,21 +158,31 @@ def letters(line: str) -> Column:
     return F.struct(*[n.alias(c) for c, n in counts], rest.alias("rest"))
 
 
-def near_lines(lines: DataFrame, store: Store, edits: int = EDITS, shortest: int = SHORTEST) -> DataFrame:
-    """Links (a, b) between nodes of ``lines`` (line, node, length): pairs within ``edits`` edits."""
+def threshold(length: int) -> int:
+    """Edits that a line of ``length`` code points may differ by from one as long or longer."""
+    return next((e for e, first, last in SHORT if first <= length <= last), 0 if length < SHORT[0][1] else length // PER_EDIT)
+
+
+def near_lines(lines: DataFrame, store: Store, edits: int = EDITS, shortest: int = SHORTEST, longest: int | None = None) -> DataFrame:
+    """Links (a, b) between nodes of ``lines`` (line, node, length): pairs within ``edits`` edits whose shorter line has
+    ``shortest`` to ``longest`` code points."""
     long = lines.where(F.col("length") >= shortest).withColumn("id", F.xxhash64("line"))
+    first = F.lit(True)
+    if longest is not None:
+        long, first = long.where(F.col("length") <= longest + edits), F.col("length") <= longest
+    name = {n: f"{n}{shortest}" for n in ("ids", "texts", "pairs", "links")}
     # Lines that meet another one; a key's smallest and largest line stand for all, so nothing is paired.
-    index, probes = _index(long, edits=edits), _probes(long, edits=edits)
+    index, probes = _index(long.where(first), edits=edits), _probes(long, edits=edits)
     known = index.groupBy("key").agg(F.min("b").alias("low"), F.max("b").alias("high"))
     hits = probes.join(known, "key").where((F.col("a") != F.col("low")) | (F.col("a") != F.col("high")))
-    ids = store.put(hits.select(F.explode(F.array("a", "low", "high")).alias("wanted")).distinct(), "ids")
+    ids = store.put(hits.select(F.explode(F.array("a", "low", "high")).alias("wanted")).distinct(), name["ids"])
     wanted = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
-    texts = store.put(long.join(wanted, F.col("id") == F.col("wanted"), "left_semi").withColumn("bag", letters("line")), "texts")
+    texts = store.put(long.join(wanted, F.col("id") == F.col("wanted"), "left_semi").withColumn("bag", letters("line")), name["texts"])
     apart = sum(F.abs(F.col(f"a_bag.{c}") - F.col(f"b_bag.{c}")) for c in texts.schema["bag"].dataType.names)
-    left, right = _probes(texts, F.col("bag").alias("a_bag"), edits=edits), _index(texts, F.col("bag").alias("b_bag"), edits=edits)
+    left, right = _probes(texts, F.col("bag").alias("a_bag"), edits=edits), _index(texts.where(first), F.col("bag").alias("b_bag"), edits=edits)
     meet = left.join(right, (left["key"] == right["key"]) & (F.col("a") != F.col("b"))
                      & ((F.col("shorter") > 0) | (F.col("a") < F.col("b"))) & (apart <= 2 * edits))
-    pairs = store.put(meet.select("a", "b").distinct(), "pairs")
+    pairs = store.put(meet.select("a", "b").distinct(), name["pairs"])
 
     def side(x: str) -> DataFrame:
         return texts.select(F.col("id").alias(x), F.col("node").alias(f"{x}_node"), F.col("line").alias(f"{x}_line"), F.col("length").alias(f"{x}_length"))
@@ -175,15 +195,85 @@ def near_lines(lines: DataFrame, store: Store, edits: int = EDITS, shortest: int
         F.slice(F.when(F.col("a_length") >= F.col("b_length"), b).otherwise(a), F.lit(1), F.least("a_length", "b_length")).alias("other"))
     # The lambda's argument holds both arrays, so they are made once for a pair.
     near = F.exists(F.array(F.struct("longer", "other")), lambda p: within(p["longer"], p["other"], edits))
-    links = store.put(chars.where(near).select(F.col("a_node").alias("a"), F.col("b_node").alias("b")), "links")
-    store.drop("pairs", "ids", "texts")
+    links = store.put(chars.where(near).select(F.col("a_node").alias("a"), F.col("b_node").alias("b")), name["links"])
+    store.drop(name["pairs"], name["ids"], name["texts"])
+    return links
+
+
+def _pieces(lines: DataFrame, size: int) -> DataFrame:
+    """id, length, from (start of a piece), piece: a line in pieces that overlap by less than a segment."""
+    step = PIECE * size
+    starts = F.sequence(F.lit(0), F.col("length") - size, F.lit(step))
+    return lines.select("id", "length", "line", F.explode(starts).alias("from")).select(
+        "id", "length", "from", F.expr(f"substring(line, `from` + 1, {step + size - 1})").alias("piece"))
+
+
+def _cuts(lines: DataFrame, size: int, every: int, able) -> DataFrame:
+    """id, length, start, key of the segments of ``size`` that start at each ``every``-th code point and are ``able``."""
+    offsets = F.sequence(F.lit(0), F.least(F.lit(PIECE * size - 1), F.col("length") - size - F.col("from")), F.lit(every))
+    wanted = F.filter(offsets, lambda o: able(F.col("from") + o))
+    cut = F.transform(wanted, lambda o: F.struct(
+        (F.col("from") + o).alias("start"), F.xxhash64(F.lit(size), F.substring(F.col("piece"), o + 1, F.lit(size))).alias("key")))
+    return _pieces(lines, size).select("id", "length", F.explode(cut).alias("c")).select("id", "length", "c.*")
+
+
+def _step(x: Column) -> Column:
+    """Number of a place or length on a scale whose steps grow with it."""
+    return F.floor(F.log(x + 1) / math.log(1 + 1 / PER_EDIT)).cast("int")
+
+
+def near_long_lines(lines: DataFrame, store: Store) -> DataFrame:
+    """Links (a, b) between nodes of ``lines`` whose shorter line has so many code points that the threshold is one edit for
+    every ``PER_EDIT``."""
+    long = lines.where(F.col("length") >= SIZES[0][1]).withColumn("id", F.xxhash64("line"))
+    index = probes = None
+    for size, first, last in SIZES:
+        def reached(start: Column) -> Column:
+            # Segment i is shifted by i at most; the segments next to a start reach it if any does.
+            i = F.floor(start / size)
+            return (start - i * size <= i) | ((i + 1) * size - start <= i + 1)
+
+        own = _cuts(long.where(F.col("length").between(first, last)), size, size, lambda start: start / size <= F.floor(F.col("length") / PER_EDIT))
+        own = own.withColumn("i", F.floor(F.col("start") / size).cast("int"))
+        # A key holds start and length in steps: one for a probe, all that the edits allow for a segment.
+        own = own.withColumn("place", F.explode(F.sequence(_step(F.col("start") - F.col("i")), _step(F.col("start") + F.col("i")))))
+        own = own.withColumn("long", F.explode(F.sequence(_step(F.col("length")), _step(F.col("length") + F.floor(F.col("length") / PER_EDIT)))))
+        own = own.select(F.xxhash64("key", "place", "long").alias("key"), F.col("id").alias("b"), F.col("length").alias("b_length"), F.col("start").alias("b_start"), "i")
+        all_starts = _cuts(long.where(F.col("length").between(first, min(last + last // PER_EDIT, (1 << 31) - 1))), size, 1, reached)
+        all_starts = all_starts.select(F.xxhash64("key", _step(F.col("start")), _step(F.col("length"))).alias("key"), F.col("id").alias("a"), F.col("length").alias("a_length"), F.col("start").alias("a_start"))
+        index, probes = (own, all_starts) if index is None else (index.unionByName(own), probes.unionByName(all_starts))
+    edits = F.floor(F.col("b_length") / PER_EDIT).cast("int")
+    more, shift = F.col("a_length") - F.col("b_length"), F.col("a_start") - F.col("b_start")
+    meet = probes.join(index, (probes["key"] == index["key"]) & (more >= 0) & (more <= edits) & (F.abs(shift) <= F.col("i"))
+                       & (F.abs(more - shift) <= edits - F.col("i")) & (F.col("a") != F.col("b")) & ((more > 0) | (F.col("a") < F.col("b"))))
+    pairs = store.put(meet.select("a", "b").distinct(), "long_pairs")
+    met = pairs.select(F.explode(F.array("a", "b")).alias("wanted")).distinct()
+    texts = store.put(long.join(met, F.col("id") == F.col("wanted"), "left_semi").withColumn("bag", letters("line")), "long_texts")
+
+    def side(x: str, *more: str) -> DataFrame:
+        return texts.select(F.col("id").alias(x), *[F.col(c).alias(f"{x}_{c}") for c in more])
+
+    apart = sum(F.abs(F.col(f"a_bag.{c}") - F.col(f"b_bag.{c}")) for c in texts.schema["bag"].dataType.names)
+    alike = pairs.join(side("a", "bag"), "a").join(side("b", "bag", "length"), "b").where(apart <= 2 * edits).select("a", "b")
+    both = alike.join(side("a", "line", "node"), "a").join(side("b", "line", "node", "length"), "b")
+    near = F.expr(f"levenshtein(a_line, b_line, cast(floor(b_length / {PER_EDIT}) as int)) >= 0")
+    links = store.put(both.where(near).select(F.col("a_node").alias("a"), F.col("b_node").alias("b")), "long_links")
+    store.drop("long_pairs", "long_texts")
+    return links
+
+
+def near_by_length(lines: DataFrame, store: Store) -> DataFrame:
+    """Links (a, b) between nodes of ``lines`` within the threshold of their lengths."""
+    links = near_long_lines(lines, store)
+    for edits, first, last in SHORT:
+        links = links.unionByName(near_lines(lines, store, edits, first, last))
     return links
 
 
 def line_classes(docs: DataFrame, store: Store) -> tuple[DataFrame, DataFrame]:
     """The different lines (line, node, length, class: the node that stays) and their links."""
     lines = store.put(distinct_lines(docs), "lines")
-    links = near_lines(lines, store)
+    links = near_by_length(lines, store)
     classes = components(links, store, "classes").withColumnRenamed("component", "class")
     return lines.join(classes, F.col("node") == F.col("id"), "left").select(
         "line", "node", "length", F.coalesce("class", "node").alias("class")), links

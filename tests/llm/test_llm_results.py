@@ -240,3 +240,31 @@ def test_html_all_articles_of_a_page():
     page = "<body>" + "<div>between</div>".join(f"<article><p>{part}</p></article>" for part in parts) + '<article class="comment"><p>I like it</p></article></body>'
     for path in ("body>article", ""):
         assert html_text.main_text(page, path) == "\n".join(parts)
+
+
+def test_lines_of_all_lengths_against_all_pairs(spark):
+    rng = np.random.default_rng(12)
+    texts = set()
+    for size in [*range(5, 50), 58, 60, 61, 75, 104, 106, 120, 150, 208, 211, 250, 350, 500]:
+        base = list(rng.choice(list("abcdefghij kléñ"), size))
+        for k in range(6):
+            line, most = list(base), size // 15 + 2
+            for _ in range(rng.integers(0, most + 1) if k % 2 else min(k, most)):
+                at = rng.integers(0, len(line))
+                line[at: at + rng.integers(0, 2)] = [rng.choice(["", "z", "é"])]
+            texts.add("".join(line))
+        word = list(base)
+        word[size // 2: size // 2 + 6] = rng.choice(list("uvwxy"), 7)
+        texts |= {"".join(base), "".join(word)}
+    texts = sorted(texts)
+    store = Store(spark, "test")
+    rows = store.put(lines.distinct_lines(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")), "rows")
+    got = {tuple(sorted((int(r.a) >> 31, int(r.b) >> 31))) for r in lines.near_by_length(rows, store).collect()}
+    want = set()
+    for i, a in enumerate(texts):
+        for j in range(i):
+            most = lines.threshold(min(len(a), len(texts[j])))
+            if abs(len(a) - len(texts[j])) <= most and distance(a, texts[j]) <= most:
+                want.add((j, i))
+    assert len(want) > 200 and {1, 2, 3, 10, 33} <= {lines.threshold(len(texts[j])) for j, _ in want}
+    assert got == want
