@@ -279,29 +279,44 @@ def line_classes(docs: DataFrame, store: Store) -> tuple[DataFrame, DataFrame]:
         "line", "node", "length", F.coalesce("class", "node").alias("class")), links
 
 
-def cleaned(docs: DataFrame) -> DataFrame:
-    """doc_id and text of the lines that stay, for each document; no document is left out."""
-    lines, _ = line_classes(docs, Store(docs.sparkSession, "lines"))
+def _texts(docs: DataFrame, lines: DataFrame) -> DataFrame:
+    """doc_id and text of the lines that stay, for each document."""
     kept = lines.where(F.col("node") == F.col("class")).groupBy(_document(F.col("node")).alias("of")).agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("node", "line"))), lambda x: x["line"]), "\n").alias("text"))
     ids = docs.select("doc_id").distinct()
     return ids.join(kept, F.coalesce("doc_id", F.lit(NO_ID)) == F.col("of"), "left").select("doc_id", "text")
 
 
+def cleaned(docs: DataFrame) -> DataFrame:
+    """doc_id and text of the lines that stay, for each document; no document is left out."""
+    return _texts(docs, line_classes(docs, Store(docs.sparkSession, "lines"))[0])
+
+
 def line_table(docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, n_lines, n_kept (lines that stay), n_near (different lines first seen
-    here that went as near copies), n_links (their and the others' links), kept_chars."""
+    here that went as near copies), n_links (their and the others' links), kept_chars, digest (SHA-256 of the cleaned text;
+    null if no line stays), classes (place of each line first seen here, doc_id and place of its class, in order)."""
     store = Store(docs.sparkSession, "lines")
     lines, links = line_classes(docs.select("doc_id", "text"), store)
+    lines = store.put(lines, "classed")
     stays = F.col("node") == F.col("class")
+
+    def place(node: str) -> Column:
+        return F.pmod(F.col(node), F.lit(PLACES).cast("decimal(11,0)")).cast("long")
+
+    of_class = F.nullif(_document(F.col("class")), F.lit(NO_ID))
+    seen = F.struct(place("node").alias("place"), of_class.alias("class_doc"), place("class").alias("class_place"))
     kept = lines.groupBy(_document(F.col("node")).alias("of")).agg(
-        F.count_if(stays).alias("n_kept"), F.count_if(~stays).alias("n_near"), F.sum(F.when(stays, F.col("length"))).alias("kept_chars"))
+        F.count_if(stays).alias("n_kept"), F.count_if(~stays).alias("n_near"), F.sum(F.when(stays, F.col("length"))).alias("kept_chars"),
+        F.array_sort(F.collect_list(seen)).alias("classes"))
     linked = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy(_document(F.col("node")).alias("at")).agg(F.count("*").alias("n_links"))
+    digests = _texts(docs, lines).select(F.coalesce("doc_id", F.lit(NO_ID)).alias("to"), F.sha2(F.col("text").cast("binary"), 256).alias("digest"))
     ids = docs.groupBy("doc_id").agg(F.sum(F.when(F.col("text").isNotNull(), F.size(F.split("text", "\n"))).otherwise(0)).alias("n_lines"))
     key = F.coalesce("doc_id", F.lit(NO_ID))
     return (
-        ids.join(kept, key == F.col("of"), "left").join(linked, key == F.col("at"), "left")
-        .select("doc_id", "n_lines", *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("n_kept", "n_near", "n_links", "kept_chars")])
+        ids.join(kept, key == F.col("of"), "left").join(linked, key == F.col("at"), "left").join(digests, key == F.col("to"), "left")
+        .select("doc_id", "n_lines", *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("n_kept", "n_near", "n_links", "kept_chars")],
+                "digest", F.coalesce("classes", F.array().cast(kept.schema["classes"].dataType)).alias("classes"))
     )
 
 

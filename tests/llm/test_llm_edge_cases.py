@@ -1,5 +1,7 @@
 """Every operator over awkward rows: nulls, empty and long texts, ties, repeats, clashing names."""
 
+import hashlib
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -152,3 +154,13 @@ def test_kept_rows_is_one_row_of_each_group(spark):
                            (7, words("e")), (6, f"{words('f')} more")], key=str)
     twice = sorted(((r.doc_id, r.text) for r in minhash.kept_rows(docs.unionByName(docs)).collect()), key=str)
     assert twice == once
+
+
+def test_lines_table_tells_texts_and_classes(spark):
+    line = "a line that is long enough to count"
+    docs = spark.createDataFrame([(-3, f"one\n{line}"), (2, f"{line}s\nshart\n{line}"), (None, "null id\none"), (4, None)], "doc_id long, text string")
+    got = {r.doc_id: r for r in lines.line_table(docs).collect()}
+    texts = {r.doc_id: r.text for r in lines.cleaned(docs).collect()}
+    assert texts == {None: "null id\none", -3: line, 2: "shart", 4: None}
+    assert all(got[i].digest == (None if t is None else hashlib.sha256(t.encode()).hexdigest()) for i, t in texts.items())
+    assert {i: [tuple(c) for c in r.classes] for i, r in got.items()} == {None: [(0, None, 0), (1, None, 1)], -3: [(1, -3, 1)], 2: [(0, -3, 1), (1, 2, 1)], 4: []}
