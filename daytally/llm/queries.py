@@ -3,15 +3,16 @@
 from __future__ import annotations
 
 from . import (
-    archives, decontamination, embeddings, filter_audit, html_text, lines, minhash, mixing, secrets, sharding, toxicity,
-    whitening,
+    archives, decontamination, embeddings, filter_audit, html_text, lines, minhash, mixing, pieces, secrets, sharding,
+    toxicity, whitening,
 )
 
 QUERIES = {
     f.__name__: f for f in (
         html_text.op1_html_text, secrets.op2_secrets, minhash.op3_minhash, sharding.op4_sharding,
         embeddings.op5_embeddings, toxicity.op6_toxicity, archives.op7_archives, lines.op8_lines,
-        mixing.op9_mixing, decontamination.op10_decontamination, filter_audit.op11_filter_audit, whitening.op13_whitening,
+        mixing.op9_mixing, decontamination.op10_decontamination, filter_audit.op11_filter_audit, pieces.op12_pieces,
+        whitening.op13_whitening,
     )
 }
 ORACLES = {
