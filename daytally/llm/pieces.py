@@ -5,9 +5,9 @@ An agenda holds the adjacent pairs that form a piece, the best score first and o
 leftmost; the top pair is merged, and the pairs with its new neighbours join the agenda, until none is
 left. Symbols that are no piece become their UTF-8 bytes.
 
-No piece holds a mark after another character (``Vocabulary`` makes sure), so no merge crosses the place
-before a run of marks: each stretch between such places has an agenda of its own, with the same
-result, and frequent stretches are kept.
+Where no piece of the vocabulary can lie across a place, as between a letter and a comma, nothing is merged
+across it. So a text is cut at such places, by classes of characters found in the pieces themselves; each
+stretch has an agenda of its own, with the same result, and the ids of the latest stretches are kept.
 
 ``encode_table`` runs it in Arrow batches, and has the sentencepiece library encode and decode the same
 texts beside it; ``agrees`` tells whether ids and decoded text are equal.
@@ -28,6 +28,7 @@ import hashlib
 import heapq
 import re
 from collections.abc import Iterator
+from operator import add
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -36,19 +37,38 @@ from .common import table
 
 MARK = "▁"
 #: Bytes of a vocabulary's file, and characters of a stretch and number of stretches that are kept.
-LARGEST, KEPT_LENGTH, KEPT = 64 << 20, 48, 1 << 16
+LARGEST, KEPT_LENGTH, KEPT = 64 << 20, 48, 1 << 17
 #: Characters that the library gets at once, one whole text at least.
 BLOCK = 1 << 19
 #: Fixed values of the format: kinds of pieces.
 NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6
 UNKNOWN_TEXT = " ⁇ "
 
-_STRETCHES = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
+#: An agenda's entry is the rank of a pair's score above these bits and its place below.
+PLACE = 40
 
 # Each byte that is part of no character becomes a U+FFFD of its own.
 codecs.register_error("each_byte", lambda e: ("�", e.start + 1))
 
 
+def stretches(pieces: list[str]) -> re.Pattern:
+    """Cuts a text into stretches with no merge across their bounds: characters that no piece joins to
+    others; letters, and what follows a letter in some piece, with whatever may stand before them."""
+    joined = [p for p in pieces if len(p) > 1]
+    pairs = {pair for p in joined for pair in zip(p, p[1:])}
+    characters = set("".join(joined))
+    letters = {c for c in characters if c.isalpha()}
+    while more := {b for a, b in pairs if a in letters} - letters:
+        letters |= more
+    others = characters - letters
+    group = {name: "".join(re.escape(c) for c in sorted(chars)) for name, chars in (("l", letters), ("o", others), ("a", characters))}
+    parts = [f"[{group['o']}]+"] if others else []
+    if letters:
+        parts.insert(0, f"[{group['o']}]*[{group['l']}]+" if others else f"[{group['l']}]+")
+    parts.append(f"[^{group['a']}]+" if characters else "(?s:.+)")
+    return re.compile("|".join(parts))
+
+
 class Vocabulary:
     def __init__(self, model: bytes):
         from sentencepiece import sentencepiece_model_pb2 as format_
@@ -56,72 +76,75 @@ class Vocabulary:
         proto = format_.ModelProto()
         proto.ParseFromString(model)
         rules, trainer = proto.normalizer_spec, proto.trainer_spec
-        kinds = [p.type for p in proto.pieces]
+        self.kinds = [p.type for p in proto.pieces]
         if trainer.model_type != trainer.BPE or not trainer.byte_fallback or trainer.treat_whitespace_as_suffix:
             raise ValueError("not a merge-type vocabulary with byte pieces and leading blanks")
-        if rules.precompiled_charsmap or rules.remove_extra_whitespaces or not rules.escape_whitespaces or set(kinds) - {NORMAL, UNKNOWN, CONTROL, BYTE}:
+        if rules.precompiled_charsmap or rules.remove_extra_whitespaces or not rules.escape_whitespaces or set(self.kinds) - {NORMAL, UNKNOWN, CONTROL, BYTE}:
             raise ValueError("a vocabulary with rewriting rules or pieces given by hand")
         self.first = MARK if rules.add_dummy_prefix else ""
-        self.pieces = {p.piece: (i, -p.score) for i, p in enumerate(proto.pieces) if p.type == NORMAL}
-        if any(re.search(f"[^{MARK}]{MARK}", piece) for piece in self.pieces):
-            raise ValueError("a vocabulary with pieces that go on after a blank")
+        normal = [(i, p.piece, p.score) for i, p in enumerate(proto.pieces) if p.type == NORMAL]
+        self.ids = {piece: i for i, piece, _ in normal}
+        levels = {score: rank << PLACE for rank, score in enumerate(sorted({score for _, _, score in normal}, reverse=True), 1)}
+        self.ranks = {piece: levels[score] for _, piece, score in normal if len(piece) > 1}
+        self.stretches = stretches(list(self.ids))
         self.bytes = {int(p.piece[3:5], 16): i for i, p in enumerate(proto.pieces) if p.type == BYTE}
         self.end = next(i for i, p in enumerate(proto.pieces) if p.piece == trainer.eos_piece)
-        self.kinds = kinds
         of_byte = {i: bytes([b]) for b, i in self.bytes.items()}
         surfaces = {CONTROL: lambda p: "", UNKNOWN: lambda p: UNKNOWN_TEXT, NORMAL: lambda p: p.piece.replace(MARK, " ")}
         self.surfaces = [of_byte[i] if p.type == BYTE else surfaces[p.type](p).encode() for i, p in enumerate(proto.pieces)]
-        self.names = [str(i) for i in range(len(kinds))]
+        self.names = [str(i) for i in range(len(self.kinds))]
         self.kept: dict[str, list[int]] = {}
+        self.kept_before: dict[str, list[int]] = {}
 
     def merged(self, stretch: str) -> list[int]:
         """The ids of one stretch."""
-        symbols = list(stretch)
-        count = len(symbols)
-        left, right = list(range(-1, count - 1)), list(range(1, count + 1))
-        agenda: list[tuple[float, int, int, str]] = []
-
-        def offer(a: int, b: int) -> None:
-            if a >= 0 and b < count:
-                pair = symbols[a] + symbols[b]
-                found = self.pieces.get(pair)
-                if found:
-                    heapq.heappush(agenda, (found[1], a, b, pair))
-
-        for i in range(count - 1):
-            offer(i, i + 1)
+        rank_of = self.ranks.get
+        symbols, count = list(stretch), len(stretch)
+        agenda = [rank + i for i, pair in enumerate(map(add, symbols, symbols[1:])) if (rank := rank_of(pair))]
+        if agenda:
+            heapq.heapify(agenda)
+            left, right = list(range(-1, count - 1)), list(range(1, count + 1))
         while agenda:
-            _, a, b, pair = heapq.heappop(agenda)
-            # A symbol that has grown or gone since makes the pair void.
-            if not symbols[a] or not symbols[b] or len(symbols[a]) + len(symbols[b]) != len(pair):
+            top = heapq.heappop(agenda)
+            at = top & ((1 << PLACE) - 1)
+            # A symbol that has grown or gone since makes the entry void.
+            if not symbols[at] or (beside := right[at]) == count:
                 continue
-            symbols[a], symbols[b] = pair, ""
-            right[a] = right[b]
-            if right[a] < count:
-                left[right[a]] = a
-            offer(left[a], a)
-            offer(a, right[a])
+            pair = symbols[at] + symbols[beside]
+            if rank_of(pair, 0) != top - at:
+                continue
+            symbols[at], symbols[beside] = pair, ""
+            right[at] = after = right[beside]
+            if after < count:
+                left[after] = at
+                if rank := rank_of(pair + symbols[after]):
+                    heapq.heappush(agenda, rank + at)
+            before = left[at]
+            if before >= 0 and (rank := rank_of(symbols[before] + pair)):
+                heapq.heappush(agenda, rank + before)
         out: list[int] = []
         for symbol in symbols:
-            if symbol in self.pieces:
-                out.append(self.pieces[symbol][0])
+            if symbol in self.ids:
+                out.append(self.ids[symbol])
             elif symbol:
                 out.extend(self.bytes[b] for b in symbol.encode())
         return out
 
+    def looked_up(self, stretch: str) -> list[int]:
+        """The ids of a stretch that isn't among the latest ones. Those used since the one before last
+        ``KEPT`` were new stay."""
+        ids = self.kept_before.get(stretch) or self.merged(stretch)
+        if len(stretch) <= KEPT_LENGTH:
+            if len(self.kept) >= KEPT:
+                self.kept, self.kept_before = {}, self.kept
+            self.kept[stretch] = ids
+        return ids
+
     def encode(self, text: str) -> list[int]:
         """The ids of ``text``, the end id last."""
         out: list[int] = []
-        kept = self.kept
-        for stretch in _STRETCHES.findall(self.first + text.replace(" ", MARK)) if text else ():
-            ids = kept.get(stretch)
-            if ids is None:
-                ids = self.merged(stretch)
-                if len(stretch) <= KEPT_LENGTH:
-                    if len(kept) >= KEPT:
-                        kept.clear()
-                    kept[stretch] = ids
-            out += ids
+        for stretch in self.stretches.findall(self.first + text.replace(" ", MARK)) if text else ():
+            out += self.kept.get(stretch) or self.looked_up(stretch)
         out.append(self.end)
         return out
 

@@ -27,7 +27,7 @@ def test_awkward_texts(text):
 
 
 @settings(max_examples=300, deadline=None)
-@given(st.one_of(st.text(max_size=200), st.text(alphabet=" ▁abetshion\n.,", max_size=300)))
+@given(st.one_of(st.text(max_size=200), st.text(alphabet=" ▁abetshion\n.,", max_size=300), st.lists(st.sampled_from(sorted(VOCABULARY.ids)), max_size=30).map("".join)))
 def test_any_text(text):
     ids = VOCABULARY.encode(text)
     assert ids == LIBRARY.encode(text, add_eos=True) and VOCABULARY.decode(ids) == LIBRARY.decode(ids)
@@ -43,7 +43,14 @@ def test_stretches_that_are_not_kept(monkeypatch):
     monkeypatch.setattr(pieces, "KEPT", 3)
     own = pieces.Vocabulary(MODEL)
     text = "one two three four five six two one " * 20
-    assert own.encode(text) == LIBRARY.encode(text, add_eos=True) and len(own.kept) <= 3
+    assert own.encode(text) == LIBRARY.encode(text, add_eos=True) and len(own.kept) <= 3 and len(own.kept_before) <= 3
+
+
+def test_no_merge_is_cut():
+    letters = pieces.stretches(["ab", "b\u0301", "▁a", ".,", "▁."])
+    assert letters.findall("▁ab\u0301.,▁.a12\n") == ["▁ab\u0301", ".,▁.a", "12\n"]
+    for piece in VOCABULARY.ids:
+        assert VOCABULARY.stretches.findall(piece) == [piece]
 
 
 def expected(text):
