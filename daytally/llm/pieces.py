@@ -7,7 +7,9 @@ left. Symbols that are no piece become their UTF-8 bytes.
 
 Where no piece of the vocabulary can lie across a place, as between a letter and a comma, nothing is merged
 across it. So a text is cut at such places, by classes of characters found in the pieces themselves; each
-stretch has an agenda of its own, with the same result, and the ids of the latest stretches are kept.
+stretch has an agenda of its own, with the same result, and the ids of the latest stretches are kept. The
+agendas of short stretches are rows of one array of ranks, from which all take their best pair
+at a time; a longer stretch has a heap.
 
 ``encode_table`` runs it in Arrow batches, and has the sentencepiece library encode and decode the same
 texts beside it; ``agrees`` tells whether ids and decoded text are equal.
@@ -28,24 +30,29 @@ import hashlib
 import heapq
 import re
 from collections.abc import Iterator
+from itertools import chain
 from operator import add
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .common import table
 
 MARK = "▁"
-#: Bytes of a vocabulary's file, and characters of a stretch and number of stretches that are kept.
-LARGEST, KEPT_LENGTH, KEPT = 64 << 20, 48, 1 << 17
+#: Bytes of a vocabulary's file; characters of a short stretch, how many of them are merged at a time, and how many are kept.
+LARGEST, SHORT, TOGETHER, KEPT = 64 << 20, 48, 4096, 1 << 18
 #: Characters that the library gets at once, one whole text at least.
 BLOCK = 1 << 19
 #: Fixed values of the format: kinds of pieces.
 NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6
 UNKNOWN_TEXT = " ⁇ "
 
-#: An agenda's entry is the rank of a pair's score above these bits and its place below.
+#: An entry of a heap is the rank of a pair's score above these bits and its place below.
 PLACE = 40
+#: Rank of what is no pair.
+NEVER = 2 ** 31 - 1
+SPREAD = np.uint64(0x9E3779B97F4A7C15)
 
 # Each byte that is part of no character becomes a U+FFFD of its own.
 codecs.register_error("each_byte", lambda e: ("�", e.start + 1))
@@ -84,19 +91,105 @@ class Vocabulary:
         self.first = MARK if rules.add_dummy_prefix else ""
         normal = [(i, p.piece, p.score) for i, p in enumerate(proto.pieces) if p.type == NORMAL]
         self.ids = {piece: i for i, piece, _ in normal}
-        levels = {score: rank << PLACE for rank, score in enumerate(sorted({score for _, _, score in normal}, reverse=True), 1)}
-        self.ranks = {piece: levels[score] for _, piece, score in normal if len(piece) > 1}
-        self.stretches = stretches(list(self.ids))
+        levels = {score: rank for rank, score in enumerate(sorted({score for _, _, score in normal}, reverse=True), 1)}
+        self.ranks = {piece: levels[score] << PLACE for _, piece, score in normal if len(piece) > 1}
         self.bytes = {int(p.piece[3:5], 16): i for i, p in enumerate(proto.pieces) if p.type == BYTE}
+        self.stretches = stretches(list(self.ids))
+        # No piece goes on after a blank, and a text begins with one.
+        self.words = bool(self.first) and not any(MARK in piece.lstrip(MARK) for piece in self.ids)
+        self._pair_table()
         self.end = next(i for i, p in enumerate(proto.pieces) if p.piece == trainer.eos_piece)
         of_byte = {i: bytes([b]) for b, i in self.bytes.items()}
         surfaces = {CONTROL: lambda p: "", UNKNOWN: lambda p: UNKNOWN_TEXT, NORMAL: lambda p: p.piece.replace(MARK, " ")}
         self.surfaces = [of_byte[i] if p.type == BYTE else surfaces[p.type](p).encode() for i, p in enumerate(proto.pieces)]
         self.names = [str(i) for i in range(len(self.kinds))]
-        self.kept: dict[str, list[int]] = {}
-        self.kept_before: dict[str, list[int]] = {}
+        # Ids of a stretch as bytes, 4 for each.
+        self.kept: dict[str, bytes] = {}
+        self.kept_before: dict[str, bytes] = {}
+
+    def _pair_table(self) -> None:
+        """All pairs of symbols that form a piece, with the piece's rank and id. A
+        symbol is a piece, a byte, or a character of pieces that is none itself; any other one is ``nothing``."""
+        numbers = dict(self.ids)
+        for c in sorted({c for piece in self.ids for c in piece}):
+            numbers.setdefault(c, len(self.kinds) + len(numbers))
+        self.nothing = max(numbers.values(), default=0) + 1
+        found = sorted(
+            (left * (self.nothing + 1) + right, self.ranks[piece] >> PLACE, self.ids[piece])
+            for piece in self.ranks for cut in range(1, len(piece))
+            if (left := numbers.get(piece[:cut])) is not None and (right := numbers.get(piece[cut:])) is not None)
+        # A hash table in arrays: each pair lies at its place or in one of the next ones, before an empty one.
+        self.shift = 64 - max(4, (4 * len(found)).bit_length())
+        size = 1 << 64 - self.shift
+        self.pairs = np.full(size + len(found) + 1, -1, np.int64)
+        self.pair_ranks, self.pair_ids = np.full(len(self.pairs), NEVER, np.int32), np.zeros(len(self.pairs), np.int32)
+        wanted = np.array([pair for pair, _, _ in found], np.int64)
+        for (pair, rank, piece), at in zip(found, self._places(wanted).tolist()):
+            while self.pairs[at] >= 0:
+                at += 1
+            self.pairs[at], self.pair_ranks[at], self.pair_ids[at] = pair, rank, piece
+        self.characters = np.full(0x110000, self.nothing, np.int32)
+        self.characters[:128] = [self.bytes[c] for c in range(128)]  # where one byte stands for a character
+        for symbol, number in numbers.items():
+            if len(symbol) == 1:
+                self.characters[ord(symbol)] = number
+
+    def _places(self, pairs: np.ndarray) -> np.ndarray:
+        return ((pairs.view(np.uint64) * SPREAD) >> np.uint64(self.shift)).astype(np.int64)
+
+    def paired(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Rank and id of the piece that each pair of symbols forms."""
+        wanted = left * np.int64(self.nothing + 1) + right
+        at = self._places(wanted)
+        seen = self.pairs[at]
+        ranks, ids = np.where(seen == wanted, self.pair_ranks[at], NEVER), self.pair_ids[at]
+        open_ = np.flatnonzero((seen != wanted) & (seen >= 0))
+        while len(open_):
+            at[open_] += 1
+            here = at[open_]
+            seen = self.pairs[here]
+            same = seen == wanted[open_]
+            ranks[open_[same]], ids[open_[same]] = self.pair_ranks[here[same]], self.pair_ids[here[same]]
+            open_ = open_[~same & (seen >= 0)]
+        return ranks, ids
+
+    def merged_together(self, short: list[str]) -> list[bytes]:
+        """The ids of each of many stretches, in arrays with a row for each and a last column for nothing."""
+        lengths = np.array([len(s) for s in short])
+        n, width = len(short), int(lengths.max()) + 1
+        there = np.arange(width) < lengths[:, None]
+        symbols = np.full((n, width), self.nothing, np.int32)
+        symbols[there] = self.characters[np.frombuffer("".join(short).encode("utf-32-le"), np.uint32)]
+        agenda, into = np.full((n, width), NEVER, np.int32), np.zeros((n, width), np.int32)
+        beside = there[:, 1:]
+        agenda[:, :-1][beside], into[:, :-1][beside] = self.paired(symbols[:, :-1][beside], symbols[:, 1:][beside])
+        right, left = np.tile(np.arange(1, width + 1), (n, 1)), np.tile(np.arange(-1, width - 1), (n, 1))
+        symbols, entries, into, right, left = (x.reshape(-1) for x in (symbols, agenda, into, right, left))
+        rows = np.arange(n)
+        while len(rows):
+            at = agenda[rows].argmin(1)  # of equal ranks the first
+            here = rows * width + at
+            some = entries[here] < NEVER
+            rows, at, here = rows[some], at[some], here[some]
+            first = rows * width
+            gone = first + right[here]
+            symbols[here], right[here] = into[here], right[gone]
+            symbols[gone], entries[gone] = -1, NEVER
+            after = first + np.minimum(right[here], width - 1)
+            left[after] = at
+            entries[here], into[here] = self.paired(symbols[here], symbols[after])
+            has = left[here] >= 0
+            before = (first + left[here])[has]
+            entries[before], into[before] = self.paired(symbols[before], symbols[here][has])
+        symbols = symbols.reshape(n, width)
+        stay = there & (symbols >= 0)
+        flat, ends = symbols[stay].tobytes(), np.cumsum(4 * stay.sum(1)).tolist()
+        out = [flat[a:b] for a, b in zip([0, *ends], ends)]
+        for i in np.flatnonzero((there & (symbols >= len(self.kinds))).any(1)):
+            out[i] = self.merged(short[i])  # has symbols that become bytes
+        return out
 
-    def merged(self, stretch: str) -> list[int]:
+    def merged(self, stretch: str) -> bytes:
         """The ids of one stretch."""
         rank_of = self.ranks.get
         symbols, count = list(stretch), len(stretch)
@@ -128,25 +221,52 @@ class Vocabulary:
                 out.append(self.ids[symbol])
             elif symbol:
                 out.extend(self.bytes[b] for b in symbol.encode())
+        return np.array(out, np.int32).tobytes()
+
+    def _learn(self, wanted: set[str]) -> list[str]:
+        """Put the ids of all ``wanted`` stretches, which ``kept`` lacks, there; returns the long ones.
+        What was used since the one before last ``KEPT`` were new is still at hand."""
+        new = []
+        for stretch in wanted:
+            ids = self.kept_before.get(stretch)
+            if ids is None:
+                new.append(stretch)
+            else:
+                self.kept[stretch] = ids
+        new.sort(key=len)
+        long = [s for s in new if len(s) > SHORT]
+        for at in range(0, len(new) - len(long), TOGETHER):
+            short = new[at: min(at + TOGETHER, len(new) - len(long))]
+            self.kept.update(zip(short, self.merged_together(short)))
+        self.kept.update((s, self.merged(s)) for s in long)
+        return long
+
+    def cut(self, text: str) -> list[str]:
+        """Stretches of a text. With single blanks only, its words are stretches already (see ``words``)."""
+        if not text:
+            return []
+        if self.words and text[0] != " " and text[-1] != " " and "  " not in text and MARK not in text:
+            return f" {text}".replace(" ", f" {MARK}")[1:].split(" ")
+        return self.stretches.findall(self.first + text.replace(" ", MARK))
+
+    def encode_all(self, texts: list[str]) -> list[list[int]]:
+        """The ids of each text, the end id last."""
+        if len(self.kept) > KEPT:
+            self.kept, self.kept_before = {}, self.kept
+        cut = [self.cut(text) for text in texts]
+        found = [list(map(self.kept.get, stretches)) for stretches in cut]
+        lacking = [i for i, ids in enumerate(found) if None in ids]
+        long = self._learn({s for i in lacking for s, ids in zip(cut[i], found[i]) if ids is None})
+        for i in lacking:
+            found[i] = [ids or self.kept[s] for s, ids in zip(cut[i], found[i])]
+        end = np.array([self.end], np.int32).tobytes()
+        out = [np.frombuffer(b"".join([*ids, end]), np.int32).tolist() for ids in found]
+        for stretch in long:
+            del self.kept[stretch]
         return out
 
-    def looked_up(self, stretch: str) -> list[int]:
-        """The ids of a stretch that isn't among the latest ones. Those used since the one before last
-        ``KEPT`` were new stay."""
-        ids = self.kept_before.get(stretch) or self.merged(stretch)
-        if len(stretch) <= KEPT_LENGTH:
-            if len(self.kept) >= KEPT:
-                self.kept, self.kept_before = {}, self.kept
-            self.kept[stretch] = ids
-        return ids
-
     def encode(self, text: str) -> list[int]:
-        """The ids of ``text``, the end id last."""
-        out: list[int] = []
-        for stretch in self.stretches.findall(self.first + text.replace(" ", MARK)) if text else ():
-            out += self.kept.get(stretch) or self.looked_up(stretch)
-        out.append(self.end)
-        return out
+        return self.encode_all([text])[0]
 
     def decode(self, ids: list[int]) -> str:
         """The text of any ids; the mark put first goes."""
@@ -199,8 +319,7 @@ def encode_table(docs: DataFrame, model: bytes) -> DataFrame:
             for texts in blocks(batch.column("text")):
                 beside = library.encode(texts, add_eos=True, num_threads=1)
                 back = library.decode(beside, num_threads=1)
-                for text, same_ids, same_text in zip(texts, beside, back):
-                    ids = vocabulary.encode(text)
+                for ids, same_ids, same_text in zip(vocabulary.encode_all(texts), beside, back):
                     decoded = vocabulary.decode(ids)
                     rows.append((len(ids), *vocabulary.digests(ids, decoded), ids == same_ids and decoded == same_text))
             n, of_ids, of_text, agrees = zip(*rows) if rows else ((), (), (), ())

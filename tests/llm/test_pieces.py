@@ -41,9 +41,17 @@ def test_any_ids(ids):
 
 def test_stretches_that_are_not_kept(monkeypatch):
     monkeypatch.setattr(pieces, "KEPT", 3)
+    monkeypatch.setattr(pieces, "TOGETHER", 2)
     own = pieces.Vocabulary(MODEL)
-    text = "one two three four five six two one " * 20
-    assert own.encode(text) == LIBRARY.encode(text, add_eos=True) and len(own.kept) <= 3 and len(own.kept_before) <= 3
+    for i in range(20):
+        texts = [f"one two three{i} four", "five six two one ", "x" * 60]
+        assert own.encode_all(texts) == LIBRARY.encode(texts, add_eos=True)
+        assert len(own.kept) + len(own.kept_before) < 20 and "x" * 60 not in own.kept
+
+
+def test_heap_and_array_agree():
+    short = [piece * 2 for piece in list(VOCABULARY.ids)[::50]] + ["a\u0301b", "zz\n\n", "\u4e00\u4e01q"]
+    assert VOCABULARY.merged_together(short) == [VOCABULARY.merged(s) for s in short]
 
 
 def test_no_merge_is_cut():
