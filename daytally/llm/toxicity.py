@@ -10,6 +10,8 @@
 3. A linear classifier (logistic regression) is trained on the posterior classes, and scores every text
    from its stems and patterns. Nothing else of a row is an input of its score.
 
+Texts are read by pieces that end at white space, so a worker holds one batch of rows and one piece.
+
 Training rows are labelled rows whose crc32 of the doc_id as text is not divisible by 5, at most
 ``POSITIVES`` toxic and ``NEGATIVES`` other ones, taken by a hash of their id; this bounds the fit.
 Weights bring their share back to that of all training rows. Scoring covers all rows and whole texts.
@@ -26,8 +28,8 @@ from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from .common import Store, fresh, table
 
@@ -36,6 +38,8 @@ POSITIVES, NEGATIVES = 4000, 8000
 CANDIDATES, VOTERS = 4096, 256
 FOLDS = 5
 CORRELATED = 0.25
+#: Characters of a text that are looked at together, and the next white space after them.
+PIECE = 1 << 16
 
 #: Common insults in English, German, French and Spanish.
 SEEDS = (
@@ -44,30 +48,46 @@ SEEDS = (
     "estúpido imbécil basura escoria idiota asqueroso"
 ).split()
 
-_WORDS = re.compile(r"[^\W\d_]+")
+_WORDS, _SPACE = re.compile(r"[^\W\d_]+"), re.compile(r"\s")
+_CAPITALS, _SIGNS = re.compile(r"[A-Z]+"), re.compile(r"[#$%&*@]+")
+
+
+def pieces(text: str | None) -> Iterator[str]:
+    """The whole of a text, cut at white space."""
+    text, at = text or "", 0
+    while at < len(text):
+        space = _SPACE.search(text, at + PIECE)
+        end = space.end() if space else len(text)
+        yield text[at:end]
+        at = end
 
 
-def spaced(text: str | None) -> str:
+def spaced(text: str) -> str:
     """The words of a text in small letters, a blank before and after each."""
-    return f" {' '.join(_WORDS.findall((text or '').lower()))} "
+    return f" {' '.join(_WORDS.findall(text.lower()))} "
 
 
 def stems(text: str | None) -> set[str]:
     """`` abcd`` stands for words that begin so, `` abcd `` for the word."""
     found = set()
-    for word in set(_WORDS.findall((text or "").lower())):
-        if len(word) >= 4:
-            found.update((f" {word[:4]}", f" {word[:5]}", f" {word[:6]}"))
-            if len(word) <= 12:
-                found.add(f" {word} ")
+    for piece in pieces(text):
+        for word in set(_WORDS.findall(piece.lower())):
+            if len(word) >= 4:
+                found.update((f" {word[:4]}", f" {word[:5]}", f" {word[:6]}"))
+                if len(word) <= 12:
+                    found.add(f" {word} ")
     return found
 
 
 def patterns(text: str | None) -> list[float]:
     """Shouting, exclamation marks, signs: each 0 or 1."""
-    text = text or ""
-    n = max(1, len(text))
-    return [float(len(re.findall(r"[A-Z]", text)) / n > 0.3), float(text.count("!") / n > 0.01), float(len(re.findall(r"[#$%&*@]", text)) / n > 0.05)]
+    capitals = marks = signs = 0
+    for piece in pieces(text):
+        capitals += len(piece) - len(_CAPITALS.sub("", piece))
+        marks += piece.count("!")
+        signs += len(piece) - len(_SIGNS.sub("", piece))
+    n = max(1, len(text or ""))
+    return [float(capitals / n > 0.3), float(marks / n > 0.01), float(signs / n > 0.05)]
 
 
 class Lexicon:
@@ -84,7 +104,17 @@ class Lexicon:
             self.found.make_automaton()
 
     def __call__(self, text: str | None) -> Counter:
-        return Counter(i for _, i in self.found.iter(spaced(text))) if self.words and text else Counter()
+        counts: Counter = Counter()
+        if self.words:
+            for piece in pieces(text):
+                counts.update(i for _, i in self.found.iter(spaced(piece)))
+        return counts
+
+
+def texts(batch: pa.RecordBatch, name: str = "text") -> Iterator[str | None]:
+    """The texts of a batch, one at a time."""
+    for cell in batch.column(name):
+        yield cell.as_py()
 
 
 def held_out(doc_id: Column) -> Column:
@@ -103,10 +133,10 @@ def training_rows(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, float]
     return rows.select("text", (F.col("toxic") == 1).cast("int").alias("toxic"), "rank"), share
 
 
-def _toxic_stems(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _toxic_stems(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        seen = Counter(s for text in batch["text"] for s in stems(text))
-        yield pd.DataFrame({"stem": pd.Series(list(seen), dtype=object), "n": pd.Series(list(seen.values()), dtype="int64")})
+        seen = Counter(s for text in texts(batch) for s in stems(text))
+        yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())], ["stem", "n"])
 
 
 def choose_stems(rows: DataFrame) -> list[str]:
@@ -118,18 +148,18 @@ def choose_stems(rows: DataFrame) -> list[str]:
         return fixed
     least = max(3, yes // 200)
     counted = (
-        rows.where("toxic = 1").select("text").mapInPandas(_toxic_stems, "stem string, n long").groupBy("stem").agg(F.sum("n").alias("n"))
+        rows.where("toxic = 1").select("text").mapInArrow(_toxic_stems, "stem string, n long").groupBy("stem").agg(F.sum("n").alias("n"))
         .where(F.col("n") >= least).orderBy(F.desc("n"), "stem").limit(CANDIDATES).collect()
     )
     names = [r["stem"] for r in counted]
 
-    def others(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def others(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lexicon = Lexicon(names)
         for batch in batches:
-            seen = Counter(i for text in batch["text"] for i in lexicon(text).keys())
-            yield pd.DataFrame({"i": list(seen), "n": list(seen.values())}, dtype="int64")
+            seen = Counter(i for text in texts(batch) for i in lexicon(text).keys())
+            yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.int64()), pa.array(list(seen.values()), pa.int64())], ["i", "n"])
 
-    among = rows.where("toxic = 0").select("text").mapInPandas(others, "i long, n long").groupBy("i").agg(F.sum("n").alias("n"))
+    among = rows.where("toxic = 0").select("text").mapInArrow(others, "i long, n long").groupBy("i").agg(F.sum("n").alias("n"))
     clean = {r["i"]: r["n"] for r in among.collect()}
     p = np.array([(r["n"] + 0.5) / (yes + 1) for r in counted])
     q = np.array([(clean.get(i, 0) + 0.5) / (no + 1) for i in range(len(names))])
@@ -204,14 +234,14 @@ def fit(docs: DataFrame, labels: DataFrame) -> tuple[list[str], np.ndarray]:
     names = choose_stems(rows)
     n = len(names)
 
-    def vectors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lexicon = Lexicon(names)
         for batch in batches:
-            yield pd.DataFrame({"rank": batch["rank"], "toxic": batch["toxic"], "x": [
-                _features(lexicon(t), t, n).astype("float32").tobytes() for t in batch["text"]]})
+            x = [_features(lexicon(t), t, n).astype("float32").tobytes() for t in texts(batch)]
+            yield pa.RecordBatch.from_arrays([batch.column("rank"), batch.column("toxic"), pa.array(x, pa.binary())], ["rank", "toxic", "x"])
 
     # At most POSITIVES + NEGATIVES distinct ids, with VOTERS + 4 numbers each.
-    got = rows.mapInPandas(vectors, "rank long, toxic int, x binary").dropDuplicates(["rank"]).orderBy("rank").collect()
+    got = rows.mapInArrow(vectors, "rank long, toxic int, x binary").dropDuplicates(["rank"]).orderBy("rank").collect()
     store.drop("training")
     if not any(r["toxic"] for r in got):
         return names, np.array([4.0] * n + [0.0] * 4 + [-2.0])
@@ -223,32 +253,33 @@ def fit(docs: DataFrame, labels: DataFrame) -> tuple[list[str], np.ndarray]:
     return names, logistic(x, post, weights)
 
 
-def scorer(model: tuple[list[str], np.ndarray]):
-    """A function from the column of texts to that of scores."""
+def scored(rows: DataFrame, model: tuple[list[str], np.ndarray], name: str, drop: bool = False) -> DataFrame:
+    """``rows`` with the score of their text as the column ``name``; with ``drop``, without the text."""
     names, beta = model
+    kept = [c for c in rows.columns if not (drop and c == "text")]
 
-    @F.pandas_udf("double")
-    def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lexicon = Lexicon(names)
         for batch in batches:
-            yield pd.Series([
-                1 / (1 + np.exp(-np.clip(_features(lexicon(t), t, len(names)) @ beta[:-1] + beta[-1], -30, 30))) for t in batch
-            ], dtype="float64")
+            odds = np.array([_features(lexicon(t), t, len(names)) @ beta[:-1] + beta[-1] for t in texts(batch)], float)
+            scores = pa.array(1 / (1 + np.exp(-np.clip(odds, -30, 30))), pa.float64())
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), scores], [*kept, name])
 
-    return score
+    schema = T.StructType([*(rows.schema[c] for c in kept), T.StructField(name, T.DoubleType())])
+    return rows.mapInArrow(run, schema)
 
 
 def toxicity_table(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """One row per row of ``docs``: doc_id, held_out, score, predicted."""
-    score = scorer(fit(docs, labels))
-    rows = docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), score(F.col("text")).alias("score"))
+    rows = docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "text")
+    rows = scored(rows, fit(docs, labels), "score", drop=True)
     return rows.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
 def clean_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs`` that are not toxic, with all their columns."""
     score = fresh(docs, "score")
-    return docs.withColumn(score, scorer(fit(docs, labels))(F.col("text"))).where(F.col(score) < 0.5).drop(score)
+    return scored(docs, fit(docs, labels), score).where(F.col(score) < 0.5).drop(score)
 
 
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

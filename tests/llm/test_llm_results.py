@@ -268,3 +268,24 @@ def test_lines_of_all_lengths_against_all_pairs(spark):
                 want.add((j, i))
     assert len(want) > 200 and {1, 2, 3, 10, 33} <= {lines.threshold(len(texts[j])) for j, _ in want}
     assert got == want
+
+
+def test_texts_are_scored_by_whole_pieces():
+    """A text longer than a piece has the stems and patterns of the text taken at once."""
+    import random
+
+    rng = random.Random(4)
+    words = ["Idiot", "STUPID!!", "überALLES", "x" * 50, "a1b2", "naïve", "ΑΣ.", "$%", "loser's", "\n", "\t"]
+    lexicon = toxicity.Lexicon([" idio", " stupid ", " über", " loser "])
+    for size in (0, 10, 5000, 60_000):
+        text = " ".join(rng.choice(words) for _ in range(size))
+        assert "".join(toxicity.pieces(text)) == text
+        assert all(p[-1].isspace() for p in list(toxicity.pieces(text))[:-1])
+        whole = toxicity.spaced(text)
+        assert lexicon(text) == Counter(i for _, i in lexicon.found.iter(whole))
+        found = {w for w in whole.split() if len(w) >= 4}
+        assert {s.strip() for s in toxicity.stems(text)} == {w[:k] for w in found for k in (4, 5, 6)} | {w for w in found if len(w) <= 12}
+        n = max(1, len(text))
+        assert toxicity.patterns(text) == [
+            float(len(re.findall("[A-Z]", text)) / n > 0.3), float(text.count("!") / n > 0.01), float(len(re.findall("[#$%&*@]", text)) / n > 0.05)]
+    assert len(list(toxicity.pieces("x" * 300_000))) == 1
