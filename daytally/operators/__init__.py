@@ -1,8 +1,9 @@
+from .carry import carried_delta, last_readings, late_keys, next_state
 from .delta import Form, daily_delta, distinct_delta, pair_totals
 from .lookup import join_lookup
 from .shape import preview, renamed, union_tables
 
 __all__ = [
-    "Form", "daily_delta", "distinct_delta", "join_lookup", "pair_totals", "preview", "renamed",
-    "union_tables",
+    "Form", "carried_delta", "daily_delta", "distinct_delta", "join_lookup", "last_readings",
+    "late_keys", "next_state", "pair_totals", "preview", "renamed", "union_tables",
 ]

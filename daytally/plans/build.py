@@ -12,10 +12,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from .. import schemas
 from ..operators import union_tables
 from ..schemas import ALIASES, BRAZIL_NAME, LAYOUTS, TABLES
-from ..sinks import (
-    drop_table, read_table, replace_range, switch_table, with_month, write_table,
-)
-from ..sources import choose_form, input_check, land, read_csv, read_json
+from ..sinks import Part, commit, read_parts, read_version, run_path, with_month, write_table
+from ..sources import choose_form, input_check, land, land_checked, read_csv, read_json
 from . import dims, facts, quality
 
 
@@ -39,14 +37,8 @@ def _first_landed_day(since: dt.date) -> dt.date:
     return _first_fact_day(since).replace(day=1)
 
 
-def land_sources(
-    spark: SparkSession,
-    sources: Sources,
-    snapshot: str,
-    since: dt.date | None = None,
-    as_of: dt.date = dims.POPULATION_DAY,
-) -> dict[str, DataFrame]:
-    """Typed copies of the inputs, without repeated rows, under ``snapshot``.
+def _raw(spark: SparkSession, sources: Sources, since: dt.date | None, as_of: dt.date) -> dict[str, DataFrame]:
+    """The inputs as they are read, each once.
 
     With ``since``, only the rows a load from that day on needs are kept, before the shuffle
     that drops repeated rows: the days concerned and the day of the population figures.
@@ -60,7 +52,18 @@ def land_sources(
         brazil = brazil.where((F.col("date") >= first) | (F.col("date") == F.lit(as_of)))
         usa = usa.where(F.col("date") >= first)
     provinces = read_csv(spark, sources.provinces, schemas.PROVINCES)
-    raw = {"world": world, "brazil": brazil, "provinces": provinces, "usa": usa}
+    return {"world": world, "brazil": brazil, "provinces": provinces, "usa": usa}
+
+
+def land_sources(
+    spark: SparkSession,
+    sources: Sources,
+    snapshot: str,
+    since: dt.date | None = None,
+    as_of: dt.date = dims.POPULATION_DAY,
+) -> dict[str, DataFrame]:
+    """Typed copies of the inputs, without repeated rows, under ``snapshot``."""
+    raw = _raw(spark, sources, since, as_of)
     return {name: land(df, f"{snapshot.rstrip('/')}/{name}") for name, df in raw.items()}
 
 
@@ -73,13 +76,29 @@ NEEDED = {
 }
 
 
+def _by_source(reports: dict[str, DataFrame]) -> DataFrame:
+    named = [report.withColumn("source", F.lit(name)) for name, report in reports.items()]
+    return union_tables(*named).select("source", "check_name", "found", "passed")
+
+
 def check_inputs(inputs: dict[str, DataFrame]) -> DataFrame:
     """The checks of all inputs in one table, in one pass over the columns needed."""
-    reports = [
-        input_check(df, NEEDED[name], NEEDED[name]).withColumn("source", F.lit(name))
-        for name, df in inputs.items()
-    ]
-    return union_tables(*reports).select("source", "check_name", "found", "passed")
+    return _by_source({name: input_check(df, NEEDED[name], NEEDED[name]) for name, df in inputs.items()})
+
+
+def land_and_check(
+    spark: SparkSession,
+    sources: Sources,
+    snapshot: str,
+    since: dt.date | None = None,
+    as_of: dt.date = dims.POPULATION_DAY,
+) -> tuple[dict[str, DataFrame], DataFrame]:
+    """The copies of ``land_sources`` and their ``check_inputs``, counted while they are written."""
+    landed, reports = {}, {}
+    for name, df in _raw(spark, sources, since, as_of).items():
+        landed[name], report = land_checked(df, f"{snapshot.rstrip('/')}/{name}", NEEDED[name], NEEDED[name])
+        reports[name] = report()
+    return landed, _by_source(reports)
 
 
 def increment_forms(inputs: dict[str, DataFrame], snapshot: str) -> facts.Forms:
@@ -155,6 +174,27 @@ def build_tables(
     }
 
 
+def _parts(run: str, layout: str = "day", since: dt.date | None = None) -> dict[str, Part]:
+    """What a run adds to each table."""
+    month = "month" if layout == "month" else None
+    times = None if since is None else _first_landed_day(since)
+    return {
+        table: Part(run_path(run, table), "date", since, month=month) if table.startswith("fact_")
+        else Part(run_path(run, table), "date_key", times) if table == "dim_time"
+        else Part(run_path(run, table))
+        for table in TABLES
+    }
+
+
+def _write_part(df: DataFrame, lake: str, part: Part, folders: list[str]) -> None:
+    write_table(with_month(df) if part.month else df, f"{lake}/{part.path}", folders)
+
+
+def _run_name(kind: str) -> str:
+    now = dt.datetime.now(dt.timezone.utc)
+    return f"{kind}-{now:%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:8]}"
+
+
 def build_lake(
     spark: SparkSession,
     sources: Sources,
@@ -170,67 +210,67 @@ def build_lake(
     Both paths must be reachable by all executors. Running it again leaves one copy of every
     row. Each run lands its copies and ``checks``, the report on them, in a folder of its own below
     ``snapshot``, so earlier copies stay. A source without rows, or with nothing in a column that
-    is needed, stops the run before the lake is touched. Tables that are replaced whole are
-    written beside the present ones, which they replace once all are complete.
+    is needed, stops the run before the lake is touched. The tables are written to folders of the run
+    and become a version of the lake together (see ``sinks.versions``); a run that breaks off leaves the
+    lake as it was.
 
-    With ``since``, folders of earlier days stay as they are, those from then on become what a
-    full run would make of them, and the work is that of the later days (a source that is one full
-    file is still read whole).
+    With ``since``, days before stay as they are, those from then on become what a full run would
+    make of them, and the work is that of the later days (a source that is one full file is still
+    read whole).
 
     ``layout="month"`` keeps the facts in a folder per country and month instead of one per place and
-    day; with ``since`` the whole of its month is then loaded again. A lake keeps its layout.
+    day; with ``since`` the whole of its month is then loaded again. Each run may choose its layout.
     """
     lake, folders = lake.rstrip("/"), LAYOUTS[layout]
     if since is not None and layout == "month":
         since = since.replace(day=1)
-    kind = "full" if since is None else f"since-{since}"
-    now = dt.datetime.now(dt.timezone.utc)
-    run = f"{snapshot.rstrip('/')}/{kind}-{now:%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:8]}"
-    inputs = land_sources(spark, sources, run, since, as_of)
-    check_inputs(inputs).write.parquet(f"{run}/checks")
+    name = _run_name("full" if since is None else f"since-{since}")
+    run, base = f"{snapshot.rstrip('/')}/{name}", read_version(spark, lake)
+    inputs, checks = land_and_check(spark, sources, run, since, as_of)
+    checks.write.parquet(f"{run}/checks")
     lost = lost_inputs(spark.read.parquet(f"{run}/checks"))
     if lost:
         raise ValueError(f"{'; '.join(lost)} (see {run}/checks)")
     forms = facts.ONE_READING if corrected else increment_forms(inputs, run)
     tables = build_tables(inputs, as_of, since, forms, corrected)
-    if layout == "month":
-        for name in tables:
-            if name.startswith("fact_"):
-                tables[name] = with_month(tables[name])
-    covered = {}
-    if since is not None:
-        late = F.col("date" if layout == "day" else "month") >= F.lit(since)
-        covered = {
-            "dim_time": F.col("date_key") >= F.lit(_first_landed_day(since)),
-            "fact_covid_country": late,
-            "fact_covid_country_province": late,
-        }
-    beside = f"{lake}/_next-{uuid.uuid4().hex}"
-    whole = [name for name in tables if name not in covered]
+    parts = _parts(name, layout, since)
     # Independent writes run together, so that each fills what the others leave idle.
     with ThreadPoolExecutor(len(tables)) as together:
         list(together.map(
-            lambda name: write_table(tables[name], f"{beside}/{name}", folders[name]), whole
-        ))
-        for name in whole:
-            switch_table(spark, f"{beside}/{name}", f"{lake}/{name}")
-        drop_table(spark, beside)
-        list(together.map(
-            lambda name: replace_range(
-                tables[name], f"{lake}/{name}", folders[name], covered[name]
-            ),
-            covered,
-        ))
+            lambda table: _write_part(tables[table], lake, parts[table], folders[table]), tables))
+    commit(spark, lake, name, parts, base)
     return lake_quality(spark, lake)
 
 
-def open_lake(spark: SparkSession, lake: str) -> dict[str, DataFrame]:
+def open_lake(
+    spark: SparkSession, lake: str, version: int | None = None
+) -> dict[str, DataFrame]:
+    """The tables of one version, by default the latest. They stay those of that version while
+    later runs commit."""
+    lake = lake.rstrip("/")
+    found = read_version(spark, lake, version)
+    if found is None:
+        raise ValueError(f"{lake} holds no version of a lake")
     return {
-        name: read_table(spark, f"{lake.rstrip('/')}/{name}", schema)
-        for name, schema in TABLES.items()
+        name: read_parts(spark, lake, found.tables[name], schema) for name, schema in TABLES.items()
     }
 
 
+def compact_lake(spark: SparkSession, lake: str, most: int = 31, layout: str = "day") -> list[str]:
+    """Write each table that has more than ``most`` parts anew as one, and commit that; returns the
+    tables' names. Loads from a day on add a part each, and every part is a scan of its own."""
+    lake = lake.rstrip("/")
+    base = read_version(spark, lake)
+    many = [name for name, parts in base.tables.items() if len(parts) > most] if base else []
+    if many:
+        name = _run_name("compacted")
+        parts, tables = _parts(name, layout), open_lake(spark, lake, base.number)
+        for table in many:
+            _write_part(tables[table], lake, parts[table], LAYOUTS[layout][table])
+        commit(spark, lake, name, {table: parts[table] for table in many}, base)
+    return many
+
+
 def lake_quality(spark: SparkSession, lake: str) -> DataFrame:
     tables = open_lake(spark, lake)
     return quality.lake_report(

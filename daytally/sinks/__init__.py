@@ -1,7 +1,10 @@
-from .lake import drop_table, read_table, replace_range, switch_table, with_month, write_table
+from .lake import drop_table, read_table, with_month, write_table
 from .scratch import scratch_dir
+from .versions import (
+    LakeChanged, Part, Version, commit, read_parts, read_version, remove_old, roll_back, run_path,
+)
 
 __all__ = [
-    "drop_table", "read_table", "replace_range", "scratch_dir", "switch_table", "with_month",
-    "write_table",
+    "LakeChanged", "Part", "Version", "commit", "drop_table", "read_parts", "read_table",
+    "read_version", "remove_old", "roll_back", "run_path", "scratch_dir", "with_month", "write_table",
 ]

@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import uuid
-
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 
 def write_table(
@@ -38,53 +36,14 @@ def write_table(
     writer.partitionBy(*partition_by).parquet(path)
 
 
-def _hadoop(spark: SparkSession, path: str):
+def hadoop(spark: SparkSession, path: str):
+    """The file system of a path, and the path for it."""
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
     return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
 
 
-def replace_range(df: DataFrame, path: str, partition_by: list[str], covered: Column) -> None:
-    """Replace the rows of ``path`` for which ``covered`` holds by ``df``, folder by folder.
-
-    A folder must lie wholly inside or outside. Folders that get rows are overwritten; what the
-    covered ones held before and the source has withdrawn is deleted last, so a run that was
-    cut short leaves files that the next one finds again. The driver holds the names of the
-    covered files, as it does for any dynamic overwrite.
-    """
-    spark = df.sparkSession
-    fs, place = _hadoop(spark, path)
-    before = []
-    if fs.exists(place):
-        rows = spark.read.schema(df.schema).parquet(path).where(covered)
-        before = [row[0] for row in rows.select("_metadata.file_path").distinct().collect()]
-    write_table(df, path, partition_by, "dynamic")
-    for file in before:
-        # The name is an encoded URI, a blank being %20.
-        uri = spark._jvm.java.net.URI(file)
-        fs.delete(spark._jvm.org.apache.hadoop.fs.Path(uri), False)
-    spark.catalog.refreshByPath(path)
-
-
-def switch_table(spark: SparkSession, new: str, path: str) -> None:
-    """Put the complete table at ``new`` in the place of the one at ``path``, if there is one."""
-    fs, source = _hadoop(spark, new)
-    _, target = _hadoop(spark, path)
-    _, old = _hadoop(spark, f"{path}-old-{uuid.uuid4().hex}")
-    replaced = fs.exists(target)
-    if replaced and not fs.rename(target, old):
-        raise OSError(f"cannot move {path} aside")
-    fs.mkdirs(target.getParent())
-    if not fs.rename(source, target):
-        if replaced:
-            fs.rename(old, target)
-        raise OSError(f"cannot move {new} to {path}")
-    if replaced:
-        fs.delete(old, True)
-    spark.catalog.refreshByPath(path)
-
-
 def drop_table(spark: SparkSession, path: str) -> None:
-    fs, place = _hadoop(spark, path)
+    fs, place = hadoop(spark, path)
     fs.delete(place, True)
 
 

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from ..operators import Form
 
@@ -28,18 +30,13 @@ def choose_form(df: DataFrame, keys: list[str], date: str, path: str) -> Form:
     return "lag" if found.isEmpty() else found
 
 
-def input_check(df: DataFrame, required: list[str], not_null: list[str]) -> DataFrame:
-    """One row per check: ``check_name``, ``found`` and whether it ``passed``.
+def _counts(not_null: list[str]) -> list[Column]:
+    return [F.count("*").alias("rows"), *[F.count_if(F.col(c).isNull()).alias(f"nulls:{c}") for c in not_null]]
 
-    ``column:<c>`` finds 1 when a required column is there, ``rows`` must be above 0, and
-    ``nulls:<c>`` must be 0. One pass over the columns concerned.
-    """
-    present = {c.lower() for c in df.columns}
-    checkable = [c for c in not_null if c.lower() in present]
-    counts = df.agg(
-        F.count("*").alias("rows"),
-        *[F.count_if(F.col(c).isNull()).alias(f"nulls:{c}") for c in checkable],
-    )
+
+def _checks(required: list[str], not_null: list[str], columns: list[str], found: Callable[[str], Column]) -> Column:
+    """The rows of a report as an array; ``found`` gives a count by its name."""
+    present = {c.lower() for c in columns}
 
     def row(name, found, passed):
         return F.struct(
@@ -48,11 +45,47 @@ def input_check(df: DataFrame, required: list[str], not_null: list[str]) -> Data
             passed.alias("passed"),
         )
 
-    rows = [row("rows", F.col("rows"), F.col("rows") > 0)]
+    rows = [row("rows", found("rows"), found("rows") > 0)]
     for c in required:
         there = F.lit(int(c.lower() in present))
         rows.append(row(f"column:{c}", there, there == 1))
-    for c in checkable:
-        n = F.col(f"`nulls:{c}`")
+    for c in not_null:
+        n = found(f"nulls:{c}")
         rows.append(row(f"nulls:{c}", n, n == 0))
-    return counts.select(F.inline(F.array(*rows)))
+    return F.array(*rows)
+
+
+def _checkable(df: DataFrame, not_null: list[str]) -> list[str]:
+    present = {c.lower() for c in df.columns}
+    return [c for c in not_null if c.lower() in present]
+
+
+def input_check(df: DataFrame, required: list[str], not_null: list[str]) -> DataFrame:
+    """One row per check: ``check_name``, ``found`` and whether it ``passed``.
+
+    ``column:<c>`` finds 1 when a required column is there, ``rows`` must be above 0, and
+    ``nulls:<c>`` must be 0. One pass over the columns concerned.
+    """
+    checkable = _checkable(df, not_null)
+    counts = df.agg(*_counts(checkable))
+    return counts.select(F.inline(_checks(required, checkable, df.columns, lambda name: F.col(f"`{name}`"))))
+
+
+def watch(df: DataFrame, required: list[str], not_null: list[str]) -> tuple[DataFrame, Callable[[], DataFrame]]:
+    """``df``, and a function for its ``input_check`` without a pass of its own.
+
+    The counts are taken while the first action reads ``df``, which must be one that reads all of its
+    rows, such as a write; only then can the function be called. Counts of a task that is
+    tried again count once, as long as nothing is shuffled after ``df``.
+    """
+    checkable, seen = _checkable(df, not_null), Observation()
+    names = ["rows", *(f"nulls:{c}" for c in checkable)]
+    watched, spark, columns = df.observe(seen, *_counts(checkable)), df.sparkSession, df.columns
+
+    def report() -> DataFrame:
+        # Nothing is counted where Spark finds that there is no row.
+        found = {name: (seen.get or {}).get(name) or 0 for name in names}
+        rows = _checks(required, checkable, columns, lambda name: F.lit(found[name]))
+        return spark.range(1).select(F.inline(rows))
+
+    return watched, report

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 
+from .checks import watch
+
 
 def land(raw: DataFrame, path: str) -> DataFrame:
     """Write ``raw`` without repeated rows to ``path`` and return the written copy.
@@ -16,5 +20,14 @@ def land(raw: DataFrame, path: str) -> DataFrame:
     return load_snapshot(raw.sparkSession, path, raw.schema)
 
 
+def land_checked(
+    raw: DataFrame, path: str, required: list[str], not_null: list[str]
+) -> tuple[DataFrame, Callable[[], DataFrame]]:
+    """As ``land``, with a function for the ``input_check`` of the copy, counted while it was written."""
+    rows, report = watch(raw.dropDuplicates(), required, not_null)
+    rows.write.mode("overwrite").parquet(path)
+    return load_snapshot(raw.sparkSession, path, raw.schema), report
+
+
 def load_snapshot(spark: SparkSession, path: str, schema) -> DataFrame:
     return spark.read.schema(schema).parquet(path)

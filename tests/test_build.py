@@ -1,5 +1,7 @@
+import datetime as dt
 import glob
 import os
+from concurrent.futures import ThreadPoolExecutor
 
 import pytest
 from conftest import day, rows
@@ -7,9 +9,11 @@ from pyspark.errors import AnalysisException
 
 from daytally import schemas
 from daytally.functions import to_mdy
+from daytally.plans import build
 from daytally.plans.build import (
-    Sources, build_lake, check_inputs, increment_forms, land_sources, open_lake,
+    Sources, build_lake, check_inputs, compact_lake, increment_forms, land_sources, open_lake,
 )
+from daytally.sinks import LakeChanged, commit, read_version, remove_old, roll_back, write_table
 
 WORLD_HEAD = ("Country_Region,Province_State,iso2,iso3,Case_Type,Cases,Population_Count,"
               "Combined_Key,Date,Difference\n")
@@ -69,7 +73,7 @@ def test_load_from_a_later_month_on(spark, tmp_path):
     """Months before are not touched; the figures of the population day stay."""
     lake, snapshot = str(tmp_path / "lake"), str(tmp_path / "snapshot")
     build_lake(spark, raw(tmp_path / "in1", range(20, 63)), snapshot, lake, as_of=day(22))
-    old = {f: os.path.getmtime(f) for f in glob.glob(f"{lake}/*/*/*/*.parquet") if "date=2024-01" in f
+    old = {f: os.path.getmtime(f) for f in glob.glob(f"{lake}/runs/*/*/*/*/*.parquet") if "date=2024-01" in f
            or "year=2024/month=01" in f}
     more = raw(tmp_path / "in2", range(20, 70))
     build_lake(spark, more, snapshot, lake, as_of=day(22), since=day(63))
@@ -133,7 +137,7 @@ def test_withdrawn_days_leave_the_lake(spark, tmp_path):
     lake, snapshot = str(tmp_path / "lake"), str(tmp_path / "snapshot")
     build_lake(spark, raw(tmp_path / "in1", range(1, 8)), snapshot, lake, as_of=day(2))
     old = {f: os.path.getmtime(f) for n in range(2, 5)
-           for f in glob.glob(f"{lake}/fact*/**/date={day(n)}/*.parquet", recursive=True)}
+           for f in glob.glob(f"{lake}/runs/*/fact*/**/date={day(n)}/*.parquet", recursive=True)}
     fewer = raw(tmp_path / "in2", range(1, 6))
     build_lake(spark, fewer, snapshot, lake, as_of=day(2), since=day(5))
     whole = str(tmp_path / "whole")
@@ -153,7 +157,7 @@ def test_refused_run_leaves_copies_and_lake(spark, tmp_path):
         build_lake(spark, empty, snapshot, lake, as_of=day(2))
     assert before == (
         rows(spark.read.parquet(copy)), rows(open_lake(spark, lake)["fact_covid_country"]))
-    assert sorted(os.listdir(lake)) == sorted([*schemas.TABLES])
+    assert len(glob.glob(f"{lake}/versions/*")) == 1 and len(os.listdir(f"{lake}/runs")) == 1
 
 
 def test_source_without_a_value_stops_the_run(spark, tmp_path):
@@ -191,5 +195,89 @@ def test_month_layout(spark, tmp_path):
     build_lake(spark, more, snapshot, whole, day(22))
     for name in schemas.TABLES:
         assert rows(open_lake(spark, lake)[name]) == rows(open_lake(spark, whole)[name]), name
-    files = glob.glob(f"{lake}/fact_covid_country/*/month=*/*.parquet")
+    files = glob.glob(f"{lake}/runs/full*/fact_covid_country/*/month=*/*.parquet")
     assert len(files) == 4 * 2  # four names of countries, two months
+
+
+def test_layouts_may_change_in_the_middle_of_a_month(spark, tmp_path):
+    lake, snapshot = str(tmp_path / "lake"), str(tmp_path / "snapshot")
+    for i, (last, since, layout) in enumerate(((40, None, "month"), (61, 38, "day"), (70, 62, "month"))):
+        sources = raw(tmp_path / f"in{i}", range(20, last))
+        build_lake(spark, sources, snapshot, lake, day(22), since=since and day(since), layout=layout)
+    whole = str(tmp_path / "whole")
+    build_lake(spark, sources, snapshot, whole, day(22))
+    for name in schemas.TABLES:
+        assert rows(open_lake(spark, lake)[name]) == rows(open_lake(spark, whole)[name]), name
+    assert [len(p) for p in read_version(spark, lake).tables.values()] == [1, 1, 2, 3, 3]
+    assert compact_lake(spark, lake, most=3) == []
+    assert compact_lake(spark, lake, most=2) == ["fact_covid_country", "fact_covid_country_province"]
+    assert [len(p) for p in read_version(spark, lake).tables.values()] == [1, 1, 2, 1, 1]
+    for name in schemas.TABLES:
+        assert rows(open_lake(spark, lake)[name]) == rows(open_lake(spark, whole)[name]), name
+
+
+@pytest.mark.parametrize("writes", range(6))
+def test_run_that_dies_leaves_one_runs_tables(spark, tmp_path, monkeypatch, writes):
+    """After any number of the five writes, or in the commit."""
+    lake, snapshot = str(tmp_path / "lake"), str(tmp_path / "snapshot")
+    build_lake(spark, raw(tmp_path / "in1", range(1, 4)), snapshot, lake, as_of=day(2))
+    opened = open_lake(spark, lake)
+    before = {name: rows(df) for name, df in opened.items()}
+    left = [writes]
+
+    def dying(*args, **kwargs):
+        if not left[0]:
+            raise OSError("gone")
+        left[0] -= 1
+        write_table(*args, **kwargs)
+
+    def no_commit(*args):
+        raise OSError("gone")
+
+    more = raw(tmp_path / "in2", range(1, 6))
+    with monkeypatch.context() as patch:
+        patch.setattr(build, "write_table", dying)
+        patch.setattr(build, "ThreadPoolExecutor", lambda n: ThreadPoolExecutor(1))
+        if writes == 5:
+            patch.setattr(build, "commit", no_commit)
+        with pytest.raises(OSError, match="gone"):
+            build_lake(spark, more, snapshot, lake, as_of=day(2), since=day(4) if writes % 2 else None)
+    for name in schemas.TABLES:
+        assert rows(open_lake(spark, lake)[name]) == before[name], name
+    build_lake(spark, more, snapshot, lake, as_of=day(2))
+    assert rows(opened["fact_covid_country"]) == before["fact_covid_country"]  # a reader of the version before
+    assert open_lake(spark, lake)["fact_covid_country"].count() == 5 * 4
+
+
+def test_versions_roll_back_and_go(spark, tmp_path):
+    lake, snapshot = str(tmp_path / "lake"), str(tmp_path / "snapshot")
+    with pytest.raises(ValueError, match="no version"):
+        open_lake(spark, lake)
+    build_lake(spark, raw(tmp_path / "in1", range(1, 4)), snapshot, lake, as_of=day(2))
+    build_lake(spark, raw(tmp_path / "in2", range(1, 6)), snapshot, lake, as_of=day(2), since=day(4))
+    first, second = (rows(open_lake(spark, lake, n)["fact_covid_country"]) for n in (1, 2))
+    assert len(first) == 10 and len(second) == 20
+    assert roll_back(spark, lake, 1).number == 3
+    assert rows(open_lake(spark, lake)["fact_covid_country"]) == first
+    with pytest.raises(ValueError, match="no version 9"):
+        roll_back(spark, lake, 9)
+    build_lake(spark, raw(tmp_path / "in3", range(1, 6)), snapshot, lake, as_of=day(2))
+    assert remove_old(spark, lake) == [] and read_version(spark, lake).number == 4
+    gone = remove_old(spark, lake, spare=dt.timedelta(0))
+    assert [name.split("-")[0] for name in gone] == ["full", "since"]
+    assert rows(open_lake(spark, lake)["fact_covid_country"]) == second
+    with pytest.raises(ValueError, match="no version 1"):
+        open_lake(spark, lake, 1)
+    with pytest.raises(ValueError, match="at least one"):
+        remove_old(spark, lake, keep=0)
+
+
+def test_second_of_two_runs_at_a_time_is_refused(spark, tmp_path):
+    lake, snapshot = str(tmp_path / "lake"), str(tmp_path / "snapshot")
+    build_lake(spark, raw(tmp_path / "in", range(1, 4)), snapshot, lake, as_of=day(2))
+    base = read_version(spark, lake)
+    commit(spark, lake, "one", {}, base)
+    with pytest.raises(LakeChanged, match="version 2"):
+        commit(spark, lake, "two", {}, base)
+    (tmp_path / "lake" / "versions" / "3.claim").touch()  # of a run that died while it committed
+    assert commit(spark, lake, "three", {}, read_version(spark, lake)).number == 4

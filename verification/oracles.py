@@ -332,6 +332,8 @@ _BODIES = {
     "delta_join_long": "select * from q_long_pairs",
     "delta_lag": "select * from q_long_pairs",
     "delta_range": "select * from q_long_pairs",
+    "delta_carry": "select * from q_long_pairs",
+    "land_ledger": f"select {WORLD_COLUMNS} from fx_places",
     "delta_split": """
         select distinct a.user_id, a.case_type, a.day, a.reading - b.reading as reading_delta,
                a.reading
@@ -451,6 +453,21 @@ _BODIES["lake_build_month"] = _BODIES["lake_build_country"]
 _BODIES["lake_reload_withdrawn"] = f"""
     select * from ({_BODIES["lake_build_country"]}) f
     where not (country_name = 'US' and date >= date '2024-01-20')"""
+_BODIES["input_check_observed"] = _BODIES["input_check"]
+_BODIES["scan_rejects"] = """
+    select 'cases' as "column", cast(cases as varchar) || '?' as value, 'no whole number' as reason,
+           combined_key, case_type, date_str as date from fx_places where cases % 5 = 0
+    union all
+    select 'population_count', '1.5', 'no whole number', combined_key, case_type, date_str
+    from fx_places where cases % 7 = 0"""
+_BODIES["scan_rejects_kept"] = f"select {WORLD_COLUMNS} from fx_places where cases % 5 > 0 and cases % 7 > 0"
+_BODIES["scan_rejects_json"] = """
+    select 'deaths' as "column", 'none' as value, state_name, date from fx_usa where cases % 5 = 0"""
+_BODIES["lake_version"] = f"""
+    select 1 as version, * from ({_BODIES["lake_build_country"]}) f
+    union all select 2, * from ({_BODIES["lake_reload_withdrawn"]}) f"""
+_BODIES["lake_rollback"] = _BODIES["lake_build_country"]
+_BODIES["lake_compacted"] = _BODIES["lake_reload_withdrawn"]
 
 
 def _needed(text: str, found: dict[str, None]) -> dict[str, None]:

@@ -13,10 +13,12 @@ from daytally.operators import (
     daily_delta, distinct_delta, join_lookup, pair_totals, preview, union_tables,
 )
 from daytally.plans import analyses, dims, facts, quality
-from daytally.plans.build import Sources, build_lake, open_lake
-from daytally.sinks import read_table, scratch_dir, with_month, write_table
+from daytally.plans.build import Sources, build_lake, compact_lake, open_lake
+from daytally.plans.daily import DailyIncrements
+from daytally.sinks import drop_table, read_table, roll_back, scratch_dir, with_month, write_table
 from daytally.sources import (
-    choose_form, input_check, land, read_csv, read_inferred, read_json, repeated_days,
+    LandedFiles, choose_form, input_check, land, parse_csv, parse_json, read_csv, read_inferred,
+    read_json, repeated_days, watch,
 )
 
 from .standins import AS_OF, BRAZIL, USA, StandIns
@@ -98,6 +100,32 @@ def snapshot_raw(s):
     return land(raw, scratch_dir(s.spark, "snapshot"))
 
 
+def _landed_twice(s):
+    """A source of three files at first; then one is put right, one withdrawn and one added."""
+    rows = s.world_by_customer.withColumn("part", F.crc32("combined_key") % 3)
+    root = scratch_dir(s.spark, "source")
+
+    def put(name, df):
+        df.drop("part").write.mode("overwrite").option("header", True).csv(f"{root}/{name}")
+
+    put("kept", rows.where("part = 0"))
+    put("changed", rows.where("part = 1").withColumn("cases", F.col("cases") + 1))
+    put("withdrawn", rows.where("part = 1"))
+    landed = LandedFiles(s.spark, scratch_dir(s.spark, "landed"), schemas.WORLD,
+                         lambda spark, paths: read_csv(spark, paths, schemas.WORLD))
+    landed.land(root)
+    put("changed", rows.where("part = 1"))
+    put("added", rows.where("part = 2"))
+    drop_table(s.spark, f"{root}/withdrawn")
+    landed.land(root)
+    return landed
+
+
+@query
+def land_ledger(s):
+    return _landed_twice(s).rows()
+
+
 @query
 def input_check_(s):
     return input_check(
@@ -107,6 +135,47 @@ def input_check_(s):
     )
 
 
+@query
+def input_check_observed(s):
+    columns = ["date", "country_region", "combined_key", "cases"]
+    rows, report = watch(s.world_by_customer, ["date", "combined_key", "uid"], columns)
+    rows.write.parquet(scratch_dir(s.spark, "watched"))
+    return report()
+
+
+def _parsed(s):
+    """The world file with counts and populations that are none here and there."""
+    rows = s.world_by_customer.withColumns({
+        "population_count": F.when(F.col("cases") % 7 == 0, "1.5").otherwise(F.col("population_count").cast("string")),
+        "cases": F.when(F.col("cases") % 5 == 0, F.concat(F.col("cases").cast("string"), F.lit("?")))
+        .otherwise(F.col("cases").cast("string")),
+    })
+    path = scratch_dir(s.spark, "faulty")
+    rows.write.option("header", True).csv(path)
+    return parse_csv(s.spark, path, schemas.WORLD)
+
+
+@query
+def scan_rejects(s):
+    of = [F.get_json_object("text", f"$.{c}").alias(c) for c in ("combined_key", "case_type", "date")]
+    return _parsed(s).rejects.select("column", "value", "reason", *of)
+
+
+@query
+def scan_rejects_kept(s):
+    return _parsed(s).kept
+
+
+@query
+def scan_rejects_json(s):
+    rows = s.usa.withColumn("deaths", F.when(F.col("cases") % 5 == 0, "none").otherwise(F.col("deaths").cast("string")))
+    path = scratch_dir(s.spark, "faulty")
+    rows.write.json(path)
+    got = parse_json(s.spark, path, schemas.USA)
+    return got.rejects.select("column", "value", F.get_json_object("text", "$.state_name").alias("state_name"),
+                              F.get_json_object("text", "$.date").cast("date").alias("date"))
+
+
 @query
 def input_repeated_days(s):
     return repeated_days(s.readings, ["user_id", "case_type"], "day")
@@ -334,6 +403,20 @@ def delta_pair_totals(s):
     return pair_totals(rows, ["user_id", "case_type"], "day", ["reading"])
 
 
+@query
+def delta_carry(s):
+    """The long form by four loads; the last brings a day that some places lacked."""
+    rows = land(facts.world_days(s.world_by_customer), scratch_dir(s.spark, "days"))
+    table = DailyIncrements(
+        s.spark, scratch_dir(s.spark, "carry"), rows.schema, facts.WORLD_KEYS, "day", ["cases"])
+    late = (F.crc32("combined_key") % 7 == 0) & (F.col("day") == F.lit(dt.date(2024, 1, 12)))
+    first, second = F.lit(dt.date(2024, 1, 16)), F.lit(dt.date(2024, 1, 22))
+    for these in (F.col("day") < first, F.col("day").between(first, second), F.col("day") > second):
+        table.load(rows.where(these & ~late))
+    table.load(rows.where(late))
+    return table.increments()
+
+
 # --- aggregations ------------------------------------------------------------------------------
 
 
@@ -666,9 +749,9 @@ def _raw_files(s):
     return sources
 
 
-def _built(s, corrected=False, since=None, withdrawn=None, layout="day"):
-    """The lake of one run, or of two with ``since``; the second no longer finds the rows of the
-    country ``withdrawn`` from then on."""
+def _runs(s, corrected=False, since=None, withdrawn=None, layout="day"):
+    """The path of the lake of one run, or of two with ``since``; the second no longer finds the rows
+    of the country ``withdrawn`` from then on."""
     sources = _raw_files(s)
     root = scratch_dir(s.spark, "run")
     snapshot, lake = f"{root}/snapshot", f"{root}/lake"
@@ -681,7 +764,11 @@ def _built(s, corrected=False, since=None, withdrawn=None, layout="day"):
         sources = replace(sources, world=world)
     if since:
         build_lake(s.spark, sources, snapshot, lake, AS_OF, since, corrected, layout)
-    return open_lake(s.spark, lake)
+    return lake
+
+
+def _built(s, **options):
+    return open_lake(s.spark, _runs(s, **options))
 
 
 @query
@@ -712,3 +799,26 @@ def lake_reload_withdrawn(s):
 @query
 def lake_build_month(s):
     return _built(s, layout="month")["fact_covid_country"]
+
+
+@query
+def lake_version(s):
+    """The country fact of two versions, each with its number."""
+    lake = _runs(s, since=FROM_DAY, withdrawn=schemas.USA_SHORT)
+    return union_tables(*[
+        open_lake(s.spark, lake, n)["fact_covid_country"].withColumn("version", F.lit(n)) for n in (1, 2)
+    ])
+
+
+@query
+def lake_rollback(s):
+    lake = _runs(s, since=FROM_DAY, withdrawn=schemas.USA_SHORT)
+    roll_back(s.spark, lake, 1)
+    return open_lake(s.spark, lake)["fact_covid_country"]
+
+
+@query
+def lake_compacted(s):
+    lake = _runs(s, since=FROM_DAY, withdrawn=schemas.USA_SHORT)
+    compact_lake(s.spark, lake, most=1)
+    return open_lake(s.spark, lake)["fact_covid_country"]
