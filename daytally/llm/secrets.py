@@ -15,6 +15,7 @@ empty table gives an empty result; very long texts are scanned whole.
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -49,21 +50,44 @@ def blob_id(text: Column) -> Column:
     return F.sha2(F.coalesce(text, F.lit("")).cast("binary"), 256)
 
 
+def _placed(lengths: Column) -> Column:
+    """Start, end and long of each match, from the gap before it and its size. An array grows by being copied,
+    so this is done in blocks of about the square root of their number, each from 0, which are then moved to
+    where they lie: n matches take n ** 1.5 steps."""
+    empty = F.array().cast("array<struct<start:int,end:int,long:int>>")
+
+    def step(state, x):
+        begin = state["at"] + x["gap"]
+        one = F.struct(begin.alias("start"), (begin + x["size"]).alias("end"), x["long"].alias("long"))
+        return F.struct((begin + x["size"]).alias("at"), F.concat(state["found"], F.array(one)).alias("found"))
+
+    def moved(state, x):
+        there = F.transform(x["found"], lambda y: F.struct(
+            (y["start"] + state["at"]).alias("start"), (y["end"] + state["at"]).alias("end"), y["long"].alias("long")))
+        return F.struct((state["at"] + x["at"]).alias("at"), F.concat(state["found"], F.array(there)).alias("found"))
+
+    start = F.struct(F.lit(0).alias("at"), empty.alias("found"))
+    none = F.struct(F.lit(0).alias("at"), F.array().cast("array<array<struct<start:int,end:int,long:int>>>").alias("found"))
+
+    def placed(held: Column) -> Column:
+        count = F.greatest(F.size(held), F.lit(1))
+        block = F.ceil(F.sqrt(count)).cast("int")
+        blocks = F.transform(F.sequence(F.lit(1), count, block), lambda i: F.aggregate(F.slice(held, i, block), start, step))
+        return F.flatten(F.aggregate(blocks, none, moved, lambda state: state["found"]))
+
+    # The lambda's argument holds the lengths, so they are found once and not for every block.
+    return F.get(F.transform(F.array(lengths), placed), F.lit(0))
+
+
 def spans(text: Column, rule: Rule) -> Column:
     """Start and end, in code points, of what the rule finds in a text."""
     whole = F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(0))
     held = F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(rule.group))
     pieces = F.slice(F.split(text, rule.pattern), F.lit(1), F.size(whole))
     steps = F.arrays_zip(pieces.alias("piece"), whole.alias("whole"), held.alias("held"))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int,long:int>>").alias("found"))
-
-    def step(state, x):
-        begin = state["at"] + F.length(x["piece"])
-        end = begin + F.length(x["whole"])
-        one = F.struct(begin.alias("start"), end.alias("end"), F.length(x["held"]).alias("long"))
-        return F.struct(end.alias("at"), F.concat(state["found"], F.array(one)).alias("found"))
-
-    found = F.aggregate(steps, start, step, lambda state: state["found"])
+    lengths = F.transform(steps, lambda x: F.struct(
+        F.length(x["piece"]).alias("gap"), F.length(x["whole"]).alias("size"), F.length(x["held"]).alias("long")))
+    found = _placed(lengths)
     good = F.transform(F.filter(found, lambda x: x["long"] >= rule.least),
                        lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end")))
     return F.when(text.rlike(rule.pattern), good).otherwise(F.array().cast(SPANS))
@@ -93,9 +117,12 @@ class Ledger:
     def scan(self, versions: DataFrame, rules: tuple[Rule, ...] = RULES) -> None:
         """Scans the blobs of ``versions`` (blob, text) with the rules that haven't seen them.
 
-        Findings are written before the rows that say so: a run that breaks off between the two
-        leaves findings that a later run repeats, and ``found`` drops repeats.
+        Findings are written before the rows that say so: a scan that breaks off between the two
+        leaves findings that a later scan repeats, and ``found`` drops repeats. Each scan has a folder of its
+        own for what it works on; the next one removes what a broken one left. One scan at a time.
         """
+        self._remove_runs()
+        run_path = f"{self.path}/runs/{uuid.uuid4().hex}"
         names = [f"{r.kind}:{r.version}" for r in rules]
         texts = versions.select("blob", F.coalesce("text", F.lit("")).alias("text")).dropDuplicates(["blob"])
         seen = self.scanned.groupBy("blob").agg(F.flatten(F.collect_set("rules")).alias("seen"))
@@ -106,15 +133,18 @@ class Ledger:
             for n, r in zip(names, rules)
         ])
         results.withColumn("rules", F.array_except(F.array(*[F.lit(n) for n in names]), F.col("seen"))).drop("seen") \
-            .write.parquet(f"{self.path}/run")
-        run = self.spark.read.parquet(f"{self.path}/run")
+            .write.parquet(run_path)
+        run = self.spark.read.parquet(run_path)
         each = F.explode(F.array(*[
             F.struct(F.lit(r.kind).alias("kind"), F.lit(r.version).alias("version"), F.col(r.kind).alias("spans")) for r in rules
         ])).alias("x")
         run.select("blob", each).select("blob", "x.*").where(F.size("spans") > 0) \
             .write.mode("append").parquet(f"{self.path}/findings")
         run.select("blob", "rules").write.mode("append").parquet(f"{self.path}/scanned")
-        place = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/run")
+        self._remove_runs()
+
+    def _remove_runs(self) -> None:
+        place = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/runs")
         place.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(place, True)
 
     def found(self, rules: tuple[Rule, ...] = RULES) -> DataFrame:
