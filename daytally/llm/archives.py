@@ -108,6 +108,8 @@ def parse(member: bytes) -> dict:
     }
 
 
+#: Bytes of records that one task looks up, and the least it is worth a task while cores are idle.
+READ_BYTES, LEAST_READ = 32 << 20, 1 << 20
 CAPTURES = "key string, page_id long, file string, offset long, length long"
 
 
@@ -248,9 +250,18 @@ def _line_order(line: list[str]) -> tuple[bytes, int]:
 FOUND = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long"
 
 
-def lookup(queries: DataFrame, folder: str, files: DataFrame, whole_key: bool = True) -> DataFrame:
+def reading_tasks(captures: DataFrame) -> int:
+    """Tasks to read the records of ``captures`` with: by the bytes to be read, not by the size of the keys.
+    Small amounts are spread over all cores."""
+    total = captures.agg(F.sum("length")).first()[0] or 0
+    cores = captures.sparkSession.sparkContext.defaultParallelism
+    return max(1, -(-total // READ_BYTES), min(cores, total // LEAST_READ))
+
+
+def lookup(queries: DataFrame, folder: str, files: DataFrame, whole_key: bool = True, tasks: int | None = None) -> DataFrame:
     """Records of ``queries`` (key, and page_id unless ``whole_key``), read through the index. Queries are
-    sorted by range like the index, so that a task needs few files of it."""
+    sorted by range like the index, so that a task needs few files of it; ``tasks`` (see
+    ``reading_tasks``) is the number of ranges, which Spark else takes from the size of the queries."""
     listed = sorted((_order(r["key"], r["page_id"]), r["file"]) for r in files.collect())
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -265,7 +276,8 @@ def lookup(queries: DataFrame, folder: str, files: DataFrame, whole_key: bool =
             yield pa.RecordBatch.from_arrays([pa.array([r[n] for r in rows], k) for n, k in zip(names, kinds)], names)
 
     by = ["key"] if whole_key else ["key", "page_id"]
-    return queries.select(*by).distinct().repartitionByRange(*by).sortWithinPartitions(*by).mapInArrow(read, FOUND)
+    ranges = [tasks, *by] if tasks else by
+    return queries.select(*by).distinct().repartitionByRange(*ranges).sortWithinPartitions(*by).mapInArrow(read, FOUND)
 
 
 def archive(pages: DataFrame, store: Store) -> tuple[DataFrame, DataFrame]:
@@ -277,7 +289,7 @@ def archive(pages: DataFrame, store: Store) -> tuple[DataFrame, DataFrame]:
 def op7_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
     store = Store(spark, "archives")
     captures, files = archive(table(spark, sf_dir, "pages"), store)
-    return lookup(captures, store.root, files, whole_key=False)
+    return lookup(captures, store.root, files, whole_key=False, tasks=reading_tasks(captures))
 
 
 OP7_SQL = f"""
