@@ -20,7 +20,8 @@ the line at the first place stays, by doc_id and then by place in the text.
 All of it is DataFrame functions.
 
 Defined cases: a null text has no lines, the empty text has one empty line; rows with one doc_id are
-one document, so a repeated row adds no line that stays; a null doc_id comes first; an empty table
+one document, so a repeated row adds no line that stays, and rows of one doc_id with different texts keep the lines of
+each; rows without doc_id are a document for each different text, and come first; an empty table
 gives an empty result; very long lines are compared whole.
 """
 
@@ -28,6 +29,7 @@ from __future__ import annotations
 
 import math
 import string
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -44,20 +46,44 @@ PER_EDIT = 15
 SIZES = [(11, 45, 59), (12, 60, 104), (13, 105, 209), (14, 210, (1 << 31) - 1)]
 #: Segments of a long line that are cut from one piece of it.
 PIECE = 32
-#: Places of a text are numbered below this.
-PLACES = 1 << 31
-NO_ID = -(2 ** 63)
-#: Largest number of line numbers (8 bytes each) that is broadcast; more are joined by shuffle.
-BROADCAST_IDS = 500_000
+#: A line's place as one number of 126 bits, the highest first: whether there is a doc_id (1 bit), the doc_id or
+#: else a hash of the text (64), another hash of the text (31), the place in the text (30).
+PLACES, HASHES = 1 << 30, 1 << 31
 
 
-def _node(doc_id: Column, place: Column) -> Column:
-    """A line's place as one number that sorts by document, then by place."""
-    return (F.coalesce(doc_id.cast("long"), F.lit(NO_ID)).cast("decimal(20,0)") * F.lit(PLACES) + place).cast("decimal(30,0)")
+def _number(value: int | Column, digits: int = 38) -> Column:
+    return (value if isinstance(value, Column) else F.lit(Decimal(value))).cast(f"decimal({digits},0)")
 
 
-def _document(node: Column) -> Column:
-    return F.floor(node / F.lit(PLACES).cast("decimal(11,0)")).cast("long")
+def _part(number: Column, size: int) -> tuple[Column, Column]:
+    """A number without its last digit to the base ``size``, and that digit."""
+    last = F.pmod(number, _number(size, 20))
+    return F.floor((number - last) / _number(size, 20)), last
+
+
+def _document(doc_id: Column, text: Column) -> Column:
+    """Number of a document, by which documents sort: a row's doc_id, or its text if it has none (those come first)."""
+    named = _number(doc_id.cast("long"), 20) + _number(3 << 63, 21)
+    return _number(F.coalesce(named, _number(F.xxhash64(text), 20) + _number(1 << 63, 20)), 21)
+
+
+def _node(document: Column, text: Column, place: Column) -> Column:
+    """Rows of one document that differ in their text have lines of their own."""
+    row = _number(document * _number(HASHES, 10), 30) + _number(F.pmod(F.xxhash64(F.lit(1), text), F.lit(HASHES)), 10)
+    return _number(_number(row, 30) * _number(PLACES, 10)) + _number(place, 10)
+
+
+def _document_of(node: Column) -> Column:
+    return _number(_part(node, PLACES * HASHES)[0], 21)
+
+
+def _place_of(node: Column) -> Column:
+    return _part(node, PLACES)[1].cast("long")
+
+
+def _id_of(document: Column) -> Column:
+    """The doc_id of a document's number, null if it has none."""
+    return F.when(document >= _number(1 << 64, 21), (document - _number(3 << 63, 21)).cast("long"))
 
 
 def _starts(length: Column, segment: int, edits: int) -> tuple[Column, Column]:
@@ -136,8 +162,9 @@ def within(a: Column, b: Column, edits: int = EDITS) -> Column:
 
 def distinct_lines(docs: DataFrame) -> DataFrame:
     """line, node (its first place) and length, for each different line of ``docs`` (doc_id, text)."""
-    lines = docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("place", "line"))
-    first = lines.select("line", _node(F.col("doc_id"), F.col("place")).alias("node")).groupBy("line").agg(F.min("node").alias("node"))
+    lines = docs.select("doc_id", "text", F.posexplode(F.split("text", "\n")).alias("place", "line"))
+    node = _node(_document(F.col("doc_id"), F.col("text")), F.col("text"), F.col("place"))
+    first = lines.select("line", node.alias("node")).groupBy("line").agg(F.min("node").alias("node"))
     return first.withColumn("length", F.length("line"))
 
 
@@ -176,8 +203,7 @@ def near_lines(lines: DataFrame, store: Store, edits: int = EDITS, shortest: int
     known = index.groupBy("key").agg(F.min("b").alias("low"), F.max("b").alias("high"))
     hits = probes.join(known, "key").where((F.col("a") != F.col("low")) | (F.col("a") != F.col("high")))
     ids = store.put(hits.select(F.explode(F.array("a", "low", "high")).alias("wanted")).distinct(), name["ids"])
-    wanted = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
-    texts = store.put(long.join(wanted, F.col("id") == F.col("wanted"), "left_semi").withColumn("bag", letters("line")), name["texts"])
+    texts = store.put(long.join(ids, F.col("id") == F.col("wanted"), "left_semi").withColumn("bag", letters("line")), name["texts"])
     apart = sum(F.abs(F.col(f"a_bag.{c}") - F.col(f"b_bag.{c}")) for c in texts.schema["bag"].dataType.names)
     left, right = _probes(texts, F.col("bag").alias("a_bag"), edits=edits), _index(texts.where(first), F.col("bag").alias("b_bag"), edits=edits)
     meet = left.join(right, (left["key"] == right["key"]) & (F.col("a") != F.col("b"))
@@ -279,17 +305,23 @@ def line_classes(docs: DataFrame, store: Store) -> tuple[DataFrame, DataFrame]:
         "line", "node", "length", F.coalesce("class", "node").alias("class")), links
 
 
-def _texts(docs: DataFrame, lines: DataFrame) -> DataFrame:
-    """doc_id and text of the lines that stay, for each document."""
-    kept = lines.where(F.col("node") == F.col("class")).groupBy(_document(F.col("node")).alias("of")).agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("node", "line"))), lambda x: x["line"]), "\n").alias("text"))
-    ids = docs.select("doc_id").distinct()
-    return ids.join(kept, F.coalesce("doc_id", F.lit(NO_ID)) == F.col("of"), "left").select("doc_id", "text")
+def _documents(docs: DataFrame) -> DataFrame:
+    """document, doc_id and n_lines, a row for each document."""
+    n_lines = F.when(F.col("text").isNotNull(), F.size(F.split("text", "\n"))).otherwise(0)
+    rows = docs.select(_document(F.col("doc_id"), F.col("text")).alias("document"), F.col("doc_id").cast("long").alias("doc_id"), n_lines.alias("n"))
+    return rows.groupBy("document").agg(F.max("doc_id").alias("doc_id"), F.sum("n").cast("long").alias("n_lines"))
+
+
+def _texts(lines: DataFrame) -> DataFrame:
+    """document and text of the lines that stay, for each document that keeps any."""
+    return lines.where(F.col("node") == F.col("class")).groupBy(_document_of(F.col("node")).alias("document")).agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("node", "line"))), lambda x: x["line"]), "\n").alias("kept"))
 
 
 def cleaned(docs: DataFrame) -> DataFrame:
     """doc_id and text of the lines that stay, for each document; no document is left out."""
-    return _texts(docs, line_classes(docs, Store(docs.sparkSession, "lines"))[0])
+    lines, _ = line_classes(docs, Store(docs.sparkSession, "lines"))
+    return _documents(docs).join(_texts(lines), "document", "left").select("doc_id", F.col("kept").alias("text"))
 
 
 def line_table(docs: DataFrame) -> DataFrame:
@@ -297,24 +329,17 @@ def line_table(docs: DataFrame) -> DataFrame:
     here that went as near copies), n_links (their and the others' links), kept_chars, digest (SHA-256 of the cleaned text;
     null if no line stays), classes (place of each line first seen here, doc_id and place of its class, in order)."""
     store = Store(docs.sparkSession, "lines")
-    lines, links = line_classes(docs.select("doc_id", "text"), store)
+    lines, links = line_classes(docs, store)
     lines = store.put(lines, "classed")
     stays = F.col("node") == F.col("class")
-
-    def place(node: str) -> Column:
-        return F.pmod(F.col(node), F.lit(PLACES).cast("decimal(11,0)")).cast("long")
-
-    of_class = F.nullif(_document(F.col("class")), F.lit(NO_ID))
-    seen = F.struct(place("node").alias("place"), of_class.alias("class_doc"), place("class").alias("class_place"))
-    kept = lines.groupBy(_document(F.col("node")).alias("of")).agg(
+    seen = F.struct(_place_of(F.col("node")).alias("place"), _id_of(_document_of(F.col("class"))).alias("class_doc"), _place_of(F.col("class")).alias("class_place"))
+    kept = lines.groupBy(_document_of(F.col("node")).alias("document")).agg(
         F.count_if(stays).alias("n_kept"), F.count_if(~stays).alias("n_near"), F.sum(F.when(stays, F.col("length"))).alias("kept_chars"),
         F.array_sort(F.collect_list(seen)).alias("classes"))
-    linked = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy(_document(F.col("node")).alias("at")).agg(F.count("*").alias("n_links"))
-    digests = _texts(docs, lines).select(F.coalesce("doc_id", F.lit(NO_ID)).alias("to"), F.sha2(F.col("text").cast("binary"), 256).alias("digest"))
-    ids = docs.groupBy("doc_id").agg(F.sum(F.when(F.col("text").isNotNull(), F.size(F.split("text", "\n"))).otherwise(0)).alias("n_lines"))
-    key = F.coalesce("doc_id", F.lit(NO_ID))
+    linked = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy(_document_of(F.col("node")).alias("document")).agg(F.count("*").alias("n_links"))
+    digests = _texts(lines).select("document", F.sha2(F.col("kept").cast("binary"), 256).alias("digest"))
     return (
-        ids.join(kept, key == F.col("of"), "left").join(linked, key == F.col("at"), "left").join(digests, key == F.col("to"), "left")
+        _documents(docs).join(kept, "document", "left").join(linked, "document", "left").join(digests, "document", "left")
         .select("doc_id", "n_lines", *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("n_kept", "n_near", "n_links", "kept_chars")],
                 "digest", F.coalesce("classes", F.array().cast(kept.schema["classes"].dataType)).alias("classes"))
     )
