@@ -164,3 +164,80 @@ def test_lines_table_tells_texts_and_classes(spark):
     assert texts == {None: "null id\none", -3: line, 2: "shart", 4: None}
     assert all(got[i].digest == (None if t is None else hashlib.sha256(t.encode()).hexdigest()) for i, t in texts.items())
     assert {i: [tuple(c) for c in r.classes] for i, r in got.items()} == {None: [(0, None, 0), (1, None, 1)], -3: [(1, -3, 1)], 2: [(0, -3, 1), (1, 2, 1)], 4: []}
+
+
+def test_lines_of_rows_that_share_or_lack_an_id(spark):
+    """Against a plain loop over all pairs of lines."""
+    def distance(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            new = [i]
+            for j, y in enumerate(b, 1):
+                new.append(min(row[j] + 1, new[-1] + 1, row[j - 1] + (x != y)))
+            row = new
+        return row[-1]
+
+    fox = "the quick brown fox jumps over dogs"
+    apart = ["completely unrelated sentence goes here", "yet another line about something else", "numbers 12345 67890 and 24680 follow", "short", "the end of all that is here"]
+    rows = [(1, fox), (5, f"{fox}s"), (5, apart[0]), (5, f"{apart[1]}\n{fox}"), (5, f"{apart[1]}\n{fox}"), (None, apart[2]), (None, f"{apart[2]}!\n{apart[3]}"),
+            (None, None), (7, f"{apart[0]}x\n{apart[4]}"), *((None, f"row {i} without an id has this line {'abcdefghijklmnop'[i] * 9}") for i in range(16))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    seen = {}
+    for doc_id, text in rows:
+        for line in (text or "").split("\n") if text is not None else []:
+            seen.setdefault(line, set()).add(doc_id)
+    texts = sorted(seen)
+    near = {(a, b) for a in texts for b in texts if a < b and distance(a, b) <= lines.threshold(min(len(a), len(b)))}
+    group = {t: {t} for t in texts}
+    for a, b in near:
+        for t in group[a] | group[b]:
+            group[t] = group[a] | group[b]
+    cleaned = lines.cleaned(docs).collect()
+    left = sorted(line for r in cleaned if r.text is not None for line in r.text.split("\n"))
+    assert len(left) == len({frozenset(g) for g in group.values()})
+    assert all(len(set(left) & g) == 1 for g in group.values())
+    assert {apart[0], apart[1], apart[3], apart[4]} <= set(left) and f"{fox}s" not in left
+    assert sum(r.doc_id is None for r in cleaned) == 19 and len(cleaned) == 22
+    table = lines.line_table(docs).collect()
+    assert sum(r.n_kept for r in table) == len(left) and sum(r.n_links for r in table) == 2 * len(near)
+    assert sum(r.n_kept + r.n_near for r in table) == len(texts)
+
+
+def test_ledger_goes_on_after_a_scan_that_broke_off(spark, monkeypatch):
+    docs = spark.createDataFrame([(1, "token = abcdefghijkl1"), (2, "AKIA" + "A" * 16)], "doc_id long, text string")
+    ledger = secrets.Ledger(spark, Store(spark, "ledger").root + "/l")
+    versions = docs.select(secrets.blob_id(F.col("text")).alias("blob"), "text")
+    whole = [secrets.secret_table(docs, secrets.Ledger(spark, Store(spark, "ledger").root + "/l")).collect()]
+    for broken in ("findings", "scanned"):
+        def parquet(self, path, *args, write=type(docs.write).parquet, **options):
+            if path.endswith(broken):
+                raise OSError("gone")
+            return write(self, path, *args, **options)
+
+        with monkeypatch.context() as patch:
+            patch.setattr(type(docs.write), "parquet", parquet)
+            with pytest.raises(OSError, match="gone"):
+                ledger.scan(versions)
+    whole.append(secrets.secret_table(docs, ledger).collect())
+    assert sorted(whole[0]) == sorted(whole[1]) and ledger.scanned.count() == 2
+    assert not list(__import__("pathlib").Path(ledger.path.removeprefix("file:")).glob("runs/*"))
+
+
+def test_many_secrets_in_one_text(spark):
+    import time
+
+    n = 40_000
+    docs = spark.createDataFrame([(1, "é " + "token=abcdefghijkl " * n)], "doc_id long, text string")
+    began = time.time()
+    got = docs.select(secrets.spans(F.col("text"), secrets.RULES[0]).alias("s")).first()["s"]
+    assert time.time() - began < 15
+    assert [tuple(x) for x in got] == [(2 + 19 * i, 20 + 19 * i) for i in range(n)]
+
+
+def test_records_are_looked_up_by_several_tasks(spark):
+    pages = spark.range(400).selectExpr("id as page_id", "concat('http://h', id, '.org/') as url", "concat(repeat(sha2(string(id), 512), 20), uuid(), uuid()) as html")
+    store = Store(spark, "archives")
+    captures, files = archives.archive(pages, store)
+    found = archives.lookup(captures, store.root, files, whole_key=False, tasks=5)
+    assert found.rdd.getNumPartitions() == 5 and found.count() == 400
+    assert archives.reading_tasks(captures) >= 1 and archives.reading_tasks(captures.limit(0)) == 1

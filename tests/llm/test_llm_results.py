@@ -153,7 +153,7 @@ def test_edit_distance_and_line_join(spark):
     texts = sorted(texts)
     store = Store(spark, "test")
     rows = store.put(lines.distinct_lines(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")), "rows")
-    got = {tuple(sorted((int(r.a) >> 31, int(r.b) >> 31))) for r in lines.near_lines(rows, store).collect()}
+    got = {tuple(sorted((int(x) >> 61) - (3 << 63) for x in (r.a, r.b))) for r in lines.near_lines(rows, store).collect()}
     long = [i for i, t in enumerate(texts) if len(t) >= lines.SHORTEST]
     want = {(i, j) for j in long for i in long if i < j and distance(texts[i], texts[j]) <= lines.EDITS}
     assert want and got == want
@@ -259,7 +259,7 @@ def test_lines_of_all_lengths_against_all_pairs(spark):
     texts = sorted(texts)
     store = Store(spark, "test")
     rows = store.put(lines.distinct_lines(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")), "rows")
-    got = {tuple(sorted((int(r.a) >> 31, int(r.b) >> 31))) for r in lines.near_by_length(rows, store).collect()}
+    got = {tuple(sorted((int(x) >> 61) - (3 << 63) for x in (r.a, r.b))) for r in lines.near_by_length(rows, store).collect()}
     want = set()
     for i, a in enumerate(texts):
         for j in range(i):
@@ -289,3 +289,79 @@ def test_texts_are_scored_by_whole_pieces():
         assert toxicity.patterns(text) == [
             float(len(re.findall("[A-Z]", text)) / n > 0.3), float(text.count("!") / n > 0.01), float(len(re.findall("[#$%&*@]", text)) / n > 0.05)]
     assert len(list(toxicity.pieces("x" * 300_000))) == 1
+
+
+def bm25(docs, items):
+    """Plain BM25 of all passages: (doc, item) -> best (score, question, answer) of those that count."""
+    import math
+
+    words = lambda t: decontamination.hashes_of(t).tolist()
+    bags = {i: words(t) for i, t in items.items() if words(t)}
+    n, mean = len(bags), sum(map(len, bags.values())) / len(bags)
+    df = Counter(w for bag in bags.values() for w in set(bag))
+
+    def weight(item, w):
+        count = bags[item].count(w)
+        idf = math.log1p((n - df[w] + 0.5) / (df[w] + 0.5))
+        return idf * count * (decontamination.K1 + 1) / (count + decontamination.K1 * (1 - decontamination.B + decontamination.B * len(bags[item]) / mean))
+    weights = {i: {w: weight(i, w) for w in set(bag)} for i, bag in bags.items()}
+    class_ = {i: sum(len(bag) > most for most in decontamination.LENGTHS) for i, bag in bags.items()}
+    longest = {c: max(len(bags[i]) for i in bags if class_[i] == c) for c in set(class_.values())}
+
+    def runs(w, size):
+        return {tuple(w[k:k + size]) for k in range(len(w) - size + 1)}
+    parts = {}
+    for i in bags:
+        text = items[i].rstrip()
+        ends = [m.end() for m in re.finditer(r"[.!?][\"')\]]*\s+", text)]
+        last = len(words(text[ends[-1]:])) if ends else len(bags[i]) // 2
+        last = min(max(last, 5), max(len(bags[i]) - 5, 5))
+        cut = [bags[i][: max(len(bags[i]) - last, 5)], bags[i][-last:]]
+        parts[i] = [runs(c, min(5, len(c))) for c in cut]
+    best = {}
+    for d, text in docs.items():
+        w = words(text)
+        for c, size in longest.items():
+            for at in range(0, len(w), size):
+                passage = w[at: at + 2 * size]
+                held = set(passage)
+                for i in bags:
+                    if class_[i] != c:
+                        continue
+                    score = sum(v for t, v in weights[i].items() if t in held) / sum(weights[i].values())
+                    if score >= decontamination.LEAST - 1e-9:
+                        own = runs(passage, min(5, len(bags[i])))
+                        parted = [len(p & own) / len(p) for p in parts[i]]
+                        if min(parted) >= decontamination.OVERLAP:
+                            best[d, i] = max(best.get((d, i), (0, 0, 0)), (score, *parted))
+    return best
+
+
+@pytest.mark.parametrize("shard_words, cells", [(500_000, 1 << 20), (200, 8)])
+def test_search_equals_plain_bm25_however_items_are_dealt(spark, monkeypatch, shard_words, cells):
+    import random
+
+    rng = random.Random(5)
+    monkeypatch.setattr(decontamination, "SHARD_WORDS", shard_words)
+    monkeypatch.setattr(decontamination, "CELLS", cells)
+    vocabulary = [f"{a}{b}" for a in "bcdfgklm" for b in ("an", "er", "it", "ol", "us", "ay")]
+
+    def text(n):
+        return " ".join(rng.choice(vocabulary) + rng.choice(["", "", "", ".", "?"]) for _ in range(n))
+    items = {i: text(rng.choice([3, 8, 20, 40, 90, 600])) for i in range(60)}
+    docs = {}
+    for d in range(60):
+        pieces = [text(rng.randrange(1, 150))]
+        for _ in range(rng.randrange(3)):
+            item = rng.choice(list(items.values())).split()
+            for _ in range(rng.choice([0, 0, 1, 3])):
+                item[rng.randrange(len(item))] = rng.choice(vocabulary)
+            pieces += [" ".join(item), text(rng.randrange(1, 60))]
+        docs[d] = " ".join(pieces)
+    frames = [spark.createDataFrame(list(x.items()), f"{k} long, text string") for x, k in ((docs, "doc_id"), (items, "item_id"))]
+    want = bm25(docs, items)
+    got = {(r.doc_id, r.item_id): (r.score, r.question_overlap, r.answer_overlap) for r in decontamination.contaminated(*frames).collect()}
+    assert len(want) > 30 and got.keys() == want.keys()
+    assert all(np.allclose(got[k], want[k], atol=1e-9) for k in want)
+    kept = {r.doc_id for r in decontamination.clean_rows(*frames).collect()}
+    assert kept == set(docs) - {d for d, _ in want}
