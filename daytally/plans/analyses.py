@@ -143,3 +143,43 @@ def trace(
     if until is not None:
         rows = rows.where(F.col("date") <= F.lit(until))
     return rows.orderBy(*_place(fact), "date")
+
+
+def waves(fact_country: DataFrame, least: int = 2) -> DataFrame:
+    """Runs of at least ``least`` days in a row on which a country's increment was above that of the day
+    before: first and last day, days, cases in all and the largest increment.
+
+    A day without row ends a run, as does a null increment. One shuffle by country; a window partition
+    holds the days of one country.
+    """
+    by_day = Window.partitionBy("country_name").orderBy("date")
+    known = fact_country.where(F.col("country_name").isNotNull() & F.col("confirmed_cases").isNotNull())
+    rising = (F.lag("confirmed_cases").over(by_day) < F.col("confirmed_cases")) & (
+        F.lag("date").over(by_day) == F.date_sub("date", 1))
+    # Within a run, a day and its number among the rising days grow alike.
+    island = F.date_sub("date", F.row_number().over(by_day))
+    runs = known.withColumn("rising", F.coalesce(rising, F.lit(False))).where("rising").withColumn("island", island)
+    return (
+        runs.groupBy("country_name", "island")
+        .agg(
+            F.min("date").alias("first_date"), F.max("date").alias("last_date"), F.count("*").alias("days"),
+            F.sum("confirmed_cases").alias("cases"), F.max("confirmed_cases").alias("peak"))
+        .where(F.col("days") >= least)
+        .drop("island")
+    )
+
+
+def doubling_time(fact_country: DataFrame, days: int = 7) -> DataFrame:
+    """Per country and day: in how many days the confirmed cases double at the growth of the last ``days``
+    days, by regression of their logarithm on the day.
+
+    Null where fewer than two of those days have cases, or cases don't grow.
+    """
+    number = F.unix_date("date")
+    window = Window.partitionBy("country_name").orderBy(number).rangeBetween(-(days - 1), 0)
+    log = F.when(F.col("sum_confirmed_cases") > 0, F.log("sum_confirmed_cases"))
+    rows = fact_country.where(F.col("country_name").isNotNull()).withColumn("_log", log).withColumn("_day", F.when(log.isNotNull(), number))
+    slope = F.regr_slope("_log", "_day").over(window)
+    return rows.select(
+        "country_name", "date", "sum_confirmed_cases",
+        F.when(slope > 1e-12, F.log(F.lit(2.0)) / slope).alias("doubling_days"))

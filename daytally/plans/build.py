@@ -239,7 +239,7 @@ def build_lake(
         list(together.map(
             lambda table: _write_part(tables[table], lake, parts[table], folders[table]), tables))
     commit(spark, lake, name, parts, base)
-    return lake_quality(spark, lake)
+    return lake_quality(spark, lake, inputs if since is None else None)
 
 
 def open_lake(
@@ -271,9 +271,9 @@ def compact_lake(spark: SparkSession, lake: str, most: int = 31, layout: str = "
     return many
 
 
-def lake_quality(spark: SparkSession, lake: str) -> DataFrame:
-    tables = open_lake(spark, lake)
-    return quality.lake_report(
-        tables["dim_country"], tables["dim_time"], tables["fact_covid_country"],
-        aliases=ALIASES,
-    )
+def lake_quality(
+    spark: SparkSession, lake: str, sources: dict[str, DataFrame] | None = None
+) -> DataFrame:
+    """The report on the latest version; with the landed ``sources`` of a full run, on what has
+    arrived of them too."""
+    return quality.whole_report(open_lake(spark, lake), sources, ALIASES)

@@ -4,17 +4,20 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..operators import pair_totals, renamed
-from .facts import DETAILED, WORLD_KEYS, counted_rows, with_day
+from ..operators import pair_totals, renamed, union_tables
+from ..schemas import BRAZIL_NAME, USA_NAME
+from .facts import DETAILED, WORLD_KEYS, brazil_states, counted_rows, with_day
+
+
+def _distinct(df: DataFrame, side: str, **checks: Column) -> DataFrame:
+    """A row for each check: how many different values ``df`` has, in one pass."""
+    counted = df.agg(*[F.count_distinct(value).alias(name) for name, value in checks.items()])
+    rows = [F.struct(F.lit(name).alias("check_name"), F.col(f"`{name}`").alias("n")) for name in checks]
+    return counted.select(F.lit(side).alias("side"), F.inline(F.array(*rows)))
 
 
 def _counts(df: DataFrame, country: Column, date: Column, side: str) -> DataFrame:
-    counted = df.agg(F.count_distinct(country).alias("c"), F.count_distinct(date).alias("d"))
-    rows = F.array(
-        F.struct(F.lit("countries").alias("check_name"), F.col("c").alias("n")),
-        F.struct(F.lit("dates").alias("check_name"), F.col("d").alias("n")),
-    )
-    return counted.select(F.lit(side).alias("side"), F.inline(rows))
+    return _distinct(df, side, countries=country, dates=date)
 
 
 def _report(dimension: DataFrame, fact: DataFrame, first_days: int) -> DataFrame:
@@ -22,7 +25,7 @@ def _report(dimension: DataFrame, fact: DataFrame, first_days: int) -> DataFrame
         return F.sum(F.when(F.col("side") == name, F.col("n"))).alias(f"{name}_count")
 
     missing = F.col("dimension_count") - F.col("fact_count")
-    allowed = F.when(F.col("check_name") == "dates", first_days).otherwise(0)
+    allowed = F.when(F.col("check_name").endswith("dates"), first_days).otherwise(0)
     return (
         dimension.unionByName(fact)
         .groupBy("check_name")
@@ -68,3 +71,44 @@ def lake_report(
     return _report(
         countries.unionByName(dates), _counts(fact_country, name, F.col("date"), "fact"), 1
     )
+
+
+def whole_report(
+    tables: dict[str, DataFrame],
+    sources: dict[str, DataFrame] | None = None,
+    aliases: dict[str, str] | None = None,
+) -> DataFrame:
+    """``lake_report`` over all five tables, and what of each source has arrived.
+
+    ``provinces`` and ``province_dates`` hold the province dimension and the dates against the province
+    fact. ``source:<name>`` holds the places of a landed source (countries of the world file, states of the
+    others) against those in the facts; a state that the lookup lacks shows here. Each table is read
+    once, and of the written ones only the columns of their folders.
+    """
+    def place(df: DataFrame, country: str) -> Column:
+        return F.struct(renamed(F.col(country), aliases), F.col("province_state"))
+
+    country_fact, province_fact = tables["fact_covid_country"], tables["fact_covid_country_province"]
+    country = renamed(F.col("country_name"), aliases)
+    of = {name: F.when(F.col("country_name") == name, F.col("province_state")) for name in (BRAZIL_NAME, USA_NAME)}
+    dates = tables["dim_time"].agg(F.count_distinct("date_key").alias("n"))
+    left = [
+        _distinct(tables["dim_country"], "dimension", countries=F.col("country_region")),
+        dates.select(
+            F.lit("dimension").alias("side"),
+            F.explode(F.array(F.lit("dates"), F.lit("province_dates"))).alias("check_name"), "n"),
+        _distinct(tables["dim_province"], "dimension", provinces=place(tables["dim_province"], "country_region")),
+    ]
+    of_country = {"countries": country, "dates": F.col("date")}
+    of_province = {"provinces": place(province_fact, "country_name"), "province_dates": F.col("date")}
+    if sources:
+        of_country["source:world"] = country
+        of_province |= {"source:brazil": of[BRAZIL_NAME], "source:usa": of[USA_NAME]}
+        states = brazil_states(sources["brazil"])
+        left += [
+            _distinct(sources["world"], "dimension", **{"source:world": F.col("country_region")}),
+            _distinct(states, "dimension", **{"source:brazil": F.col("state")}),
+            _distinct(sources["usa"], "dimension", **{"source:usa": F.col("state_name")}),
+        ]
+    right = [_distinct(country_fact, "fact", **of_country), _distinct(province_fact, "fact", **of_province)]
+    return _report(union_tables(*left), union_tables(*right), 1)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -31,3 +32,21 @@ def land_checked(
 
 def load_snapshot(spark: SparkSession, path: str, schema) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
+
+
+def land_bucketed(
+    raw: DataFrame, path: str, keys: list[str], date: str, buckets: int
+) -> DataFrame:
+    """As ``land``, with the rows of a key in one bucket and in order of days, so that windows and groupings
+    by ``keys`` on the copy need no shuffle.
+
+    Rows are shuffled once, by key, both to drop repeated rows and to fill the buckets, each by one task: take
+    so many that a bucket fits a task. Spark knows buckets from its catalog only, so the copy is a table
+    of this session's catalog under a name of its own, with its files at ``path``; another session lists them
+    again by landing.
+    """
+    spark = raw.sparkSession
+    name = f"landed_{uuid.uuid4().hex}"
+    rows = raw.repartition(buckets, *keys).dropDuplicates()
+    rows.write.mode("overwrite").bucketBy(buckets, *keys).sortBy(*keys, date).option("path", path).saveAsTable(name)
+    return spark.table(name)

@@ -1,6 +1,7 @@
 import datetime as dt
 import glob
 import os
+import re
 from concurrent.futures import ThreadPoolExecutor
 
 import pytest
@@ -44,7 +45,9 @@ def test_run_twice_then_from_a_day_on(spark, tmp_path):
     sources = raw(tmp_path / "in1", range(1, 5))
     for _ in range(2):
         report = build_lake(spark, sources, snapshot, lake, as_of=day(2))
-    assert rows(report) == [("countries", 3, 3, True), ("dates", 4, 3, True)]
+    assert rows(report) == [
+        ("countries", 3, 3, True), ("dates", 4, 3, True), ("province_dates", 4, 3, True), ("provinces", 2, 2, True),
+        ("source:brazil", 1, 1, True), ("source:usa", 1, 1, True), ("source:world", 3, 3, True)]
     tables = open_lake(spark, lake)
     country = rows(tables["fact_covid_country"])
     assert len(country) == 3 * 5  # three days; Brazil and USA from two sources each
@@ -114,6 +117,22 @@ def test_form_follows_the_data(spark, tmp_path):
     assert checks.where("not passed").count() == 0
 
 
+def test_report_tells_a_state_that_the_lookup_lacks(spark, tmp_path):
+    sources = raw(tmp_path / "in", range(1, 4))
+    with open(sources.brazil, "a") as f:
+        f.writelines(f",{day(n)},RJ,state,{n},{n},5\n" for n in (1, 2, 3))
+    report = build_lake(spark, sources, str(tmp_path / "s"), str(tmp_path / "lake"), day(2))
+    assert rows(report.where("not passed")) == [("source:brazil", 2, 1, False)]
+
+
+def test_report_reads_folders_only(spark, tmp_path):
+    lake = str(tmp_path / "lake")
+    build_lake(spark, raw(tmp_path / "in", range(1, 4)), str(tmp_path / "s"), lake, day(2))
+    text = build.lake_quality(spark, lake)._jdf.queryExecution().executedPlan().toString()
+    read = [s for s in re.findall(r"ReadSchema: (struct<.*?>)", text)]
+    assert len(read) == 5 and read.count("struct<>") == 4  # the time dimension's key is no folder
+
+
 def test_unreadable_values_are_counted_beside_the_copies(spark, tmp_path):
     sources = raw(tmp_path / "in", range(1, 4))
     with open(sources.world, "a") as f:

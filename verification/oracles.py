@@ -453,6 +453,69 @@ _BODIES["lake_build_month"] = _BODIES["lake_build_country"]
 _BODIES["lake_reload_withdrawn"] = f"""
     select * from ({_BODIES["lake_build_country"]}) f
     where not (country_name = 'US' and date >= date '2024-01-20')"""
+_BODIES["delta_bucketed"] = "select * from q_long_pairs"
+_BODIES["delta_gaps"] = """
+    select case_type, country_region, combined_key, d + cast(i - gap as int) as day, cast(gap as int) as gap,
+           cast(was + floor((cases - was) * i / gap) as bigint) as cases,
+           cast(floor((cases - was) * i / gap) - floor((cases - was) * (i - 1) / gap) as bigint) as cases_delta
+    from (select case_type, country_region, combined_key, d, cases,
+                 coalesce(lag(cases) over k, 0) as was, coalesce(d - lag(d) over k, 1) as gap
+          from fx_places
+          window k as (partition by case_type, country_region, combined_key order by d)) g,
+         unnest(range(1, gap + 1)) t(i)"""
+# The total of a series is its last reading, and pooled increments are below zero only if that is.
+_BODIES["delta_monotone"] = """
+    select user_id, case_type, count(*) as days, cast(arg_max(reading, day) as bigint) as total, 0 as below
+    from (select user_id, case_type, day, max(reading) as reading from fx_readings group by user_id, case_type, day) r
+    group by user_id, case_type"""
+_BODIES["fact_levels"] = """
+    select country_name, province_state, month, cast(grouping(country_name, province_state, month) as int) as level,
+           count(*) as days, cast(sum(confirmed_cases) as bigint) as confirmed_cases,
+           cast(sum(death_cases) as bigint) as death_cases
+    from (select *, cast(date_trunc('month', date) as date) as month from q_province_all) f
+    group by cube(country_name, province_state, month)"""
+_BODIES["spread_waves"] = """
+    select country_name, min(date) as first_date, max(date) as last_date, count(*) as days,
+           cast(sum(confirmed_cases) as bigint) as cases, max(confirmed_cases) as peak
+    from (select *, date - cast(row_number() over (partition by country_name order by date) as int) as island
+          from (select *, lag(confirmed_cases) over k < confirmed_cases and lag(date) over k = date - 1 as rising
+                from q_country_corrected where confirmed_cases is not null
+                window k as (partition by country_name order by date)) r
+          where rising) i
+    group by country_name, island having count(*) >= 2"""
+_BODIES["doubling_time"] = """
+    select country_name, date, sum_confirmed_cases, case when slope > 1e-12 and isfinite(slope) then ln(2) / slope end as doubling_days
+    from (select *, regr_slope(case when sum_confirmed_cases > 0 then ln(sum_confirmed_cases) end,
+                               date - date '2024-01-01') over (partition by country_name order by date
+                               range between interval 6 days preceding and current row) as slope
+          from q_country_corrected) g"""
+_BODIES["quality_whole"] = """
+    select check_name, dimension_count, fact_count,
+           dimension_count - fact_count between 0
+               and (case when check_name in ('dates', 'province_dates') then 1 else 0 end) as passed
+    from (select 'countries' as check_name,
+                 (select count(distinct country_region) from q_dim_country) as dimension_count,
+                 (select count(distinct country_name) from q_country_corrected) as fact_count
+          union all
+          select 'dates', (select count(distinct d) from fx_cases),
+                 (select count(distinct date) from q_country_corrected)
+          union all
+          select 'provinces',
+                 (select count(*) from (select distinct province_state from q_province_usa) p)
+                 + (select count(*) from (select distinct province_state from q_province_brazil) p),
+                 (select count(*) from (select distinct country_name, province_state from q_province_all) p)
+          union all
+          select 'province_dates', (select count(distinct d) from fx_cases),
+                 (select count(distinct date) from q_province_all)
+          union all
+          select 'source:world', (select count(distinct country_region) from fx_cases),
+                 (select count(distinct country_name) from q_country_corrected)
+          union all
+          select 'source:brazil', (select count(distinct state) from fx_brazil where place_type = 'state'),
+                 (select count(distinct province_state) from q_brazil_province)
+          union all
+          select 'source:usa', (select count(distinct state_name) from fx_usa),
+                 (select count(distinct province_state) from q_usa_province)) t"""
 _BODIES["input_check_observed"] = _BODIES["input_check"]
 _BODIES["scan_rejects"] = """
     select 'cases' as "column", cast(cases as varchar) || '?' as value, 'no whole number' as reason,

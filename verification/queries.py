@@ -10,15 +10,17 @@ from pyspark.sql import functions as F
 from daytally import schemas
 from daytally.functions import date_parts, date_text, parse_mdy, to_mdy
 from daytally.operators import (
-    daily_delta, distinct_delta, join_lookup, pair_totals, preview, union_tables,
+    daily_delta, distinct_delta, join_lookup, pair_totals, preview, risen_delta, spread_delta,
+    union_tables,
 )
 from daytally.plans import analyses, dims, facts, quality
 from daytally.plans.build import Sources, build_lake, compact_lake, open_lake
 from daytally.plans.daily import DailyIncrements
+from daytally.plans.levels import fact_levels
 from daytally.sinks import drop_table, read_table, roll_back, scratch_dir, with_month, write_table
 from daytally.sources import (
-    LandedFiles, choose_form, input_check, land, parse_csv, parse_json, read_csv, read_inferred,
-    read_json, repeated_days, watch,
+    LandedFiles, choose_form, input_check, land, land_bucketed, parse_csv, parse_json, read_csv,
+    read_inferred, read_json, repeated_days, watch,
 )
 
 from .standins import AS_OF, BRAZIL, USA, StandIns
@@ -417,6 +419,29 @@ def delta_carry(s):
     return table.increments()
 
 
+@query
+def delta_bucketed(s):
+    rows = facts.world_days(s.world_by_customer)
+    landed = land_bucketed(rows, scratch_dir(s.spark, "bucketed"), facts.WORLD_KEYS, "day", 8)
+    return daily_delta(landed, facts.WORLD_KEYS, "day", ["cases"], "lag")
+
+
+@query
+def delta_gaps(s):
+    rows = facts.world_days(s.world_by_customer)
+    return spread_delta(rows, facts.WORLD_KEYS, "day", ["cases"])
+
+
+@query
+def delta_monotone(s):
+    """Each customer's largest reading of a day: they rise and fall, so increments are pooled."""
+    days = s.readings.groupBy("user_id", "case_type", "day").agg(F.max("reading").alias("reading"))
+    risen = risen_delta(days, ["user_id", "case_type"], "day", "reading")
+    whole = risen.groupBy("user_id", "case_type").agg(
+        F.count("*").alias("days"), F.sum("reading_delta").alias("total"), F.count_if(F.col("reading_delta") < 0).alias("below"))
+    return whole
+
+
 # --- aggregations ------------------------------------------------------------------------------
 
 
@@ -452,6 +477,11 @@ def agg_conditional(s):
     )
 
 
+@query
+def fact_levels_(s):
+    return fact_levels(fact_province_all(s))
+
+
 @query
 def count_distinct(s):
     return s.world_by_customer.agg(
@@ -673,6 +703,13 @@ def quality_lake(s):
     return quality.lake_report(*written.values(), aliases=ALIASES)
 
 
+@query
+def quality_whole(s):
+    """The report of a corrected run, with what has arrived of each source."""
+    root = scratch_dir(s.spark, "run")
+    return build_lake(s.spark, _raw_files(s), f"{root}/snapshot", f"{root}/lake", AS_OF, corrected=True)
+
+
 @query
 def compare_countries(s):
     return analyses.compare_countries(
@@ -697,6 +734,16 @@ def countries_reached(s):
     return analyses.countries_reached(fact_country_corrected(s))
 
 
+@query
+def spread_waves(s):
+    return analyses.waves(fact_country_corrected(s))
+
+
+@query
+def doubling_time(s):
+    return analyses.doubling_time(fact_country_corrected(s))
+
+
 @query
 def mortality_rate(s):
     return analyses.mortality_rate(fact_country_corrected(s))
