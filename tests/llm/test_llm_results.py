@@ -365,3 +365,57 @@ def test_search_equals_plain_bm25_however_items_are_dealt(spark, monkeypatch, sh
     assert all(np.allclose(got[k], want[k], atol=1e-9) for k in want)
     kept = {r.doc_id for r in decontamination.clean_rows(*frames).collect()}
     assert kept == set(docs) - {d for d, _ in want}
+
+
+def test_html_streams_are_aligned_in_order():
+    import random
+
+    rng = random.Random(6)
+    for _ in range(300):
+        left = [rng.choice("abcdef") for _ in range(rng.randrange(12))]
+        right = [c for c in left if rng.random() < 0.8] + [rng.choice("abxy") for _ in range(rng.randrange(3))]
+        i = k = 0
+        for same, a, b, c, d in html_text.matched(left, right):
+            assert (a, c) == (i, k) and (not same or left[a:b] == right[c:d])
+            i, k = b, d
+        assert (i, k) == (len(left), len(right))
+    assert [x[0] for x in html_text.matched(list("axbyc"), list("abzc"))] == [True, False, True, False, True]
+
+
+def _html_pages(spark, htmls, url="http://paper.org/"):
+    rows = [(i, f"{url}{i}", html) for i, html in enumerate(htmls)]
+    return {r.page_id: r.text for r in html_text.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+
+
+def test_html_template_and_names_inside_the_article(spark):
+    """A notice that all pages have goes, whatever its name; blocks whose names only sound like something else stay."""
+    def page(i):
+        return (f'<body><nav><a>Home</a></nav><article><h1>Story {i}</h1><p>Text {i} of this story.</p><div class="box7">Subscribe to our paper today!</div>'
+                f'<div class="long-form"><p>A longer part {i}.</p></div><p class="alert-story">What happened {i}.</p><div class="alert-box">Careful {i}</div>'
+                f'<div class="comment-list"><p>I like {i}</p></div><p>Same line, twice a page.</p><p>Same line, twice a page {i}.</p></article></body>')
+    got = _html_pages(spark, [page(i) for i in range(8)])
+    for i in range(8):
+        assert got[i] == f"Story {i}\nText {i} of this story.\nA longer part {i}.\nWhat happened {i}.\nSame line, twice a page {i}."
+
+
+def test_html_copies_of_a_page_keep_their_text(spark):
+    body = "<body><article><h1>One</h1><p>All of it is the same.</p><p>Everywhere.</p></article><p>{}</p></body>"
+    got = _html_pages(spark, [body.format("")] * 4 + [body.format(i) for i in range(4)])
+    assert set(got.values()) == {"One\nAll of it is the same.\nEverywhere."}
+    again = "<body><article><h1>{0}</h1>" + "<p>Chorus.</p>" * 5 + "<p>Verse {0} is a long one.</p></article></body>"
+    assert _html_pages(spark, [again.format(i) for i in range(2)])[0].count("Chorus.") == 5
+
+
+def test_html_two_layouts_of_a_large_host(spark):
+    """Every twentieth of 1,000 pages has its text elsewhere, and a long list of links where the others have theirs."""
+    words = [f"word{i}" for i in range(50)]
+
+    def page(i):
+        text = " ".join(words[(i * 7 + k) % 50] for k in range(12))
+        if i % 20:
+            return f'<body><div class="main"><p>{text} {i}.</p><p>More {i}.</p></div><div class="side9"><p>Link {i}</p></div></body>'
+        links = "".join(f"<p>Go to {i * k}</p>" for k in range(30))
+        return f'<body><div class="story"><h2>Report {i}</h2><p>{text} {i}.</p><p>{text} {text} {text} {text}.</p></div><div class="main">{links}</div><div class="story"><p>{text} end.</p></div></body>'
+    got = _html_pages(spark, [page(i) for i in range(1000)], "http://big.org/")
+    assert all(got[i].endswith(f"More {i}.") and got[i].count("\n") == 1 for i in range(1000) if i % 20)
+    assert all("Report" in got[i] and f"{i}." in got[i] for i in range(0, 1000, 20))
