@@ -29,12 +29,13 @@ import functools
 import hashlib
 import heapq
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
-from itertools import chain
 from operator import add
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .common import table
@@ -43,7 +44,7 @@ MARK = "▁"
 #: Bytes of a vocabulary's file; characters of a short stretch, how many of them are merged at a time, and how many are kept.
 LARGEST, SHORT, TOGETHER, KEPT = 64 << 20, 48, 4096, 1 << 18
 #: Characters that the library gets at once, one whole text at least.
-BLOCK = 1 << 19
+BLOCK = 1 << 20
 #: Fixed values of the format: kinds of pieces.
 NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6
 UNKNOWN_TEXT = " ⁇ "
@@ -223,46 +224,61 @@ class Vocabulary:
                 out.extend(self.bytes[b] for b in symbol.encode())
         return np.array(out, np.int32).tobytes()
 
-    def _learn(self, wanted: set[str]) -> list[str]:
-        """Put the ids of all ``wanted`` stretches, which ``kept`` lacks, there; returns the long ones.
-        What was used since the one before last ``KEPT`` were new is still at hand."""
-        new = []
-        for stretch in wanted:
-            ids = self.kept_before.get(stretch)
-            if ids is None:
-                new.append(stretch)
-            else:
-                self.kept[stretch] = ids
-        new.sort(key=len)
-        long = [s for s in new if len(s) > SHORT]
-        for at in range(0, len(new) - len(long), TOGETHER):
-            short = new[at: min(at + TOGETHER, len(new) - len(long))]
-            self.kept.update(zip(short, self.merged_together(short)))
-        self.kept.update((s, self.merged(s)) for s in long)
-        return long
-
-    def cut(self, text: str) -> list[str]:
-        """Stretches of a text. With single blanks only, its words are stretches already (see ``words``)."""
-        if not text:
-            return []
-        if self.words and text[0] != " " and text[-1] != " " and "  " not in text and MARK not in text:
-            return f" {text}".replace(" ", f" {MARK}")[1:].split(" ")
-        return self.stretches.findall(self.first + text.replace(" ", MARK))
+    def _learn(self, wanted: set[str]) -> dict[str, bytes]:
+        """The ids of all ``wanted`` stretches, which ``kept`` lacks; short ones are kept. What was used
+        since the one before last ``KEPT`` were new is still at hand."""
+        found = {s: ids for s in wanted if (ids := self.kept_before.get(s)) is not None}
+        new = sorted(wanted - found.keys(), key=len)
+        n_short = bisect_right(new, SHORT, key=len)
+        for at in range(0, n_short, TOGETHER):
+            short = new[at: min(at + TOGETHER, n_short)]
+            found.update(zip(short, self.merged_together(short)))
+        self.kept.update(found)
+        return found | {s: self.merged(s) for s in new[n_short:]}
+
+    def _ids(self, wanted: list[str]) -> list[bytes]:
+        """The ids of each of ``wanted`` stretches."""
+        found = list(map(self.kept.get, wanted))
+        lacking = {s for s, ids in zip(wanted, found) if ids is None}
+        if lacking:
+            new = self._learn(lacking)
+            found = [ids or new[s] for s, ids in zip(wanted, found)]
+        return found
+
+    def _plain(self, text: str) -> bool:
+        """Whether a text has single blanks only and between words, so that its words are its stretches (see ``words``)."""
+        return self.words and bool(text) and text[0] != " " and text[-1] != " " and "  " not in text and MARK not in text
+
+    def _of_words(self, texts: list[str]) -> Iterator[list[int]]:
+        """The ids of plain texts: different words are looked up once and then dealt out in arrays."""
+        split = pc.split_pattern(pa.array(texts, pa.large_string()), " ")
+        words = split.flatten().dictionary_encode()
+        ids = self._ids([MARK + w for w in words.dictionary.to_pylist()])
+        sizes = np.array([len(x) for x in ids], np.int64) // 4
+        starts, flat = np.cumsum(sizes) - sizes, np.frombuffer(b"".join(ids), np.int32)
+        place = words.indices.to_numpy(zero_copy_only=False)
+        many = sizes[place]
+        ends = np.cumsum(many)
+        dealt = flat[np.repeat(starts[place] - ends + many, many) + np.arange(ends[-1])]
+        bounds = np.concatenate([[0], ends])[split.offsets.to_numpy(zero_copy_only=False)].tolist()
+        for a, b in zip(bounds, bounds[1:]):
+            yield dealt[a:b].tolist()
 
     def encode_all(self, texts: list[str]) -> list[list[int]]:
         """The ids of each text, the end id last."""
         if len(self.kept) > KEPT:
             self.kept, self.kept_before = {}, self.kept
-        cut = [self.cut(text) for text in texts]
-        found = [list(map(self.kept.get, stretches)) for stretches in cut]
-        lacking = [i for i, ids in enumerate(found) if None in ids]
-        long = self._learn({s for i in lacking for s, ids in zip(cut[i], found[i]) if ids is None})
-        for i in lacking:
-            found[i] = [ids or self.kept[s] for s, ids in zip(cut[i], found[i])]
-        end = np.array([self.end], np.int32).tobytes()
-        out = [np.frombuffer(b"".join([*ids, end]), np.int32).tolist() for ids in found]
-        for stretch in long:
-            del self.kept[stretch]
+        plain = [self._plain(text) for text in texts]
+        words = self._of_words([t for t, p in zip(texts, plain) if p]) if any(plain) else iter(())
+        out = []
+        for text, is_plain in zip(texts, plain):
+            if is_plain:
+                ids = next(words)
+            else:
+                cut = self.stretches.findall(self.first + text.replace(" ", MARK)) if text else []
+                ids = np.frombuffer(b"".join(self._ids(cut)), np.int32).tolist()
+            ids.append(self.end)
+            out.append(ids)
         return out
 
     def encode(self, text: str) -> list[int]:
