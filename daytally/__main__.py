@@ -19,12 +19,13 @@ def main() -> None:
     args.add_argument("--since", type=dt.date.fromisoformat)
     args.add_argument("--layout", choices=sorted(LAYOUTS), default="day")
     args.add_argument("--corrected", action="store_true")
+    args.add_argument("--increments", choices=["lag", "spread", "risen"], default="lag")
     got = args.parse_args()
     spark = SparkSession.builder.appName("daytally").getOrCreate()
     sources = Sources(got.world, got.brazil, got.provinces, got.usa)
     report = build_lake(
         spark, sources, got.snapshot, got.lake, got.as_of, got.since, got.corrected,
-        got.layout,
+        got.layout, got.increments,
     )
     report.show(truncate=False)
     if report.where("not passed").count():

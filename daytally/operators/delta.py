@@ -23,8 +23,15 @@ from operator import and_
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from .gaps import risen_delta, spread_delta
+
 # The name of a form, or the keys to treat apart (see distinct_delta).
 Form = str | DataFrame
+# Forms that give other increments than readings of neighbouring days do.
+OTHER = {
+    "spread": lambda df, keys, date, measures: spread_delta(df, keys, date, measures).drop("gap"),
+    "risen": risen_delta,
+}
 
 
 def _delta(m: str) -> str:
@@ -91,9 +98,12 @@ def distinct_delta(
 
     ``how`` is ``"lag"`` for one row per key and day, ``"join"`` for any input, or a table of
     the keys that have repeated days, as ``sources.choose_form`` finds them: those are joined
-    and all other places go through the lag form.
+    and all other places go through the lag form. ``"spread"`` and ``"risen"`` give other increments, those of
+    ``spread_delta`` and ``risen_delta``, and need one row per key and day.
     """
     rows = df.select(*keys, date, *measures)
+    if how in OTHER:
+        return OTHER[how](rows, keys, date, measures)
     if isinstance(how, DataFrame):
         steady, others = _apart(rows, keys, how)
         return distinct_delta(steady, keys, date, measures, "lag").unionByName(
@@ -127,6 +137,8 @@ def pair_totals(
         return pair_totals(steady, keys, date, measures, "lag").unionByName(
             pair_totals(others, keys, date, measures, "join")
         )
+    if how in OTHER:
+        return OTHER[how](df, keys, date, measures)
     if how == "lag":
         return daily_delta(df, keys, date, measures, how)
     if how != "join":

@@ -69,25 +69,35 @@ def _pooled(increments: Column) -> Column:
     return F.aggregate(increments, F.array().cast(block), push)
 
 
-def risen_delta(df: DataFrame, keys: list[str], date: str, measure: str) -> DataFrame:
-    """Columns ``keys, date, measure`` and ``<measure>_delta`` for each row of ``df`` with a reading, none of the
-    increments below zero unless the total of its key is.
+def risen_delta(df: DataFrame, keys: list[str], date: str, measures: list[str]) -> DataFrame:
+    """Columns ``keys, date``, each measure ``m`` and ``m_delta`` for each row of ``df`` with a reading, no
+    increment below zero unless the total of its key is.
 
     Needs one row per key and day; the first increment is the first reading. Increments are pooled as by
     pool-adjacent-violators: a negative one joins the days before until their sum is not below zero, and
-    each pool is spread over its days in whole numbers. The last reading of a key stays what it was.
-    A key's days are brought into one row, which holds two numbers for each.
+    each pool is spread over its days in whole numbers. The last reading of a key stays what it was. A day
+    whose reading is null has no increment of that measure, and none of any if all are null.
+    A key's days are brought into one row, which holds a date and a number for each and measure.
     """
-    rows = df.select(*keys, date, measure).dropna(subset=[*keys, date, measure])
-    series = rows.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct(F.col(date).alias("d"), F.col(measure).alias("v")))).alias("days"))
-    values = F.transform("days", lambda x: x["v"])
-    increments = F.transform(values, lambda v, i: v - F.when(i > 0, F.get(values, i - 1)).otherwise(0))
-    spread = F.flatten(F.transform(_pooled(increments), lambda b: F.transform(
-        F.sequence(F.lit(1), b["days"]),
-        lambda i: (_share(b["sum"], i, b["days"]) - _share(b["sum"], i - 1, b["days"])).cast("bigint"))))
-    dates = F.transform("days", lambda x: x["d"])
-    paired = series.select(*keys, F.explode(F.arrays_zip(dates.alias("d"), spread.alias("delta"))).alias("x"))
+    rows = df.select(*keys, date, *measures).dropna(subset=[*keys, date]).dropna(how="all", subset=measures)
+
+    def days(m: str) -> Column:
+        known = F.when(F.col(m).isNotNull(), F.struct(F.col(date).alias("d"), F.col(m).alias("v")))
+        return F.array_sort(F.collect_list(known)).alias(m)
+
+    def placed(m: str) -> Column:
+        values = F.transform(m, lambda x: x["v"])
+        increments = F.transform(values, lambda v, i: v - F.when(i > 0, F.get(values, i - 1)).otherwise(0))
+        spread = F.flatten(F.transform(_pooled(increments), lambda b: F.transform(
+            F.sequence(F.lit(1), b["days"]),
+            lambda i: (_share(b["sum"], i, b["days"]) - _share(b["sum"], i - 1, b["days"])).cast("bigint"))))
+        pairs = F.arrays_zip(F.transform(m, lambda x: x["d"]).alias("d"), spread.alias("delta"))
+        return F.transform(pairs, lambda x: F.struct(F.lit(m).alias("m"), x["d"].alias("d"), x["delta"].alias("delta")))
+
+    series = rows.groupBy(*keys).agg(*[days(m) for m in measures])
+    each = series.select(*keys, F.explode(F.concat(*[placed(m) for m in measures])).alias("x"))
+    wide = each.groupBy(*keys, F.col("x.d").alias(date)).agg(
+        *[F.max(F.when(F.col("x.m") == m, F.col("x.delta"))).alias(f"{m}_delta") for m in measures])
     so_far = Window.partitionBy(*keys).orderBy(date).rowsBetween(Window.unboundedPreceding, 0)
-    delta = f"{measure}_delta"
-    return paired.select(*keys, F.col("x.d").alias(date), F.col("x.delta").alias(delta)).select(
-        *keys, date, delta, F.sum(delta).over(so_far).alias(measure))
+    totals = [F.when(F.col(f"{m}_delta").isNotNull(), F.sum(f"{m}_delta").over(so_far)).alias(m) for m in measures]
+    return wide.select(*keys, date, *[f"{m}_delta" for m in measures], *totals)

@@ -143,13 +143,18 @@ def build_tables(
     since: dt.date | None = None,
     forms: facts.Forms = facts.ANY_SOURCE,
     corrected: bool = False,
+    increments: str = "lag",
 ) -> dict[str, DataFrame]:
     """The five tables. ``since`` limits the facts to days from then on, and the time dimension
     to whole months that cover them.
 
     ``corrected=True`` counts every place once a day, with the largest of its readings, and takes
     the detailed countries from their own sources only; the default gives what existing tables hold.
+    Its ``increments`` may also be ``"spread"`` or ``"risen"`` (see ``facts.one_reading_forms``); these
+    need all days of a place, so they go without ``since``.
     """
+    if increments != "lag" and (since is not None or not corrected):
+        raise ValueError(f"{increments!r} increments need a corrected run over all days")
     world, brazil, provinces = inputs["world"], inputs["brazil"], inputs["provinces"]
     late, times = inputs, world
     if since is not None:
@@ -157,7 +162,7 @@ def build_tables(
         times = _from_day(inputs, _first_landed_day(since))["world"]
     if corrected:
         late = facts.one_reading(late["world"], late["brazil"], late["usa"])
-        forms = facts.ONE_READING
+        forms = facts.one_reading_forms(increments)
     world_options = {"places": "each", "no_confirmed": facts.DETAILED} if corrected else {}
     return {
         "dim_country": dims.dim_country(world, as_of),
@@ -204,6 +209,7 @@ def build_lake(
     since: dt.date | None = None,
     corrected: bool = False,
     layout: str = "day",
+    increments: str = "lag",
 ) -> DataFrame:
     """Run everything and return the quality report of the written tables.
 
@@ -222,6 +228,8 @@ def build_lake(
     day; with ``since`` the whole of its month is then loaded again. Each run may choose its layout.
     """
     lake, folders = lake.rstrip("/"), LAYOUTS[layout]
+    if increments != "lag" and (since is not None or not corrected):
+        raise ValueError(f"{increments!r} increments need a corrected run over all days")
     if since is not None and layout == "month":
         since = since.replace(day=1)
     name = _run_name("full" if since is None else f"since-{since}")
@@ -232,7 +240,7 @@ def build_lake(
     if lost:
         raise ValueError(f"{'; '.join(lost)} (see {run}/checks)")
     forms = facts.ONE_READING if corrected else increment_forms(inputs, run)
-    tables = build_tables(inputs, as_of, since, forms, corrected)
+    tables = build_tables(inputs, as_of, since, forms, corrected, increments)
     parts = _parts(name, layout, since)
     # Independent writes run together, so that each fills what the others leave idle.
     with ThreadPoolExecutor(len(tables)) as together:

@@ -26,6 +26,14 @@ Forms = Mapping[str, Form]
 ANY_SOURCE: Forms = {"world": "join", "brazil": "join", "usa": "join"}
 ONE_READING: Forms = {"world": "lag", "brazil": "lag", "usa": "lag"}
 
+
+def one_reading_forms(increments: str = "lag") -> Forms:
+    """The form for sources with one reading a place and day: ``"lag"``, or ``"spread"`` to keep first days and
+    days after gaps, or ``"risen"`` to have no increment below zero."""
+    if increments not in ("lag", "spread", "risen"):
+        raise ValueError(f"increments must be 'lag', 'spread' or 'risen', not {increments!r}")
+    return dict.fromkeys(ONE_READING, increments)
+
 BRAZIL_KEYS = ["state"]
 BRAZIL_COUNTS = ["last_available_confirmed", "last_available_deaths"]
 USA_KEYS = ["state_name", "state_fips"]

@@ -1,3 +1,4 @@
+from .cluster import write_clustered
 from .lake import drop_table, read_table, with_month, write_table
 from .scratch import scratch_dir
 from .versions import (
@@ -6,5 +7,6 @@ from .versions import (
 
 __all__ = [
     "LakeChanged", "Part", "Version", "commit", "drop_table", "read_parts", "read_table",
-    "read_version", "remove_old", "roll_back", "run_path", "scratch_dir", "with_month", "write_table",
+    "read_version", "remove_old", "roll_back", "run_path", "scratch_dir", "with_month",
+    "write_clustered", "write_table",
 ]

@@ -14,6 +14,7 @@ from daytally.plans import build
 from daytally.plans.build import (
     Sources, build_lake, check_inputs, compact_lake, increment_forms, land_sources, open_lake,
 )
+from daytally.plans.sketches import sketch_lake, sketched_counts
 from daytally.sinks import LakeChanged, commit, read_version, remove_old, roll_back, write_table
 
 WORLD_HEAD = ("Country_Region,Province_State,iso2,iso3,Case_Type,Cases,Population_Count,"
@@ -300,3 +301,42 @@ def test_second_of_two_runs_at_a_time_is_refused(spark, tmp_path):
         commit(spark, lake, "two", {}, base)
     (tmp_path / "lake" / "versions" / "3.claim").touch()  # of a run that died while it committed
     assert commit(spark, lake, "three", {}, read_version(spark, lake)).number == 4
+
+
+def test_counts_from_sketches_only(spark, tmp_path):
+    lake, snapshot = str(tmp_path / "lake"), str(tmp_path / "snapshot")
+    build_lake(spark, raw(tmp_path / "in1", range(1, 6)), snapshot, lake, as_of=day(2))
+    assert len(sketch_lake(spark, lake)) == 5 and sketch_lake(spark, lake) == []
+    build_lake(spark, raw(tmp_path / "in2", range(1, 9)), snapshot, lake, as_of=day(2), since=day(6))
+    assert len(sketch_lake(spark, lake)) == 5
+
+    def counts(**options):
+        found = sketched_counts(spark, lake, **options)
+        assert found.inputFiles() and all("/sketches/" in f for f in found.inputFiles())
+        return {(r["table_name"], r["column_name"]): r["estimate"] for r in found.collect()}
+
+    fact, provinces = "fact_covid_country", "fact_covid_country_province"
+    now = counts()
+    assert now[fact, "dates"] == 7 and now[fact, "countries"] == 3 and now[provinces, "provinces"] == 2 and now["dim_time", "dates"] == 8
+    assert now["dim_country", "countries"] == 3 and now["dim_province", "provinces"] == 2
+    assert counts(version=2)[fact, "dates"] == 4
+    assert counts(since=day(3), until=day(6))[fact, "dates"] == 4
+
+
+def test_corrected_run_over_gaps_and_falls(spark, tmp_path):
+    sources = raw(tmp_path / "in", range(1, 4))
+    with open(sources.world, "a") as f:
+        for n, cases in ((1, 5), (2, 9), (5, 21), (6, 18)):
+            f.write(f"Peru,P,P2,P3,Confirmed,{cases},100,\"P, Peru\",{to_mdy(day(n))},0\n")
+    found = {}
+    for kind in ("lag", "spread", "risen"):
+        lake = str(tmp_path / kind)
+        build_lake(spark, sources, str(tmp_path / "s"), lake, day(2), corrected=True, increments=kind)
+        fact = open_lake(spark, lake)["fact_covid_country"]
+        found[kind] = rows(fact.where("country_name = 'Peru'"), "date", "confirmed_cases", "sum_confirmed_cases")
+        assert (kind == "lag") != (fact.where("country_name = 'Brazil'").count() == 3)
+    assert found["lag"] == [(day(2), 4, 9), (day(6), -3, 18)]
+    assert found["spread"] == [(day(1), 5, 5), (day(2), 4, 9), (day(3), 4, 13), (day(4), 4, 17), (day(5), 4, 21), (day(6), -3, 18)]
+    assert found["risen"] == [(day(1), 5, 5), (day(2), 4, 9), (day(5), 4, 13), (day(6), 5, 18)]
+    with pytest.raises(ValueError, match="all days"):
+        build_lake(spark, sources, str(tmp_path / "s"), lake, day(2), increments="spread")

@@ -54,7 +54,7 @@ def test_falling_series_are_pooled(spark, seed):
             level += rng.choice([-9, -2, 0, 1, 1, 3, 8])
             days[n] = level
         found[p] = days
-    got = rows(risen_delta(series(spark, found), ["place"], "date", "cases"), "place", "date", "cases_delta", "cases")
+    got = rows(risen_delta(series(spark, found), ["place"], "date", ["cases"]), "place", "date", "cases_delta", "cases")
     want = []
     for p, days in found.items():
         total = 0
@@ -67,8 +67,8 @@ def test_falling_series_are_pooled(spark, seed):
 
 def test_rows_without_reading_key_or_date(spark):
     df = series(spark, {"a": {1: 3, 2: None, 3: 1}, None: {1: 1}})
-    assert rows(risen_delta(df, ["place"], "date", "cases")) == [("a", day(1), 0, 0), ("a", day(3), 1, 1)]
-    assert risen_delta(df.limit(0), ["place"], "date", "cases").count() == 0
+    assert rows(risen_delta(df, ["place"], "date", ["cases"])) == [("a", day(1), 0, 0), ("a", day(3), 1, 1)]
+    assert risen_delta(df.limit(0), ["place"], "date", ["cases"]).count() == 0
 
 
 def test_all_levels_in_one_pass(spark):
@@ -113,3 +113,10 @@ def test_increments_of_a_bucketed_copy_need_no_shuffle(spark, tmp_path):
     assert rows(delta) == rows(daily_delta(df, ["place"], "date", ["cases"], "join"))
     per_place = landed.groupBy("place").agg(F.max("cases"))
     assert "Exchange" not in per_place._jdf.queryExecution().executedPlan().toString()
+
+
+def test_several_measures_rise_each_by_itself(spark):
+    schema = _struct("place string, date date, c bigint, x bigint")
+    data = [("a", day(1), 5, None), ("a", day(2), 3, 4), ("a", day(3), None, None), ("a", day(4), 9, 3)]
+    got = rows(risen_delta(spark.createDataFrame(data, schema), ["place"], "date", ["c", "x"]), "date", "c_delta", "x_delta", "c", "x")
+    assert got == [(day(1), 1, None, 1, None), (day(2), 2, 1, 3, 1), (day(4), 6, 2, 9, 3)]

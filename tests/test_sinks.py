@@ -5,7 +5,7 @@ from conftest import day, rows
 from pyspark.sql import functions as F
 
 from daytally import schemas
-from daytally.sinks import read_table, scratch_dir, with_month, write_table
+from daytally.sinks import read_table, scratch_dir, with_month, write_clustered, write_table
 
 FACT = "country_name string, date date, confirmed_cases bigint, death_cases bigint, " \
        "sum_confirmed_cases bigint, sum_death_cases bigint"
@@ -80,3 +80,38 @@ def test_scratch_lies_in_the_shared_folder(spark):
     shared = spark.conf.get("spark.checkpoint.dir")
     one, two = scratch_dir(spark, "x"), scratch_dir(spark, "x")
     assert one.startswith(shared + "/") and one != two
+
+
+def scanned(df):
+    """The result's rows, and how many rows the scan took from the files."""
+    found = df.collect()
+    scan = df._jdf.queryExecution().executedPlan().collectLeaves().apply(0)
+    return found, scan.metrics().apply("numOutputRows").value()
+
+
+def test_clustered_table_reads_few_files_both_ways(spark, tmp_path):
+    """256 places on 128 days in 64 files; a third of the rows are of one place."""
+    path = str(tmp_path / "t")
+    days = spark.range(256 * 128).select(
+        F.concat(F.lit("place "), F.col("id") % 256).alias("place"), F.date_add(F.lit(day(1)), (F.col("id") / 256).cast("int")).alias("date"), F.col("id").alias("n"))
+    hot = spark.range(16_000).select(F.lit("hot").alias("place"), F.date_add(F.lit(day(1)), (F.col("id") % 128).cast("int")).alias("date"), F.col("id").alias("n"))
+    df = days.unionByName(hot)
+    write_clustered(df, path, "place", "date", 64)
+    back = spark.read.schema(df.schema).parquet(path)
+    assert rows(back) == rows(df)
+    sizes = [r["count"] for r in back.groupBy(F.col("_metadata.file_path")).count().collect()]
+    assert len(sizes) <= 64 and max(sizes) < 4 * sum(sizes) / 64
+    whole = df.count()
+    for n in (3, 77, 200):
+        found, read = scanned(back.where(F.col("place") == f"place {n}"))
+        assert len(found) == 128 and read < whole / 3
+        found, read = scanned(back.where(F.col("date") == F.lit(day(n % 128 + 1))))
+        assert len(found) == 256 + 125 and read < whole / 3
+
+
+def test_clustered_table_of_few_or_no_rows(spark, tmp_path):
+    schema = "place string, date date"
+    for i, data in enumerate(([], [(None, None)], [("a", day(1)), (None, day(2)), ("b", None)])):
+        df = spark.createDataFrame(data, schema)
+        write_clustered(df, str(tmp_path / str(i)), "place", "date", 4)
+        assert rows(spark.read.schema(df.schema).parquet(str(tmp_path / str(i)))) == rows(df)

@@ -468,6 +468,49 @@ _BODIES["delta_monotone"] = """
     select user_id, case_type, count(*) as days, cast(arg_max(reading, day) as bigint) as total, 0 as below
     from (select user_id, case_type, day, max(reading) as reading from fx_readings group by user_id, case_type, day) r
     group by user_id, case_type"""
+
+
+def _spread(source: str, keys: str, measures: tuple[str, ...]) -> str:
+    """First days, and each day up to the next reading with its share of the change."""
+    lags = ", ".join(f"coalesce(lag({m}) over k, 0) as was_{m}" for m in measures)
+    shares = ", ".join(
+        f"cast(was_{m} + floor(({m} - was_{m}) * i / gap) as bigint) as {m}, "
+        f"cast(floor(({m} - was_{m}) * i / gap) - floor(({m} - was_{m}) * (i - 1) / gap) as bigint) as d_{m}" for m in measures)
+    return f"""
+        select {keys}, d + cast(i - gap as int) as d, {shares}
+        from (select *, {lags}, coalesce(d - lag(d) over k, 1) as gap from {source} s
+              window k as (partition by {keys} order by d)) g, unnest(range(1, gap + 1)) t(i)"""
+
+
+_BODIES["fact_country_spread"] = f"""
+    select case when state then 'Brazil' else 'United States' end as country_name, d as date,
+           cast(sum(d_c) as bigint) as confirmed_cases, cast(sum(d_x) as bigint) as death_cases,
+           cast(sum(c) as bigint) as sum_confirmed_cases, cast(sum(x) as bigint) as sum_death_cases
+    from (select true as state, d, c, x, d_c, d_x from ({_spread("(select state, date as d, c, x from q_states)", "state", ("c", "x"))}) b
+          union all
+          select false, d, c, x, d_c, d_x from ({_spread(
+              "(select state_name, state_fips, date as d, cases as c, deaths as x from fx_usa)", "state_name, state_fips", ("c", "x"))}) u) w
+    group by state, d
+    union all
+    select country_region, d, cast(sum(case when case_type = 'Confirmed' then d_cases end) as bigint),
+           cast(sum(case when case_type = 'Deaths' then d_cases end) as bigint),
+           cast(sum(case when case_type = 'Confirmed' then cases end) as bigint),
+           cast(sum(case when case_type = 'Deaths' then cases end) as bigint)
+    from ({_spread("(select case_type, country_region, combined_key, d, cases from fx_cases)", "case_type, country_region, combined_key", ("cases",))}) p
+    where country_region not in ('NATION_19', 'NATION_10')
+    group by country_region, d"""
+_BODIES["countries_reached_late"] = """
+    select first_date as date, reached, cast(sum(reached) over (order by first_date) as bigint) as reached_so_far
+    from (select first_date, count(*) as reached
+          from (select country_name, min(date) as first_date from q_country_corrected
+                where sum_confirmed_cases > 0 and date >= date '2024-01-03'
+                      + 3 * (coalesce(try_cast(regexp_extract(country_name, '[0-9]+') as int), 0) % 5)
+                group by country_name) f
+          group by first_date) r"""
+_BODIES["sink_month_pruned"] = """
+    select * from (select case_type, country_region, combined_key, cases, cast(date_trunc('month', date) as date) as month, date
+          from (select *, cast(d + to_months(cast(split_part(combined_key, '/', 3) as int) % 3) as date) as date from fx_places) p) m
+    where month = date '2024-02-01'"""
 _BODIES["fact_levels"] = """
     select country_name, province_state, month, cast(grouping(country_name, province_state, month) as int) as level,
            count(*) as days, cast(sum(confirmed_cases) as bigint) as confirmed_cases,
@@ -529,6 +572,20 @@ _BODIES["scan_rejects_json"] = """
 _BODIES["lake_version"] = f"""
     select 1 as version, * from ({_BODIES["lake_build_country"]}) f
     union all select 2, * from ({_BODIES["lake_reload_withdrawn"]}) f"""
+_BODIES["lake_clustered"] = """
+    select w.way, p.case_type, p.country_region, p.combined_key, p.d as day, p.cases
+    from fx_places p join (select unnest(['key', 'keys', 'day']) as way) w
+      on (w.way = 'key' and p.combined_key = 'NATION_19/BUILDING/1')
+      or (w.way = 'keys' and starts_with(p.combined_key, 'NATION_10/'))
+      or (w.way = 'day' and p.d = date '2024-01-19')"""
+_BODIES["count_sketched"] = f"""
+    select 'fact_covid_country' as table_name, 'countries' as column_name,
+           count(distinct case country_name when 'United States' then 'US' else country_name end) as exact, true as near
+    from ({_BODIES["lake_reload_withdrawn"]}) f
+    union all select 'fact_covid_country', 'dates', count(distinct date), true from ({_BODIES["lake_reload_withdrawn"]}) f
+    union all select 'fact_covid_country_province', 'provinces', count(*), true
+    from (select distinct country_name, province_state from q_province_all) p
+    union all select 'dim_time', 'dates', count(distinct date_key), true from q_times where country_region = 'NATION_19'"""
 _BODIES["lake_rollback"] = _BODIES["lake_build_country"]
 _BODIES["lake_compacted"] = _BODIES["lake_reload_withdrawn"]
 

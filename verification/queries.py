@@ -10,14 +10,17 @@ from pyspark.sql import functions as F
 from daytally import schemas
 from daytally.functions import date_parts, date_text, parse_mdy, to_mdy
 from daytally.operators import (
-    daily_delta, distinct_delta, join_lookup, pair_totals, preview, risen_delta, spread_delta,
+    daily_delta, distinct_delta, join_lookup, pair_totals, preview, renamed, risen_delta, spread_delta,
     union_tables,
 )
 from daytally.plans import analyses, dims, facts, quality
 from daytally.plans.build import Sources, build_lake, compact_lake, open_lake
 from daytally.plans.daily import DailyIncrements
 from daytally.plans.levels import fact_levels
-from daytally.sinks import drop_table, read_table, roll_back, scratch_dir, with_month, write_table
+from daytally.plans.sketches import sketch_lake, sketched_counts
+from daytally.sinks import (
+    drop_table, read_table, roll_back, scratch_dir, with_month, write_clustered, write_table,
+)
 from daytally.sources import (
     LandedFiles, choose_form, input_check, land, land_bucketed, parse_csv, parse_json, read_csv,
     read_inferred, read_json, repeated_days, watch,
@@ -217,6 +220,16 @@ def sink_by_month(s):
     return read_table(s.spark, path, schema).where(F.col("month") == F.lit(dt.date(2024, 1, 1)))
 
 
+@query
+def sink_month_pruned(s):
+    """Days over three months, of which one is read back."""
+    path = scratch_dir(s.spark, "places_by_month")
+    month = F.element_at(F.split("combined_key", "/"), -1).cast("int") % 3
+    rows = facts.world_days(s.world_by_customer).withColumn("date", F.add_months("day", month)).drop("day")
+    write_table(with_month(rows), path, ["country_region", "month"])
+    return read_table(s.spark, path, with_month(rows).schema).where(F.col("month") == F.lit(dt.date(2024, 2, 1)))
+
+
 @query
 def sink_append(s):
     path = scratch_dir(s.spark, "fact_country")
@@ -246,6 +259,19 @@ def lake_read_pruned(s):
     )
 
 
+@query
+def lake_clustered(s):
+    """A place's history and a day's places, from one table along a curve."""
+    path = scratch_dir(s.spark, "clustered")
+    rows = facts.world_days(s.world_by_customer)
+    write_clustered(rows, path, "combined_key", "day", 16)
+    back = s.spark.read.schema(rows.schema).parquet(path)
+    trace = back.where(F.col("combined_key") == F.lit("NATION_19/BUILDING/1"))
+    some = back.where(F.col("combined_key").startswith("NATION_10/"))
+    on_day = back.where(F.col("day") == F.lit(AS_OF))
+    return union_tables(*[df.withColumn("way", F.lit(way)) for way, df in (("key", trace), ("keys", some), ("day", on_day))])
+
+
 @query
 def preview_n(s):
     order = ["country_region", "combined_key", "case_type", "cases"]
@@ -436,7 +462,7 @@ def delta_gaps(s):
 def delta_monotone(s):
     """Each customer's largest reading of a day: they rise and fall, so increments are pooled."""
     days = s.readings.groupBy("user_id", "case_type", "day").agg(F.max("reading").alias("reading"))
-    risen = risen_delta(days, ["user_id", "case_type"], "day", "reading")
+    risen = risen_delta(days, ["user_id", "case_type"], "day", ["reading"])
     whole = risen.groupBy("user_id", "case_type").agg(
         F.count("*").alias("days"), F.sum("reading_delta").alias("total"), F.count_if(F.col("reading_delta") < 0).alias("below"))
     return whole
@@ -679,6 +705,23 @@ def fact_province_all(s):
     )
 
 
+@query
+def fact_country_spread(s):
+    """The corrected fact with first days and the days of gaps."""
+    late = facts.one_reading(s.world, s.brazil, s.usa)
+    return facts.country_fact(
+        late["world"], late["brazil"], late["usa"], facts.one_reading_forms("spread"), places="each", no_confirmed=DETAILED,
+        no_deaths=DETAILED)
+
+
+@query
+def countries_reached_late(s):
+    """Countries that the spread reaches on different days: a country's first days are left out."""
+    later = 3 * (F.coalesce(F.regexp_extract("country_name", "[0-9]+", 0).try_cast("int"), F.lit(0)) % 5)
+    rows = fact_country_corrected(s).where(F.col("date") >= F.date_add(F.lit(dt.date(2024, 1, 3)), later))
+    return analyses.countries_reached(rows)
+
+
 # --- quality and analyses ----------------------------------------------------------------------
 
 
@@ -703,6 +746,28 @@ def quality_lake(s):
     return quality.lake_report(*written.values(), aliases=ALIASES)
 
 
+@query
+def count_sketched(s):
+    """Counts from sketches over two loads, beside the exact ones: whether each is within 5 %."""
+    lake = _runs(s, since=FROM_DAY, withdrawn=schemas.USA_SHORT)
+    sketch_lake(s.spark, lake)
+    tables = open_lake(s.spark, lake)
+    country, province = tables["fact_covid_country"], tables["fact_covid_country_province"]
+    exact = union_tables(*[
+        df.agg(F.count_distinct(*columns).alias("exact")).select(
+            F.lit(table).alias("table_name"), F.lit(name).alias("column_name"), "exact")
+        for df, table, name, columns in (
+            (country, "fact_covid_country", "countries", [renamed(F.col("country_name"), schemas.ALIASES)]),
+            (country, "fact_covid_country", "dates", ["date"]),
+            (province, "fact_covid_country_province", "provinces", ["country_name", "province_state"]),
+            (tables["dim_time"], "dim_time", "dates", ["date_key"]),
+        )
+    ])
+    return exact.join(sketched_counts(s.spark, lake), ["table_name", "column_name"]).select(
+        "table_name", "column_name", "exact",
+        (F.abs(F.col("estimate") - F.col("exact")) <= F.greatest(F.lit(0.5), 0.05 * F.col("exact"))).alias("near"))
+
+
 @query
 def quality_whole(s):
     """The report of a corrected run, with what has arrived of each source."""
