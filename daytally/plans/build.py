@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
+from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
@@ -76,6 +77,14 @@ NEEDED = {
 }
 
 
+def _together(work: Callable, names: Iterable[str]) -> dict:
+    """What ``work`` gives for each name. Independent jobs run at the same time, so that each fills what
+    the others leave idle."""
+    names = list(names)
+    with ThreadPoolExecutor(len(names)) as pool:
+        return dict(zip(names, pool.map(work, names)))
+
+
 def _by_source(reports: dict[str, DataFrame]) -> DataFrame:
     named = [report.withColumn("source", F.lit(name)) for name, report in reports.items()]
     return union_tables(*named).select("source", "check_name", "found", "passed")
@@ -94,11 +103,13 @@ def land_and_check(
     as_of: dt.date = dims.POPULATION_DAY,
 ) -> tuple[dict[str, DataFrame], DataFrame]:
     """The copies of ``land_sources`` and their ``check_inputs``, counted while they are written."""
-    landed, reports = {}, {}
-    for name, df in _raw(spark, sources, since, as_of).items():
-        landed[name], report = land_checked(df, f"{snapshot.rstrip('/')}/{name}", NEEDED[name], NEEDED[name])
-        reports[name] = report()
-    return landed, _by_source(reports)
+    raw = _raw(spark, sources, since, as_of)
+    done = _together(
+        lambda name: land_checked(raw[name], f"{snapshot.rstrip('/')}/{name}", NEEDED[name], NEEDED[name]), raw)
+    return (
+        {name: copy for name, (copy, _) in done.items()},
+        _by_source({name: report() for name, (_, report) in done.items()}),
+    )
 
 
 def increment_forms(inputs: dict[str, DataFrame], snapshot: str) -> facts.Forms:
@@ -108,10 +119,8 @@ def increment_forms(inputs: dict[str, DataFrame], snapshot: str) -> facts.Forms:
         "brazil": (facts.brazil_states(inputs["brazil"]), facts.BRAZIL_KEYS, "date"),
         "usa": (inputs["usa"], facts.USA_KEYS, "date"),
     }
-    return {
-        name: choose_form(*one, f"{snapshot.rstrip('/')}/repeated_{name}")
-        for name, one in series.items()
-    }
+    return _together(
+        lambda name: choose_form(*series[name], f"{snapshot.rstrip('/')}/repeated_{name}"), series)
 
 
 def lost_inputs(checks: DataFrame) -> list[str]:
@@ -192,7 +201,15 @@ def _parts(run: str, layout: str = "day", since: dt.date | None = None) -> dict[
 
 
 def _write_part(df: DataFrame, lake: str, part: Part, folders: list[str]) -> None:
-    write_table(with_month(df) if part.month else df, f"{lake}/{part.path}", folders)
+    """A fact by day has a folder for each place and day, of a row or two: by size all of them would go to one
+    task, so they are dealt out to as many tasks as the session shuffles with."""
+    path = f"{lake}/{part.path}"
+    if part.month:
+        write_table(with_month(df), path, folders)
+    elif "date" in folders:
+        write_table(df, path, folders, tasks=int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    else:
+        write_table(df, path, folders)
 
 
 def _run_name(kind: str) -> str:
@@ -242,10 +259,7 @@ def build_lake(
     forms = facts.ONE_READING if corrected else increment_forms(inputs, run)
     tables = build_tables(inputs, as_of, since, forms, corrected, increments)
     parts = _parts(name, layout, since)
-    # Independent writes run together, so that each fills what the others leave idle.
-    with ThreadPoolExecutor(len(tables)) as together:
-        list(together.map(
-            lambda table: _write_part(tables[table], lake, parts[table], folders[table]), tables))
+    _together(lambda table: _write_part(tables[table], lake, parts[table], folders[table]), tables)
     commit(spark, lake, name, parts, base)
     return lake_quality(spark, lake, inputs if since is None else None)
 
