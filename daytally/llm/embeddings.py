@@ -143,13 +143,17 @@ def near_vectors(vectors: DataFrame) -> DataFrame:
     counts = (
         ways.join(weight, (F.col("b") == F.col("id")) & (F.col("b_mark") == F.col("mark"))).groupBy("a", "a_mark").agg(F.sum("copies").alias("others"))
     )
-    groups = components(links.select("a", "b"), store, "groups").withColumnRenamed("id", "node")
+    # Classes are the nodes: one vec_id under two labels, or with two vectors, is no bridge between them.
+    node = lambda i, mark: F.concat_ws("/", i, mark)
+    groups = components(links.select(node("a", "a_mark").alias("a"), node("b", "b_mark").alias("b")), store, "groups")
+    smallest = groups.groupBy("component").agg(F.min(F.split("id", "/")[0].cast("long")).alias("smallest"))
+    groups = groups.withColumnRenamed("id", "node").join(smallest, "component").select("node", "smallest")
     of_class = (
         coded.select("label", "embedding", "id", "mark", "copies")
         .join(counts, (F.col("id") == F.col("a")) & (F.col("mark") == F.col("a_mark")), "left")
-        .join(groups, F.col("id") == F.col("node"), "left")
+        .join(groups, node("id", "mark") == F.col("node"), "left")
         .select(F.col("label").alias("of"), F.col("embedding").alias("vector"),
-                (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"), F.coalesce("component", "id").alias("component"))
+                (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"), F.coalesce("smallest", "id").alias("component"))
     )
     component = F.coalesce("component", "vec_id")
     return rows.join(of_class, (F.col("label") == F.col("of")) & (F.col("embedding") == F.col("vector")) & good, "left").select(

@@ -241,3 +241,11 @@ def test_records_are_looked_up_by_several_tasks(spark):
     found = archives.lookup(captures, store.root, files, whole_key=False, tasks=5)
     assert found.rdd.getNumPartitions() == 5 and found.count() == 400
     assert archives.reading_tasks(captures) >= 1 and archives.reading_tasks(captures.limit(0)) == 1
+
+
+def test_one_id_under_two_labels_is_no_bridge(spark):
+    rows = [(5, [1.0, 0.0], 1), (2, [1.0, 0.01], 1), (5, [0.0, 1.0], 2), (3, [0.01, 1.0], 2), (5, [-1.0, 0.0], 1), (9, [-1.0, 0.01], 1)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int").select(
+        "*", *[F.lit("?").alias(c) for c in ("a", "b", "id", "mark", "code", "component", "node", "smallest", "copies", "vector", "of")])
+    got = sorted((r.vec_id, r.n_links, r.component_id, r.kept) for r in embeddings.near_vectors(df).collect())
+    assert got == [(2, 1, 2, True), (3, 1, 3, True), (5, 1, 2, False), (5, 1, 3, False), (5, 1, 5, True), (9, 1, 5, False)]
