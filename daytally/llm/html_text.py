@@ -7,8 +7,9 @@ host has one from all its pages besides, for pages whose layout is theirs alone.
 Wrapper. A page is a stream of block tags and texts; inline tags are part of their text. Within a stream,
 neighbouring repeats of a group of tokens become one repeated group ``( )+``. Two streams are then
 aligned: tokens that both have stay, a text that differs becomes a slot, and what only one has
-becomes an optional group ``( )?``. Aligning up to ``SAMPLE`` pages one after another gives a
-regular expression without unions, the wrapper.
+becomes an optional group ``( )?``; where such groups come again and again, they are one repeated group of
+optional ones, so that an expression grows with what is different in its pages and not with their number. Aligning
+all pages gives a regular expression without unions, the wrapper.
 
 Region. Slots hold what varies from page to page, other texts are the template. The main region is the
 element path of an article or main element that holds text, else the deepest path with
@@ -18,11 +19,13 @@ of the layout is read through that region; a page that has no such element is it
 Text. Blocks are runs of text between block tags; white space in a block is one blank (``br`` is white
 space), blocks are joined by line feeds in page order; character references are decoded. Inside the
 region the parts named above are left out, and so are the template's texts: a block that stands at the same path
-with the same text on ``TEMPLATE`` of the pages aligned, three at least, is no part of any article. Where such
+with the same text on ``TEMPLATE`` of the layout's pages, three at least, is no part of any article. Where such
 blocks would be half of a page's text or more, the pages are copies of each other and all stays.
 
-The sample is at most one page for each of ``SAMPLE`` hash values of page_id, found by partial minima, so
-a host with very many pages sends a few to one task; extraction runs over all pages as they lie. Wrappers
+No page is left out: pages are dealt into parts by their content, equal ones into one, and those of a part are aligned
+one after another; a slot holds the size of its texts by path, and the text as long as all are equal. Then ``FAN``
+expressions at a time are aligned, in rounds, until a layout has one. A host's wrapper is aligned from those of its
+layouts. Template texts are counted over all pages. Extraction runs over all pages as they lie. Wrappers
 (a path and a few hashes for each layout) are written first, so that Spark knows their size when it
 joins them to the pages.
 
@@ -34,23 +37,27 @@ gives an empty result.
 from __future__ import annotations
 
 import html as html_module
+import pickle
 import re
+import zlib
 from bisect import bisect_left
 from collections import Counter, defaultdict
 from collections.abc import Collection, Iterable, Iterator
 from hashlib import blake2b
-from math import ceil
+from itertools import groupby
 
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from .common import Store, table
 
-SAMPLE = 8
+#: Pages, or expressions of parts of them, that one part holds, about.
+FAN = 64
+#: Pages to a task that aligns.
+TASK = 4096
 #: Longest group of tokens that is looked for as a repeat.
 LONGEST_GROUP = 16
-#: Share of the aligned pages that have a text of the template.
+#: Share of a layout's pages that have a text of the template.
 TEMPLATE = 2 / 3
 #: Tokens in a row that may anchor an alignment.
 RUNS = (1, 2, 4, 8)
@@ -223,41 +230,60 @@ def events(html: str) -> Iterator[tuple[str, Element | None, str]]:
 
 
 # --- wrappers --------------------------------------------------------------------------------
-# A node is (kind, key, content): ("tag", sign, None), ("text", "#", set of texts), ("plus" or "opt",
-# keys of its content, nodes).
+# A node is (kind, key, content): ("tag", sign, None), ("text", "#", slot), ("plus", keys of its content, nodes),
+# ("opt", key of its content, [node]), ("mix", "*", optional nodes that come in any order, repeatedly). A slot is a
+# list: number of texts, the text if all are equal, size of the texts by path but for those that are no article anyway.
 
 
-class Text(str):
-    """A text that knows its page among those that are aligned."""
+def _counts(element: Element | None) -> bool:
+    return element is not None and not element.aside and element.tag != "#"
 
-    page = 0
 
-
-def stream(found: Iterable[tuple[str, Element | None, str]], page: int = 0) -> list[tuple]:
+def stream(found: Iterable[tuple[str, Element | None, str]]) -> list[tuple]:
     """The nodes of the ``events`` of a page."""
     nodes = []
     for kind, element, text in found:
         if kind == "start":
-            nodes.append(("tag", f"<{element.sign}>", element))
+            nodes.append(("tag", f"<{element.sign}>", None))
         elif kind == "end":
             nodes.append(("tag", f"</{element.tag}>", None))
         else:
-            held = Text(text)
-            held.page = page
-            nodes.append(("text", "#", [held]))
+            nodes.append(("text", "#", [1, text, {element.path: len(text)} if _counts(element) else {}]))
     return nodes
 
 
 def merge(a: tuple, b: tuple) -> tuple:
-    """One node for two that match; takes over the texts of ``a``."""
+    """One node for two that match; takes over the slots of ``a``."""
+    if a[0] == "opt" or b[0] == "opt":
+        one = merge(*(x[2][0] if x[0] == "opt" else x for x in (a, b)))
+        return "opt", f"({one[1]})?", [one]
     if a[0] == "text":
-        a[2].extend(b[2])
-        return a
-    if a[0] in ("plus", "opt"):
-        return a[0], a[1], align(a[2], b[2])
+        held, more = a[2], b[2]
+        held[0] += more[0]
+        held[1] = held[1] if held[1] == more[1] else None
+        for path, size in more[2].items():
+            held[2][path] = held[2].get(path, 0) + size
+    elif a[0] == "plus":
+        return "plus", a[1], align(a[2], b[2])
+    elif a[0] == "mix":
+        return optional([a, b])[0]
     return a
 
 
+def optional(nodes: list[tuple]) -> list[tuple]:
+    """Optional groups for nodes in a row; where one comes twice, a repeated group of them all."""
+    found: dict[str, tuple] = {}
+    again = False
+    for node in nodes:
+        again = again or node[0] == "mix"
+        for one in node[2] if node[0] == "mix" else [node]:
+            key = _bare(one)
+            again = again or key in found
+            found[key] = merge(found[key], one) if key in found else one
+    groups = [x if x[0] == "opt" else ("opt", f"({x[1]})?", [x]) for x in found.values()]
+    return [("mix", "*", groups)] if again else groups
+
+
 def fold(nodes: list[tuple]) -> list[tuple]:
     """Neighbouring repeats of a group become one repeated group, short groups first."""
     for size in range(1, LONGEST_GROUP + 1):
@@ -265,8 +291,7 @@ def fold(nodes: list[tuple]) -> list[tuple]:
         keys = [n[1] for n in nodes]
         while i < len(nodes):
             j = i + size
-            balanced = _balanced(keys[i:j])
-            if balanced and keys[i:j] == keys[j: j + size]:
+            if j < len(keys) and keys[i] == keys[j] and keys[i:j] == keys[j: j + size] and _balanced(keys[i:j]):
                 group = nodes[i:j]
                 while keys[i:i + size] == keys[j: j + size]:
                     group = [merge(x, y) for x, y in zip(group, nodes[j: j + size])]
@@ -294,6 +319,8 @@ def _balanced(keys: list[str]) -> bool:
 
 
 def _bare(node: tuple) -> str:
+    if node[0] == "opt":
+        return _bare(node[2][0])
     return node[1].removesuffix("+") if node[0] == "plus" else node[1]
 
 
@@ -354,18 +381,17 @@ def align(a: list[tuple], b: list[tuple]) -> list[tuple]:
     out: list[tuple] = []
     for same, i, j, k, m in matched([_bare(x) for x in a], [_bare(x) for x in b]):
         if same:
-            out.extend(merge(x, y) if x[0] == y[0] else x for x, y in zip(a[i:j], b[k:m]))
+            out.extend(merge(x, y) for x, y in zip(a[i:j], b[k:m]))
         else:
-            for part in (a[i:j], b[k:m]):
-                out.extend(x if x[0] == "opt" else ("opt", f"({x[1]})?", [x]) for x in part)
+            out.extend(optional(a[i:j] + b[k:m]))
     return out
 
 
 def wrapper(pages: list[str]) -> list[tuple]:
-    """The expression of a host's pages."""
+    """The expression of some pages."""
     nodes: list[tuple] = []
     for i, page in enumerate(pages):
-        own = fold(stream(events(page), i))
+        own = fold(stream(events(page)))
         nodes = align(nodes, own) if i else own
     return nodes
 
@@ -374,52 +400,36 @@ def expression(nodes: list[tuple]) -> str:
     """A wrapper as text: slots are ``#``, template texts stand as they are."""
     def one(n: tuple) -> str:
         if n[0] == "text":
-            return n[2][0] if len(n[2]) > 1 and len(set(n[2])) == 1 else "#"
-        return n[1] if n[0] == "tag" else f"({expression(n[2])}){'+' if n[0] == 'plus' else '?'}"
+            return n[2][1] if n[2][0] > 1 and n[2][1] is not None else "#"
+        return n[1] if n[0] == "tag" else f"({expression(n[2])}){'?' if n[0] == 'opt' else '+'}"
     return "".join(one(n) for n in nodes)
 
 
-def texts_of(nodes: list[tuple]) -> Iterator[tuple[Element | None, list[str]]]:
-    """The element round each text of an expression, and what pages have there."""
-    stack: list[Element] = []
-
-    def walk(part: list[tuple]) -> Iterator[tuple[Element | None, list[str]]]:
-        for kind, _, content in part:
-            if kind == "tag":
-                if content is not None:
-                    stack.append(content)
-                elif stack:
-                    stack.pop()
-            elif kind == "text":
-                yield stack[-1] if stack else None, content
-            else:
-                yield from walk(content)
-
-    return walk(nodes)
+def slots(nodes: list[tuple]) -> Iterator[list]:
+    """The slots of an expression."""
+    for kind, _, content in nodes:
+        if kind == "text":
+            yield content
+        elif content:
+            yield from slots(content)
 
 
 def block_id(path: str, text: str) -> int:
     return int.from_bytes(blake2b(f"{path}\n{text}".encode(), digest_size=8).digest(), "big", signed=True)
 
 
-def template(nodes: list[tuple], pages: int) -> list[int]:
-    """The texts that most of the pages have at one path, outside of what is no article anyway."""
-    seen: dict[int, set[int]] = defaultdict(set)
-    for element, found in texts_of(nodes):
-        if element is not None and not element.aside:
-            for text in found:
-                seen[block_id(element.path, text)].add(text.page)
-    least = max(3, ceil(TEMPLATE * pages))
-    return sorted(block for block, on in seen.items() if len(on) >= least)
+def blocks_of(found: Iterable[tuple[str, Element | None, str]]) -> set[int]:
+    """The different blocks of a page outside of what is no article anyway."""
+    return {block_id(e.path, text) for kind, e, text in found if kind == "text" and _counts(e)}
 
 
 def region(nodes: list[tuple], pages: int) -> str:
     """Path of the element that holds the main text; empty if there is none."""
     own: dict[str, int] = defaultdict(int)
-    for element, found in texts_of(nodes):
-        same = pages > 2 and len(found) > 1 and len(set(found)) == 1
-        if element is not None and not element.aside and not same:
-            own[element.path] += sum(map(len, found))
+    for number, text, sizes in slots(nodes):
+        if not (pages > 2 and number > 1 and text is not None):
+            for path, size in sizes.items():
+                own[path] += size
     if not own:
         return ""
     mass: dict[str, int] = defaultdict(int)
@@ -443,9 +453,11 @@ def region(nodes: list[tuple], pages: int) -> str:
 
 def layout(html: str | None) -> str:
     """The containers of a page near its root that are article or may hold one, as a hash; empty for an empty page."""
-    if not html:
-        return ""
-    paths = {e.path for kind, e, _ in events(html) if kind == "start" and e.tag in CONTAINERS and not e.aside and e.path.count(">") < DEPTH}
+    return layout_of(events(html)) if html else ""
+
+
+def layout_of(found: Iterable[tuple[str, Element | None, str]]) -> str:
+    paths = {e.path for kind, e, _ in found if kind == "start" and e.tag in CONTAINERS and not e.aside and e.path.count(">") < DEPTH}
     return blake2b("\n".join(sorted(paths)).encode(), digest_size=12).hexdigest()
 
 
@@ -486,45 +498,133 @@ def main_text(html: str | None, path: str | None, same: Collection[int] = ()) ->
     return "\n".join(t for _, t in blocks)
 
 
-WRAPPERS = "host string, layout string, pages int, region string, template array<long>, wrapper string"
-
-
 def host(url):
     """The host of a column of urls in small letters; empty if there is none."""
     return F.lower(F.regexp_extract(F.coalesce(url, F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1))
 
 
-def with_layout(pages: DataFrame) -> DataFrame:
-    """page_id, url, html, host and layout of each row of ``pages``."""
+def with_host(pages: DataFrame) -> DataFrame:
+    """page_id, url, html and host of each row of ``pages``."""
+    return pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html", host(F.col("url")).alias("host"))
+
+
+def with_layout(rows: DataFrame) -> DataFrame:
+    """The rows of ``with_host`` and their layouts."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = pa.array([layout(h.as_py()) for h in batch.column("html")], pa.string())
             yield pa.RecordBatch.from_arrays([*batch.columns, found], [*batch.schema.names, "layout"])
 
-    rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html", host(F.col("url")).alias("host"))
     return rows.mapInArrow(run, T.StructType([*rows.schema, T.StructField("layout", T.StringType())]))
 
 
-def infer_wrappers(rows: DataFrame) -> DataFrame:
-    """A wrapper for each layout of a host of ``rows`` (see ``with_layout``) that several different pages have, and one
+#: An expression of some pages: those of a layout whose content falls into ``part``, in order of ``rank``, which equal pages
+#: share; ``blocks`` holds the different blocks of ``pages`` pages, ``on`` on how many each is.
+STATE = pa.schema([
+    ("host", pa.string()), ("layout", pa.string()), ("part", pa.int64()), ("rank", pa.string()), ("pages", pa.int64()),
+    ("nodes", pa.binary()), ("blocks", pa.list_(pa.int64())), ("on", pa.list_(pa.int64()))])
+STATE_TYPE = "host string, layout string, part long, rank string, pages long, nodes binary, blocks array<long>, on array<long>"
+#: Rows to a batch of expressions.
+BATCH = 256
+
+
+def _states(rows: Iterable[tuple]) -> Iterator[pa.RecordBatch]:
+    held: list[tuple] = []
+
+    def batch() -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*held), STATE)], schema=STATE)
+
+    for row in rows:
+        held.append(row)
+        if len(held) == BATCH:
+            yield batch()
+            held.clear()
+    if held:
+        yield batch()
+
+
+def _pack(nodes: list[tuple]) -> bytes:
+    return zlib.compress(pickle.dumps(nodes, pickle.HIGHEST_PROTOCOL), 1)
+
+
+def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    for batch in batches:
+        for values in zip(*batch.columns):
+            yield tuple(v.as_py() for v in values)
+
+
+def parse_pages(rows: DataFrame, parts: int) -> DataFrame:
+    """``STATE`` of each page of ``rows`` that isn't empty; of equal ones a task passes on one."""
+    def states(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+        seen: set[tuple[str, str]] = set()
+        for at, html in _rows(batches):
+            rank = blake2b(html.encode(), digest_size=16).hexdigest()
+            if (at, rank) in seen:
+                continue
+            seen.add((at, rank))
+            found = list(events(html))
+            blocks = sorted(blocks_of(found))
+            yield at, layout_of(found), int(rank[:15], 16) % parts, rank, 1, _pack(fold(stream(found))), blocks, [1] * len(blocks)
+
+    return rows.where("length(html) > 0").select("host", "html").mapInArrow(lambda batches: _states(states(batches)), STATE_TYPE)
+
+
+def align_parts(states: DataFrame, tasks: int) -> DataFrame:
+    """One ``STATE`` for each part of a layout; what has one rank counts once."""
+    def aligned(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+        for (at, part, like), group in groupby(_rows(batches), lambda r: (r[0], r[2], r[1])):
+            nodes, total, last = [], 0, None
+            on: Counter = Counter()
+            for *_, rank, pages, packed, blocks, times in group:
+                if rank != last:
+                    own = pickle.loads(zlib.decompress(packed))
+                    nodes, last, total = align(nodes, own) if total else own, rank, total + pages
+                    for block, n in zip(blocks, times):
+                        on[block] += n
+            yield at, like, part, str(part), total, _pack(nodes), list(on), list(on.values())
+
+    sorted_rows = states.repartition(tasks, "host", "part", "layout").sortWithinPartitions("host", "part", "layout", "rank")
+    return sorted_rows.mapInArrow(lambda batches: _states(aligned(batches)), STATE_TYPE)
+
+
+def align_rounds(states: DataFrame, parts: int, tasks: int) -> DataFrame:
+    """One ``STATE`` for each layout from those of its ``parts``, ``FAN`` at a time; without blocks."""
+    none = F.array().cast("array<bigint>")
+    states = states.withColumns({"blocks": none, "on": none})
+    while parts > 1:
+        parts = -(-parts // FAN)
+        states = align_parts(states.withColumn("part", F.pmod("part", F.lit(parts))), tasks)
+    return states
+
+
+def infer_wrappers(rows: DataFrame, store: Store) -> DataFrame:
+    """A wrapper for each layout of a host of ``rows`` (see ``with_host``) that several different pages have, and one
     for each host under the layout ``""``."""
-    rank = F.xxhash64("page_id")
-    found = rows.where("length(html) > 0").select(
-        "host", "layout", F.pmod(rank, F.lit(SAMPLE)).alias("part"), F.struct(rank.alias("rank"), F.length("html").alias("long"), "html").alias("page"))
-    sample = found.groupBy("host", "layout", "part").agg(F.min("page").alias("page"))
-    whole = sample.groupBy("host", "part").agg(F.min("page").alias("page")).withColumn("layout", F.lit(""))
-    both = sample.unionByName(whole).select("host", "layout", "part", "page.html")
+    count, most = rows.groupBy("host").count().agg(F.sum("count"), F.max("count")).first()
+    parts, tasks = -(-(most or 1) // FAN), max(rows.sparkSession.sparkContext.defaultParallelism, -(-(count or 0) // TASK))
+    first = store.put(align_parts(parse_pages(rows, parts), tasks), "parts")
+    layouts = store.put(align_rounds(first, parts, tasks), "layouts")
+    most = layouts.groupBy("host").count().agg(F.max("count")).first()[0] or 1
+    parts = -(-most // FAN)
+    of_host = layouts.withColumns({"part": F.pmod(F.xxhash64("layout"), F.lit(parts)), "rank": F.col("layout"), "layout": F.lit("")})
+    whole = store.put(align_rounds(align_parts(of_host, tasks), parts, tasks), "hosts")
+    both = layouts.where("pages > 1").unionByName(whole).select("host", "layout", "pages", "nodes")
+    blocks = first.select("host", "layout", F.explode(F.arrays_zip("blocks", "on")).alias("b")).select("host", "layout", "b.blocks", "b.on")
+    times = blocks.unionByName(blocks.withColumn("layout", F.lit(""))).groupBy("host", "layout", "blocks").agg(F.sum("on").alias("on")).where("on >= 3")
+    often = times.join(both.select("host", "layout", "pages"), ["host", "layout"]).where(F.col("on") >= F.ceil(F.lit(TEMPLATE) * F.col("pages")))
+    template = often.groupBy("host", "layout").agg(F.sort_array(F.collect_list("blocks")).alias("template"))
 
-    def infer(group: pd.DataFrame) -> pd.DataFrame:
-        texts = list(dict.fromkeys(group.sort_values("part")["html"]))
-        key, own = group["host"].iloc[0], group["layout"].iloc[0]
-        if own and len(texts) < 2:
-            return pd.DataFrame(columns=[f.split()[0] for f in WRAPPERS.split(", ")])
-        nodes = wrapper(texts)
-        row = {"host": key, "layout": own, "pages": len(texts), "region": region(nodes, len(texts)), "template": template(nodes, len(texts)), "wrapper": expression(nodes)}
-        return pd.DataFrame({name: pd.Series([value], dtype=object) for name, value in row.items()})
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = []
+            for pages, packed in zip(batch.column("pages").to_pylist(), batch.column("nodes").to_pylist()):
+                nodes = pickle.loads(zlib.decompress(packed))
+                found.append((region(nodes, pages), expression(nodes)))
+            paths, texts = (pa.array([x[i] for x in found], pa.string()) for i in (0, 1))
+            yield pa.RecordBatch.from_arrays([batch.column("host"), batch.column("layout"), batch.column("pages"), paths, texts], ["host", "layout", "pages", "region", "wrapper"])
 
-    return both.groupBy("host", "layout").applyInPandas(infer, WRAPPERS)
+    found = both.mapInArrow(run, "host string, layout string, pages long, region string, wrapper string")
+    return found.join(template, ["host", "layout"], "left").withColumn("template", F.coalesce("template", F.array().cast("array<bigint>")))
 
 
 def extract(pages: DataFrame) -> DataFrame:
@@ -538,9 +638,10 @@ def extract(pages: DataFrame) -> DataFrame:
                 [batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())],
                 ["page_id", "url", "text", "n_chars"])
 
-    rows = with_layout(pages)
-    found = infer_wrappers(rows).select("host", "layout", "region", "template")
-    wrappers = Store(pages.sparkSession, "html").put(found, "wrappers")
+    rows, store = with_host(pages), Store(pages.sparkSession, "html")
+    wrappers = store.put(infer_wrappers(rows, store).select("host", "layout", "region", "template"), "wrappers")
+    store.drop("parts", "layouts", "hosts")
+    rows = with_layout(rows)
     own = wrappers.where("layout <> ''").select(F.col("host").alias("of"), F.col("layout").alias("like"), F.struct("region", "template").alias("own"))
     whole = wrappers.where("layout = ''").select(F.col("host").alias("at"), F.struct("region", "template").alias("whole"))
     joined = rows.join(own, (F.col("host") == F.col("of")) & (F.col("layout") == F.col("like")), "left").join(whole, F.col("host") == F.col("at"), "left")

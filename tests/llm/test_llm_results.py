@@ -406,6 +406,43 @@ def test_html_copies_of_a_page_keep_their_text(spark):
     assert _html_pages(spark, [again.format(i) for i in range(2)])[0].count("Chorus.") == 5
 
 
+def test_html_template_of_all_pages(spark):
+    """Of 60 pages a host, a notice that 36 have stays and one that 42 have goes, whichever pages of the host those are."""
+    def page(host, i, fewer, more):
+        notes = "".join(f'<p class="box{k}">{t}</p>' for k, (t, on) in enumerate((("Printed in the paper too.", fewer), ("Sent to you by post.", more))) if on)
+        return f"<body><article><h1>Story {i} of {host}</h1>{notes}<p>Long text {i} of this story, as it was told {i} times in {host}.</p></article></body>"
+    rows, wanted = [], {}
+    for host in range(10):
+        for i in range(60):
+            n, fewer, more = host * 60 + i, (i * 7 + host) % 60 < 36, (i * 11 + host) % 60 < 42
+            rows.append((n, f"http://h{host}.org/{i}", page(host, i, fewer, more)))
+            wanted[n] = "\n".join([f"Story {i} of {host}", *["Printed in the paper too."] * fewer, f"Long text {i} of this story, as it was told {i} times in {host}."])
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    assert {r.page_id: r.text for r in html_text.extract(pages.union(pages)).collect()} == wanted
+
+
+def test_html_regions_of_all_pages(spark, monkeypatch):
+    """Text of a few pages decides where most of a layout's text is, in parts and rounds of any size."""
+    def page(i):
+        long = " ".join(f"w{i}x{k}" for k in range(4000 if i in (77, 140) else 4))
+        return f'<body><div class="one"><p>{long}</p></div><div class="two"><p>Seen {i} times, as the list has it.</p></div></body>'
+    htmls = [page(i) for i in range(200)]
+    assert html_text.region(html_text.wrapper(htmls), 200) == "body>div.one"
+    for fan in (3, 64):
+        monkeypatch.setattr(html_text, "FAN", fan)
+        got = _html_pages(spark, htmls)
+        assert all(got[i] == re.search("<p>(.*?)</p>", htmls[i])[1] for i in range(200))
+
+
+def test_html_expressions_grow_with_what_differs():
+    blocks = ["<p>a{0}</p>", "<h2>b{0}</h2>", "<ul><li>c{0}</li></ul>", "<table><tr><td>d{0}</table>", "<pre>e{0}</pre>"]
+    pages = ["<body><article>" + "".join(blocks[(i * 31 + k * k * (i % 11) + k * i) % 5].format(i + k) for k in range(40)) + "</article></body>" for i in range(300)]
+    few, all_ = html_text.wrapper(pages[:30]), html_text.wrapper(pages)
+    assert len(html_text.expression(all_)) < 3 * len(html_text.expression(few))
+    assert html_text.region(all_, 300) == "body>article"
+    assert sum(sum(sizes.values()) for _, _, sizes in html_text.slots(all_)) == sum(len(t) for p in pages for kind, _, t in html_text.events(p) if kind == "text")
+
+
 def test_html_two_layouts_of_a_large_host(spark):
     """Every twentieth of 1,000 pages has its text elsewhere, and a long list of links where the others have theirs."""
     words = [f"word{i}" for i in range(50)]
