@@ -1,5 +1,6 @@
 """Whole results against SQL, plain loops, brute force or held-out accuracy."""
 
+import os
 import re
 from collections import Counter, defaultdict
 
@@ -270,6 +271,49 @@ def test_lines_of_all_lengths_against_all_pairs(spark):
     assert got == want
 
 
+def test_long_lines_in_ranges_of_lengths_against_all_pairs(spark, monkeypatch):
+    """Many ranges, some in parts: a pair across two ranges and one found in several parts are links once."""
+    monkeypatch.setattr(lines, "LEAST", 1)
+    monkeypatch.setattr(lines, "RANGES", 12)
+    rng = np.random.default_rng(21)
+    texts = set()
+    for size in [45, 59, 60, 62, 104, 105, 107, 209, 210, 212, 300, 300, 300, 300]:
+        base = list(rng.choice(list("abcdefghij k"), size))
+        texts.add("".join(base))
+        for _ in range(5):
+            line = list(base)
+            for at in rng.integers(0, size, rng.integers(0, size // 15 + 1)):
+                line[at] = rng.choice(["", "z", line[at] + "y"])
+            texts.add("".join(line))
+    texts = sorted(texts)
+    store = Store(spark, "test")
+    rows = store.put(lines.distinct_lines(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")), "rows")
+    taken = lines.ranges(rows.where("length >= 45"))
+    assert len(taken) > 5 and max(parts for _, _, parts in taken) > 1 and all(a[1] < b[0] for a, b in zip(taken, taken[1:]))
+    got = sorted(tuple(sorted((int(x) >> 61) - (3 << 63) for x in (r.a, r.b))) for r in lines.near_long_lines(rows, store).collect())
+    want = []
+    for i, a in enumerate(texts):
+        for j in range(i):
+            short = min(len(a), len(texts[j]))
+            if short >= 45 and abs(len(a) - len(texts[j])) <= short // 15 and distance(a, texts[j]) <= short // 15:
+                want.append((j, i))
+    crossing = [p for p in want if len({next(n for n, r in enumerate(taken) if r[0] <= len(texts[i]) <= r[1]) for i in p}) > 1]
+    assert crossing and got == sorted(want)
+
+
+def test_lines_leave_no_shuffled_files(spark):
+    def shuffled():
+        manager = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+        return {f for top in manager.localDirsString() for _, _, names in os.walk(top) for f in names if f.startswith("shuffle_")}
+
+    text = "the quick brown fox jumps over the lazy dog and then sleeps in the sun"
+    docs = spark.createDataFrame([(n, f"{text} {n * 7919}\n{'x' * n}") for n in range(50)], "doc_id long, text string")
+    before, kept = shuffled(), spark.conf.get(lines.CLEANUP)
+    table = lines.line_table(docs)
+    assert not shuffled() - before and spark.conf.get(lines.CLEANUP) == kept
+    assert table.count() == 50
+
+
 def test_texts_are_scored_by_whole_pieces():
     """A text longer than a piece has the stems and patterns of the text taken at once."""
     import random
