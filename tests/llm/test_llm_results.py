@@ -301,6 +301,43 @@ def test_long_lines_in_ranges_of_lengths_against_all_pairs(spark, monkeypatch):
     assert crossing and got == sorted(want)
 
 
+def test_long_lines_are_shuffled_not_their_probes(spark, monkeypatch):
+    """Lines with words changed, left out or put in, the segments of a range held in several parts."""
+    monkeypatch.setattr(lines, "HELD", 1 << 9, raising=False)
+    monkeypatch.setattr(lines, "LEAST", 1)
+    monkeypatch.setattr(lines, "RANGES", 6)
+    monkeypatch.setattr(lines, "AT_ONCE", 2, raising=False)
+    rng = np.random.default_rng(33)
+    words = ["".join(rng.choice(list("abcdefgé"), rng.integers(1, 12))) for _ in range(300)]
+    texts = set()
+    for size in [12, 20, 33, 60, 90]:
+        base = list(rng.choice(words, size))
+        for k in range(12):
+            line = list(base)
+            for at in rng.integers(0, size, rng.integers(0, size // 8 + 2)):
+                line[at] = rng.choice([*rng.choice(words, 2), line[at] + "x"] if k % 2 else ["", line[at], "a b"])
+            texts.add(" ".join(line))
+    texts, plans = sorted(texts), []
+
+    class Seen(Store):
+        def put(self, df, name):
+            if name.startswith("long_pairs"):
+                plans.append(df._jdf.queryExecution().executedPlan().toString())
+            return super().put(df, name)
+
+    store = Seen(spark, "test")
+    rows = store.put(lines.distinct_lines(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")), "rows")
+    got = sorted(tuple(sorted((int(x) >> 61) - (3 << 63) for x in (r.a, r.b))) for r in lines.near_long_lines(rows, store).collect())
+    want = []
+    for i, a in enumerate(texts):
+        for j in range(i):
+            short = min(len(a), len(texts[j]))
+            if short >= 45 and abs(len(a) - len(texts[j])) <= short // 15 and distance(a, texts[j]) <= short // 15:
+                want.append((j, i))
+    assert len(want) > 50 and got == sorted(want)
+    assert len(plans) > 1 and not any("hashpartitioning(key" in p for p in plans)
+
+
 def test_lines_leave_no_shuffled_files(spark):
     def shuffled():
         manager = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
